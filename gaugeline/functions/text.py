@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 
 def fixed(value: Column, places: int = 1) -> Column:
-    """`places` decimals, the exact binary value rounded half even, no thousands separator."""
+    """`places` decimals, the exact binary value rounded half even, no thousands separator.
+
+    Known exception of the JVM formatter: exactly +-0.0005 at three places gives 0.000, not 0.001.
+    """
     return F.call_function("format_number", value, F.lit("0." + "0" * places))
 
 

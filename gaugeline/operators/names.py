@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions.text import byte_text
 
-# Line boundaries in a station list.
+# Line boundaries in a station list besides \n; \r\n is one boundary.
+OTHER_BREAKS = ("\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029")
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}]"
 
 # Stated limits of the input format.
@@ -19,12 +20,27 @@ AVG_NUMBER_BYTES = 4.400200100050025
 SEPARATOR_BYTES = 2
 
 
+def text_lines(texts: DataFrame, column: str) -> DataFrame:
+    """One row per line; a break at the very end starts no further line.
+
+    The pattern is several times slower than a split at one character, so it is kept for texts
+    that hold one of the rarer breaks.
+    """
+    text = F.col(column)
+    rare = F.lit(False)
+    for mark in OTHER_BREAKS:
+        rare = rare | F.contains(text, F.lit(mark))
+    pieces = F.when(rare, F.split(text, LINE_BREAK, -1)).otherwise(F.split(text, "\n", -1))
+    open_end = F.element_at("p", -1) == ""
+    lines = F.when(open_end, F.slice("p", 1, F.size("p") - 1)).otherwise(F.col("p"))
+    return texts.select(pieces.alias("p")).select(F.explode(lines).alias("line"))
+
+
 def station_names(texts: DataFrame, column: str = "value") -> DataFrame:
     """Distinct first fields of all lines in `column`; lines with a `#` are comments."""
-    body = F.regexp_replace(column, f"(?:{LINE_BREAK})\\z", "")
-    lines = texts.where(F.col(column) != "").select(F.explode(F.split(body, LINE_BREAK, -1)).alias("line"))
     return (
-        lines.where(~F.contains("line", F.lit("#")))
+        text_lines(texts, column)
+        .where(~F.contains("line", F.lit("#")))
         .select(F.substring_index("line", ";", 1).alias("station"))
         .distinct()
     )

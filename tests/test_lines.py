@@ -1,0 +1,229 @@
+"""Line semantics: every odd line has one expected outcome."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeline import (
+    aggregate_state,
+    finalize,
+    measurement_state,
+    measurements,
+    parse_lines,
+    read_csv_measurements,
+    read_lines,
+    reject_counts,
+    report,
+    station_state,
+    summarize_lines,
+)
+from gaugeline.functions.numbers import to_units, units_from_digits, units_truncated
+
+# (bytes of the line, station, tenths) or (bytes, None, reason)
+GOOD = [
+    (b"Plain;12.3", "Plain", 123),
+    ("Café;-8.4".encode(), "Café", -84),
+    (b";7.5", "", 75),
+    (b" Pad ;3.0 ", " Pad ", 30),
+    (b"Exp;1e3", "Exp", 10000),
+    (b"Exp2;12e-1", "Exp2", 12),
+    (b"Plus;+5", "Plus", 50),
+    (b"Deep;12.34", "Deep", 123),
+    (b"Int;100", "Int", 1000),
+    (b'"Q;1.5', '"Q', 15),
+    (b'"Q2";1.5', '"Q2"', 15),
+    (b"#Hash;2.0", "#Hash", 20),
+    (b"NZ;-0.0", "NZ", 0),
+    (b"Dot;.5", "Dot", 5),
+    (b"Dot2;5.", "Dot2", 50),
+    (b"Lead;0000000000000000000001.5", "Lead", 15),
+    (b"Tiny;1e-999", "Tiny", 0),
+    (b"Big;99999999999.9", "Big", 999999999999),
+]
+BAD = [
+    (b"", "blank"),
+    (b"  \t ", "blank"),
+    (b"NoSep", "no_separator"),
+    (b"Two;1.0;2.0", "extra_separator"),
+    (b"End;1.0;", "extra_separator"),
+    (b";;", "extra_separator"),
+    (b"Inf;inf", "bad_number"),
+    (b"Nan;nan", "bad_number"),
+    (b"Und;1_000", "bad_number"),
+    (b"F;12.3f", "bad_number"),
+    (b"D;12.3d", "bad_number"),
+    (b"Hex;0x1p3", "bad_number"),
+    (b"Empty;", "bad_number"),
+    (b"Dash;-", "bad_number"),
+    (b"Point;.", "bad_number"),
+    (b"Word;x", "bad_number"),
+    (b"Inner;1 2", "bad_number"),
+    (b"Ctl;1.0\x01", "bad_number"),
+    (b"Ctl;\x011.0", "bad_number"),
+    (b"Nul;1.0\x00", "bad_number"),
+    ("Arabic;٣".encode(), "bad_number"),
+    ("Mixed;1٣".encode(), "bad_number"),
+    ("Wide;１.２".encode(), "bad_number"),
+    (b"Huge;1e11", "bad_number"),
+    (b"Huge2;1e999", "bad_number"),
+    (b"Slow;1e-99999999", "bad_number"),
+    (b"Slow2;1e99999999", "bad_number"),
+    (b"Bad\xff;4.0", "bad_utf8"),
+    (b"\xff\xfe;1.0", "bad_utf8"),
+    (b"\xff\xfd;2.0", "bad_utf8"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd_file(tmp_path_factory):
+    path = tmp_path_factory.mktemp("odd") / "lines.txt"
+    lines = [g[0] for g in GOOD] + [b[0] for b in BAD]
+    body = b"\n".join(lines) + b"\nCRLF;1.0\r\nCR1;1.0\rCR2;2.0\nLast;9.9"
+    path.write_bytes(body)
+    return str(path)
+
+
+TAIL = [("CRLF", 10), ("CR1", 10), ("CR2", 20), ("Last", 99)]
+
+
+def test_good_lines(spark, odd_file):
+    rows = parse_lines(read_lines(spark, odd_file)).where("reason is null").collect()
+    want = [(s, t) for _, s, t in GOOD] + TAIL
+    assert sorted((r.station, r.t) for r in rows) == sorted(want)
+
+
+def test_rejected_lines(spark, odd_file):
+    rows = reject_counts(read_lines(spark, odd_file)).collect()
+    want = {}
+    for _, reason in BAD:
+        want[reason] = want.get(reason, 0) + 1
+    assert {r.reason: r.n for r in rows} == want
+
+
+def test_rejected_lines_one_by_one(spark, tmp_path):
+    for i, (line, reason) in enumerate(BAD):
+        (tmp_path / f"{i:03d}").write_bytes(line + b"\n")
+    rows = (
+        parse_lines(read_lines(spark, str(tmp_path)))
+        .select(F.element_at(F.split(F.input_file_name(), "/"), -1).cast("int").alias("i"), "reason", "t", "station")
+        .collect()
+    )
+    assert {r.i: r.reason for r in rows} == {i: reason for i, (_, reason) in enumerate(BAD)}
+    assert all(r.t is None and r.station is None for r in rows)
+
+
+def test_summary_skips_rejected(spark, odd_file):
+    rows = summarize_lines(read_lines(spark, odd_file)).collect()
+    want = {s for _, s, _ in GOOD} | {s for s, _ in TAIL}
+    assert {r.station for r in rows} == want
+    assert next(r for r in rows if r.station == "NZ").min_s == "0.0"
+    assert next(r for r in rows if r.station == "Plain") == ("Plain", "12.3", "12.3", "12.3")
+
+
+def test_two_digits_kept_at_scale_two(spark):
+    lines = spark.createDataFrame([("Deep;12.34",), ("Deep;12.36",)], "value string")
+    state = station_state(lines, scale=2).first()
+    assert (state.mn, state.mx, int(state.s), state.n) == (1234, 1236, 2470, 2)
+    assert finalize(station_state(lines, scale=2), scale=2).first()[1:] == ("12.3", "12.3", "12.4")
+
+
+def test_trimmed_line_option(spark):
+    lines = spark.createDataFrame([(" \tA ;1.0 \r",), ("  ",)], "value string")
+    rows = summarize_lines(lines, trim_station=True).collect()
+    assert [r.station for r in rows] == ["A "]
+
+
+def test_newline_only_option(spark, tmp_path):
+    path = tmp_path / "f"
+    path.write_bytes(b"A;1.0\r\nB;2.0\rC;3.0\n")
+    lf = read_lines(spark, str(path), line_sep="\n")
+    assert [r.station for r in summarize_lines(lf).collect()] == ["A"]
+    assert [r.station for r in summarize_lines(read_lines(spark, str(path))).collect()] == ["A", "B", "C"]
+
+
+@pytest.mark.parametrize("body", [b"", b"\n\n", b"x\n;\nA;b\n"])
+def test_nothing_usable(spark, tmp_path, body):
+    (tmp_path / "f").write_bytes(body)
+    assert summarize_lines(read_lines(spark, str(tmp_path / "f"))).collect() == []
+
+
+def test_station_order_is_byte_order(spark):
+    names = ["Abc", "Z", "Zürich", "abc", "Éa", "￮", "\U0001f600"]
+    lines = spark.createDataFrame([(f"{n};1.0",) for n in reversed(names)], "value string")
+    assert [r.station for r in summarize_lines(lines).collect()] == names
+
+
+def test_random_lines_against_a_plain_loop(spark, tmp_path):
+    rng = random.Random(7)
+    names = [f"st{i}" for i in range(40)] + ["hot"] * 20
+    lines = []
+    for _ in range(20_000):
+        number = f"{rng.uniform(-99.9, 99.9):.1f}"
+        name = rng.choice(names)
+        lines.append(rng.choice([f"{name};{number}"] * 9 + [name, f"{name};{number};1", f"{name};q", ""]))
+    (tmp_path / "f").write_text("\n".join(lines) + "\n")
+    state = {}
+    for line in lines:
+        try:
+            name, number = line.split(";")
+            t = round(float(number) * 10)
+        except ValueError:
+            continue
+        state.setdefault(name, []).append(t)
+    want = [
+        f"{k}={min(v) / 10:.1f}/{sum(v) / len(v) / 10:.1f}/{max(v) / 10:.1f}" for k, v in sorted(state.items())
+    ]
+    got = report(summarize_lines(read_lines(spark, str(tmp_path / "f")))).collect()
+    assert [r.report for r in got] == want
+
+
+def test_csv_route_agrees_with_text_route(spark, tmp_path):
+    body = [g[0] for g in GOOD] + [b[0] for b in BAD if b[1] != "bad_utf8"]
+    body += [b"back\\slash;1.0", b"a,b;2.0", b"tab\t;3.0", b"\\;4.0"]
+    path = tmp_path / "f"
+    path.write_bytes(b"\n".join(body) + b"\n")
+    text = finalize(station_state(read_lines(spark, str(path)))).collect()
+    csv = finalize(measurement_state(read_csv_measurements(spark, str(path)))).collect()
+    assert csv == text
+
+
+def test_number_routes_agree(spark):
+    # The seven parser cases.
+    cases = {"12.3": 123, "-9.8": -98, "100": 1000, "-0.5": -5, "0.0": 0, "0": 0, "-10.0": -100}
+    rows = spark.createDataFrame(list(cases.items()), "v string, want long")
+    for route in (to_units, units_from_digits, units_truncated):
+        assert rows.where(~route(F.col("v")).eqNullSafe(F.col("want"))).count() == 0
+    every = spark.range(-999, 1000).select(
+        "id", F.call_function("format_number", F.col("id") / 10, F.lit("0.0")).alias("v")
+    )
+    for route in (to_units, units_from_digits, units_truncated):
+        assert every.where(~route(F.col("v")).eqNullSafe(F.col("id"))).count() == 0
+
+
+def test_sums_cannot_overflow(spark):
+    big = 10**12 - 1
+    rows = spark.range(3_000_000).select(
+        F.lit("a").alias("station"), F.when(F.col("id") % 3 == 0, -big).otherwise(big).alias("t")
+    )
+    state = aggregate_state(rows.withColumn("t", F.col("t").cast("bigint"))).first()
+    assert int(state.s) == big * 1_000_000 and state.n == 3_000_000
+    one_sign = aggregate_state(spark.range(20_000_000).select(F.lit("a").alias("station"), F.lit(big).alias("t")))
+    assert int(one_sign.first().s) == big * 20_000_000  # above 2^63
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plan_parses_once_and_shuffles_twice(spark, odd_file):
+    plan = _plan(summarize_lines(read_lines(spark, odd_file)))
+    assert plan.count("Exchange ") == 2
+    assert plan.count("try_cast") == 1
+    assert "Python" not in plan and "Filter isnotnull" not in plan
+    assert plan.index("Filter") < plan.index("HashAggregate")  # above the aggregation only
+
+
+def test_rejects_collapse_to_one_key(spark):
+    lines = spark.range(1000).select(F.concat(F.lit("unique"), "id", F.lit(";x")).alias("value"))
+    assert aggregate_state(measurements(lines)).collect() == [(None, None, None, None, 0)]
