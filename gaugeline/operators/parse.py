@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.functions.numbers import to_units
+from gaugeline.functions.numbers import decimal_units, is_number
 
 SEPARATOR = ";"
 # What counts as outer blank of a line.
@@ -13,22 +13,27 @@ BLANKS = " \t\n\r\x0b\x0c"
 
 
 def _fields(lines: DataFrame, scale: int, trim_station: bool) -> DataFrame:
-    """Columns value, left, t. `t` is NULL unless the line is two fields and the second a number.
+    """Columns value, line, left, t. `t` is NULL unless the line is two fields, the second a number.
 
-    `substring_index` keeps the key's bytes as they are; three byte lengths prove that there is
-    exactly one separator, so the line is never split into an array.
+    The number is what follows the last separator. The key is the bytes before it, cut by length:
+    that needs no second search and keeps bytes that are not UTF-8 as they are. A key that holds a
+    separator itself shows that there were more than two fields.
     """
     value: Column = F.col("value")
     if trim_station:
         value = F.btrim(value, F.lit(BLANKS))
-    cut = lines.select("value", value.alias("line")).select(
-        "value",
-        "line",
-        F.substring_index("line", SEPARATOR, 1).alias("left"),
-        F.substring_index("line", SEPARATOR, -1).alias("right"),
+    cut = lines.select("value", value.alias("line")).withColumn(
+        "right", F.substring_index("line", SEPARATOR, -1)
+    )
+    key_bytes = F.octet_length("line") - F.octet_length("right") - 1
+    key = F.substring(F.col("line").cast("binary"), F.lit(1), key_bytes).cast("string")
+    cut = cut.withColumn("left", key)
+    good = (
+        (F.octet_length("right") < F.octet_length("line"))
+        & ~F.contains("left", F.lit(SEPARATOR))
+        & is_number(F.col("right"))
     )
-    two = F.octet_length("left") + F.octet_length("right") + 1 == F.octet_length("line")
-    return cut.select("value", "line", "left", F.when(two, to_units(F.col("right"), scale)).alias("t"))
+    return cut.select("value", "line", "left", F.when(good, decimal_units(F.col("right"), scale)).alias("t"))
 
 
 def measurements(lines: DataFrame, scale: int = 1, trim_station: bool = False) -> DataFrame:
