@@ -66,7 +66,7 @@ def diff_by_position(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
     def numbered(report: DataFrame, name: str) -> DataFrame:
         rows = _parsed(report).select("station", F.col("report").alias(name))
-        return with_position(rows, "station", name).select("pos", name)
+        return with_position(rows, "station", name, unique=False).select("pos", name)
 
     paired = numbered(expected, "expected").join(numbered(actual, "actual"), "pos", "full")
     return paired.where(~F.col("expected").eqNullSafe(F.col("actual"))).select("pos", "expected", "actual")

@@ -6,57 +6,64 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.operators.order import with_position
+from gaugeline.session import shared_dir
 
-# Approximate quantiles around the middle, with the sketch's accuracy. Rank error is at most
-# n / ACCURACY, so the pair encloses the median; where it should not, the key keeps all its values.
+# A key is hot from this share of all rows on, so there are at most 1 / _HOT_SHARE hot keys.
+_HOT_SHARE = 0.001
+
+# Approximate quantiles around the middle and the sketch's accuracy: its rank error is at most
+# n / _ACCURACY, so the two enclose the median.
 _LOW, _HIGH, _ACCURACY = 0.4999, 0.5001, 100_000
 
 
+def _middle(fenced: DataFrame) -> DataFrame:
+    """k, zone, v of the middle row per k, from rows (k, v, lo, hi).
+
+    Values outside lo ... hi are only counted, as zone 0 below and zone 2 above: each task sends on
+    two rows for them. Values inside, or without a fence, are counted per distinct value.
+    """
+    zone = F.when(F.col("v") < F.col("lo"), 0).when(F.col("v") > F.col("hi"), 2).otherwise(1)
+    counts = (
+        fenced.select("k", "v", zone.alias("zone"))
+        .groupBy("k", "zone", F.when(F.col("zone") == 1, F.col("v")).alias("v"))
+        .agg(F.count(F.lit(1)).alias("w"))
+    )
+    key = Window.partitionBy("k")
+    upto = F.sum("w").over(key.orderBy("zone", "v").rowsBetween(Window.unboundedPreceding, 0))
+    rank = F.floor(F.sum("w").over(key) / 2) + 1
+    return (
+        counts.select("k", "zone", "v", "w", upto.alias("upto"), rank.alias("rank"))
+        .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("w") < F.col("rank")))
+        .select("k", "zone", "v")
+    )
+
+
 def upper_median(runs: DataFrame, key: str, value: str) -> DataFrame:
     """key, median: the value at 0-based index floor(n/2) of each key's sorted values. Exact.
 
-    No key's values are gathered in one task. Equal values are counted on the map side. A quantile
-    sketch per key then gives a narrow interval around the median; only the distinct values inside
-    it (0.02% of the ranks) are put in order, the values below it are just counted.
+    A hot key's values are never gathered: a quantile sketch fences its median in, and only the
+    distinct values inside the fence (0.02% of the ranks) are put in order.
     """
+    shared_dir(runs.sparkSession)
     runs = runs.select(F.col(key).alias("k"), F.col(value).alias("v")).where(F.col("v").isNotNull())
-    counted = runs.groupBy("k", "v").agg(F.count(F.lit(1)).alias("w"))
+    sizes = runs.groupBy("k").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    total = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
+    hot = sizes.where(F.col("n") >= total * _HOT_SHARE).select("k")
+    # At most 1,000 rows each, so both broadcasts are bounded.
     fences = (
-        runs.groupBy("k")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx("v", [_LOW, _HIGH], _ACCURACY).alias("q"),
-        )
-        .select("k", (F.floor(F.col("n") / 2) + 1).alias("rank"), F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
-    )
-    below = F.col("v") < F.col("lo")
-    inside = F.col("v").between(F.col("lo"), F.col("hi"))
-    # `fences` has one row per key; Spark broadcasts it when its measured size allows and
-    # otherwise splits a skewed key of `counted`. The interval travels on with its counts.
-    checked = (
-        counted.join(fences, "k")
-        .groupBy("k", "rank", "lo", "hi")
-        .agg(
-            F.sum(F.when(below, F.col("w")).otherwise(0)).alias("n_below"),
-            F.sum(F.when(inside, F.col("w")).otherwise(0)).alias("n_inside"),
-        )
-    )
-    enclosed = (F.col("n_below") < F.col("rank")) & (F.col("rank") <= F.col("n_below") + F.col("n_inside"))
-    target = checked.select(
-        "k",
-        F.when(enclosed, F.col("lo")).alias("lo"),
-        F.when(enclosed, F.col("hi")).alias("hi"),
-        F.when(enclosed, F.col("rank") - F.col("n_below")).otherwise(F.col("rank")).alias("rank"),
-    )
-    candidates = counted.join(target, "k").where(F.col("lo").isNull() | inside)
-    running = F.sum("w").over(
-        Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        candidates.withColumn("upto", running)
-        .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("w") < F.col("rank")))
-        .select(F.col("k").alias(key), F.col("v").alias("median"))
+        runs.join(F.broadcast(hot), "k")
+        .groupBy("k")
+        .agg(F.percentile_approx("v", [_LOW, _HIGH], _ACCURACY).alias("q"))
+        .select("k", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
     )
+    middle = _middle(runs.join(F.broadcast(fences), "k", "left")).checkpoint()
+    # The sketch's error bound rules this out; a key it failed would be done without a fence.
+    missed = middle.where("zone <> 1").select("k")
+    if not missed.isEmpty():
+        none = F.lit(None).cast(runs.schema["v"].dataType)
+        again = _middle(runs.join(missed, "k").select("k", "v", none.alias("lo"), none.alias("hi")))
+        middle = middle.where("zone = 1").union(again)
+    return middle.select(F.col("k").alias(key), F.col("v").alias("median"))
 
 
 def leaderboard(runs: DataFrame) -> DataFrame:

@@ -11,15 +11,23 @@ from gaugeline.session import shared_dir
 _ROW_BITS = 33
 
 
-def with_position(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
-    """Add the 1-based position in the order of `order`, which must be unique per row.
+def with_position(df: DataFrame, *order: str, name: str = "pos", unique: bool = True) -> DataFrame:
+    """Add the 1-based position in the order of `order`.
 
     The sort is range partitioned. Each partition numbers its own rows; adding the row counts of
     the partitions before it gives the position. The sorted rows are checkpointed, because counts
     and rows must come from the same sort even if an executor is lost in between.
+
+    With `unique=False` many rows may be equal in `order`. They get an arbitrary order among
+    themselves from a row id, so that one repeated value can be split over partitions; the input is
+    checkpointed first, which keeps that id the same when a task is run again.
     """
     shared_dir(df.sparkSession)
-    placed = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    keys, rows = list(order), df
+    if not unique:
+        rows = df.checkpoint().withColumn("_tie", F.monotonically_increasing_id())
+        keys.append("_tie")
+    placed = rows.orderBy(*keys).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
     placed = placed.withColumn("_part", F.shiftright("_id", _ROW_BITS))
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     # One row per sort partition: bounded by spark.sql.shuffle.partitions, not by the data.

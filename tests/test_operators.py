@@ -125,6 +125,18 @@ def test_positions_span_partitions(spark):
     assert with_position(df.where("k is null"), "k").collect() == []
 
 
+def test_positions_of_a_repeated_value_are_split(spark):
+    df = spark.range(30_000, numPartitions=5).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = with_position(df, "k", unique=False).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(r.pos for r in rows) == list(range(1, 30_001))
+    assert [r.k for r in sorted(rows, key=lambda r: r.pos)] == sorted(r.k for r in rows)
+    assert len({r.part for r in rows if r.k == 7}) > 1
+
+
 def _summary(spark, n=3000):
     df = spark.range(n).select(
         F.format_string("s%05d=/x", "id").alias("station"), (F.col("id") % 50 - 25).alias("t")
@@ -196,16 +208,17 @@ def test_diff_by_position(spark):
 
 @pytest.mark.parametrize("fence", [(0.4999, 0.5001), (0.9, 0.95), (0.01, 0.02)])
 def test_upper_median(spark, monkeypatch, fence):
-    # The last two fences miss the median, so the full route must take over.
+    # The last two fences miss the median, so the full route must take over. Small keys are not hot.
+    monkeypatch.setattr(leaderboard_module, "_HOT_SHARE", 0.003)
     monkeypatch.setattr(leaderboard_module, "_LOW", fence[0])
     monkeypatch.setattr(leaderboard_module, "_HIGH", fence[1])
     rng = random.Random(5)
     runs = {f"e{i}": [rng.choice([1.0, 2.5, rng.random()]) for _ in range(n)] for i, n in enumerate((1, 2, 3, 4, 5, 100, 101))}
     runs["hot"] = [rng.gauss(0, 1) for _ in range(20_000)]
     runs["ties"] = [7.0] * 5000 + [1e300, -1e300]
-    df = spark.createDataFrame([(k, v) for k, vs in runs.items() for v in vs] + [("hot", None)], "entry string, seconds double")
+    df = spark.createDataFrame([(k, v) for k, vs in runs.items() for v in vs] + [("hot", None), (None, 2.0)], "entry string, seconds double")
     got = {r.entry: r.median for r in upper_median(df, "entry", "seconds").collect()}
-    assert got == {k: sorted(v)[len(v) // 2] for k, v in runs.items()}
+    assert got == {None: 2.0} | {k: sorted(v)[len(v) // 2] for k, v in runs.items()}
 
 
 def test_leaderboard_leaves_failed_runs_out(spark):
