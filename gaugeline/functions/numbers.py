@@ -16,45 +16,42 @@ NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?0*[0-9]{1,3})?\s*$"
 SHORT = 6
 
 
-def is_number(text: Column) -> Column:
-    """True for decimal text. Ordinary short numbers are settled by byte tests alone.
+def is_number(name: str) -> Column:
+    """True for decimal text in column `name`. Ordinary short numbers are settled by byte tests alone.
 
     The decimal cast itself trims control characters and takes any Unicode digit, so the short
-    route asks for ASCII without an outer character below '+'.
+    route asks for ASCII without an outer byte below '+'.
     """
-    last_byte = F.substring(text.cast("binary"), -1, 1)
-    short = (
-        (F.octet_length(text) <= SHORT)
-        & (F.char_length(text) == F.octet_length(text))
-        & (text >= "+")
-        & (last_byte >= F.lit(bytearray(b"+")))
+    return F.expr(
+        f"""(octet_length({name}) <= {SHORT} AND char_length({name}) = octet_length({name})
+             AND {name} >= '+' AND substring(cast({name} AS BINARY), -1, 1) >= X'2B')
+            OR {name} RLIKE r'{NUMBER}'"""
     )
-    return short | text.rlike(NUMBER)
 
 
-def decimal_units(text: Column, scale: int) -> Column:
+def decimal_units(name: str, scale: int) -> Column:
     """Units of text known to be a number: decimal, rounded half up, then scaled up.
 
     The product is below 10^12, where a double is off by far less than half a unit, so `rint`
     restores the exact whole number; a decimal product would be several times slower.
     """
-    value = text.try_cast(f"decimal({DIGITS},{scale})").cast("double")
-    return F.rint(value * F.lit(float(10**scale))).cast("bigint")
+    return F.expr(
+        f"cast(rint(cast(try_cast({name} AS DECIMAL({DIGITS},{scale})) AS DOUBLE) * {10**scale}D) AS BIGINT)"
+    )
 
 
-def to_units(text: Column, scale: int = 1) -> Column:
-    """Units as BIGINT, rounded half up to `scale` digits; NULL when `text` is no number."""
-    return F.when(is_number(text), decimal_units(text, scale))
+def to_units(name: str, scale: int = 1) -> Column:
+    """Units as BIGINT, rounded half up to `scale` digits; NULL when the text is no number."""
+    return F.when(is_number(name), decimal_units(name, scale))
 
 
-def units_from_digits(text: Column) -> Column:
+def units_from_digits(name: str) -> Column:
     """Tenths by dropping the point: `12.3` is 123, `100` is 1000. Only for `-?d+` or `-?d+.d`."""
-    whole = text.rlike("^-?[0-9]+$")
-    tenth = text.rlike("^-?[0-9]+[.][0-9]$")
+    text = F.col(name)
     digits = F.replace(text, F.lit("."), F.lit("")).try_cast("bigint")
-    return F.when(tenth, digits).when(whole, digits * 10)
+    return F.when(text.rlike("^-?[0-9]+[.][0-9]$"), digits).when(text.rlike("^-?[0-9]+$"), digits * 10)
 
 
-def units_truncated(text: Column) -> Column:
+def units_truncated(name: str) -> Column:
     """Tenths through a double, cut toward zero."""
-    return F.when(is_number(text), (text.try_cast("double") * F.lit(10.0)).cast("bigint"))
+    return F.when(is_number(name), F.expr(f"cast(try_cast({name} AS DOUBLE) * 10D AS BIGINT)"))

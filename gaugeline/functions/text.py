@@ -18,10 +18,6 @@ def units_text(units: Column, scale: int = 1) -> Column:
     return fixed(units.cast("double") / F.lit(float(10**scale)))
 
 
-def report_line(station: Column, low: Column, mean: Column, high: Column) -> Column:
-    return F.concat(station, F.lit("="), low, F.lit("/"), mean, F.lit("/"), high)
-
-
 # The last `=` separates, so a station name may hold `=` and `/` itself.
 REPORT = r"(?s)^(.*)=([^=/]*)/([^=/]*)/([^=/]*)$"
 

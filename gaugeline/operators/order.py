@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeline.session import shared_dir
+from gaugeline.session import fresh_path, shared_dir
 
 # `monotonically_increasing_id` holds the partition above bit 33 and the row number below.
 _ROW_BITS = 33
@@ -15,8 +15,9 @@ def with_position(df: DataFrame, *order: str, name: str = "pos", unique: bool =
     """Add the 1-based position in the order of `order`.
 
     The sort is range partitioned. Each partition numbers its own rows; adding the row counts of
-    the partitions before it gives the position. The sorted rows are checkpointed, because counts
-    and rows must come from the same sort even if an executor is lost in between.
+    the partitions before it gives the position. The sorted rows are written to a table, because
+    counts and rows must come from the same sort even if an executor is lost in between; the counts
+    then read the one number column only.
 
     With `unique=False` many rows may be equal in `order`. They get an arbitrary order among
     themselves from a row id, so that one repeated value can be split over partitions; the input is
@@ -27,8 +28,14 @@ def with_position(df: DataFrame, *order: str, name: str = "pos", unique: bool =
     if not unique:
         rows = df.checkpoint().withColumn("_tie", F.monotonically_increasing_id())
         keys.append("_tie")
-    placed = rows.orderBy(*keys).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
-    placed = placed.withColumn("_part", F.shiftright("_id", _ROW_BITS))
+    path = fresh_path(df.sparkSession, "sorted")
+    ordered = rows.orderBy(*keys).select(*df.columns, F.monotonically_increasing_id().alias("_id"))
+    ordered.write.parquet(path)
+    placed = (
+        df.sparkSession.read.schema(ordered.schema)
+        .parquet(path)
+        .withColumn("_part", F.shiftright("_id", _ROW_BITS))
+    )
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     # One row per sort partition: bounded by spark.sql.shuffle.partitions, not by the data.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

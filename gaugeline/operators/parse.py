@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions.numbers import decimal_units, is_number
@@ -19,21 +19,20 @@ def _fields(lines: DataFrame, scale: int, trim_station: bool) -> DataFrame:
     that needs no second search and keeps bytes that are not UTF-8 as they are. A key that holds a
     separator itself shows that there were more than two fields.
     """
-    value: Column = F.col("value")
-    if trim_station:
-        value = F.btrim(value, F.lit(BLANKS))
-    cut = lines.select("value", value.alias("line")).withColumn(
-        "right", F.substring_index("line", SEPARATOR, -1)
+    line = F.btrim("value", F.lit(BLANKS)) if trim_station else F.col("value")
+    cut = (
+        lines.select("value", line.alias("line"))
+        .selectExpr("value", "line", f"substring_index(line, '{SEPARATOR}', -1) AS right")
+        .selectExpr(
+            "value",
+            "line",
+            "right",
+            "cast(substring(cast(line AS BINARY), 1, octet_length(line) - octet_length(right) - 1) AS STRING) AS left",
+        )
     )
-    key_bytes = F.octet_length("line") - F.octet_length("right") - 1
-    key = F.substring(F.col("line").cast("binary"), F.lit(1), key_bytes).cast("string")
-    cut = cut.withColumn("left", key)
-    good = (
-        (F.octet_length("right") < F.octet_length("line"))
-        & ~F.contains("left", F.lit(SEPARATOR))
-        & is_number(F.col("right"))
-    )
-    return cut.select("value", "line", "left", F.when(good, decimal_units(F.col("right"), scale)).alias("t"))
+    two = F.expr(f"octet_length(right) < octet_length(line) AND NOT contains(left, '{SEPARATOR}')")
+    t = F.when(two & is_number("right"), decimal_units("right", scale))
+    return cut.select("value", "line", "left", t.alias("t"))
 
 
 def measurements(lines: DataFrame, scale: int = 1, trim_station: bool = False) -> DataFrame:
@@ -41,10 +40,10 @@ def measurements(lines: DataFrame, scale: int = 1, trim_station: bool = False) -
 
     Nothing is filtered here: a filter on `t` would make Spark parse each line twice. All malformed
     lines share the NULL key, so they collapse in the partial aggregation however many there are.
-    The key is not yet known to be UTF-8; `station_state` tests that once per station.
+    The key is not yet known to be UTF-8; `measurement_state` tests that once per station.
     """
     rows = _fields(lines, scale, trim_station)
-    return rows.select(F.when(F.col("t").isNotNull(), F.col("left")).alias("station"), "t")
+    return rows.selectExpr("if(t IS NULL, NULL, left) AS station", "t")
 
 
 def parse_lines(lines: DataFrame, scale: int = 1, trim_station: bool = False) -> DataFrame:

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions.numbers import DIGITS
-from gaugeline.functions.text import report_line, units_text
 from gaugeline.operators.parse import measurements
 
 # |t| < 2^40 splits into two parts below 2^20 each, so either BIGINT sum holds 2^43 rows per
@@ -19,24 +18,22 @@ _LIMB = 20
 
 def aggregate_state(rows: DataFrame, keys: Sequence[str] = ("station",)) -> DataFrame:
     """keys + mn, mx, s, n from rows with a whole-number column `t`, |t| < 2^40."""
-    t = F.col("t")
     parts = rows.groupBy(*keys).agg(
-        F.min(t).alias("mn"),
-        F.max(t).alias("mx"),
-        F.sum(F.shiftright(t, _LIMB)).alias("hi"),
-        F.sum(t.bitwiseAND(F.lit((1 << _LIMB) - 1).cast("bigint"))).alias("lo"),
-        F.count(t).alias("n"),
+        F.expr("min(t) AS mn"),
+        F.expr("max(t) AS mx"),
+        F.expr(f"sum(shiftright(t, {_LIMB})) AS hi"),
+        F.expr(f"sum(t & {(1 << _LIMB) - 1}L) AS lo"),
+        F.expr("count(t) AS n"),
     )
-    total = F.col("hi").cast("decimal(38,0)") * F.lit(1 << _LIMB) + F.col("lo")
-    return parts.select(*keys, "mn", "mx", total.cast("decimal(38,0)").alias("s"), "n")
+    total = f"cast(cast(hi AS DECIMAL(38,0)) * {1 << _LIMB} + lo AS DECIMAL(38,0)) AS s"
+    return parts.selectExpr(*keys, "mn", "mx", total, "n")
 
 
 def measurement_state(rows: DataFrame) -> DataFrame:
     """State of `measurements` rows. Malformed lines and stations that are not UTF-8 are left out."""
     # One expression over n and the key: it cannot be pushed below the aggregation, so the
     # UTF-8 test runs once per station and the lines are parsed once.
-    usable = F.when(F.is_valid_utf8("station"), F.col("n")).otherwise(0)
-    return aggregate_state(rows).where(usable > 0)
+    return aggregate_state(rows).where("if(is_valid_utf8(station), n, 0) > 0")
 
 
 def station_state(lines: DataFrame, scale: int = 1, trim_station: bool = False) -> DataFrame:
@@ -53,17 +50,14 @@ def merge_states(state: DataFrame, keys: Sequence[str] = ("station",)) -> DataFr
     )
 
 
-def mean_units(total: Column, count: Column) -> Column:
-    return total.cast("double") / count
-
-
 def finalize(state: DataFrame, scale: int = 1) -> DataFrame:
     """station, min_s, mean_s, max_s with one decimal, in byte order of the station."""
-    return state.select(
+    unit = f"{10**scale}D"
+    return state.selectExpr(
         "station",
-        units_text(F.col("mn"), scale).alias("min_s"),
-        units_text(mean_units(F.col("s"), F.col("n")), scale).alias("mean_s"),
-        units_text(F.col("mx"), scale).alias("max_s"),
+        f"format_number(mn / {unit}, '0.0') AS min_s",
+        f"format_number(cast(s AS DOUBLE) / n / {unit}, '0.0') AS mean_s",
+        f"format_number(mx / {unit}, '0.0') AS max_s",
     ).orderBy("station")
 
 
@@ -74,8 +68,7 @@ def summarize_lines(lines: DataFrame, scale: int = 1, trim_station: bool = False
 
 def report(result: DataFrame) -> DataFrame:
     """station, report: `station=min/mean/max`."""
-    line = report_line(F.col("station"), F.col("min_s"), F.col("mean_s"), F.col("max_s"))
-    return result.select("station", line.alias("report"))
+    return result.selectExpr("station", "concat(station, '=', min_s, '/', mean_s, '/', max_s) AS report")
 
 
 def frame_stats(frame: DataFrame, key: str, value: str, scale: int = 1) -> DataFrame:

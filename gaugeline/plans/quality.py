@@ -28,7 +28,7 @@ def parse_path_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """path, n_rows, n_mismatch (against the decimal path), sum_tenths over all event values."""
     paths = {"decimal": to_units, "digits": units_from_digits, "truncated_double": units_truncated}
     text = table(spark, sf_dir, "events").select(fixed(F.col("value")).alias("text"))
-    parsed = text.select(*[f(F.col("text")).alias(name) for name, f in paths.items()])
+    parsed = text.select(*[f("text").alias(name) for name, f in paths.items()])
     one = parsed.agg(
         *[
             F.struct(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.functions.text import fixed, report_line
+from gaugeline.functions.text import fixed
+from gaugeline.operators.stats import report
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,20 +67,18 @@ def event_hundredths(spark: SparkSession, sf_dir: str, *keys) -> DataFrame:
     return table(spark, sf_dir, "events").select(*keys, units.alias("t"))
 
 
-def damaged_copy(report: DataFrame) -> DataFrame:
-    """A copy of a report with lines changed, lost and renamed, by the number in the station name."""
+def damaged_copy(result: DataFrame) -> DataFrame:
+    """The report of a result with lines changed, lost and renamed, by the number in the station name."""
     number = F.regexp_extract("station", "([0-9]+)$", 1).cast("bigint")
     form = F.pmod(number, F.lit(10))
-    edited = report.select(
+    edited = result.select(
         form.alias("form"),
         F.when(form == 7, F.concat("station", F.lit("*"))).otherwise(F.col("station")).alias("station"),
         F.when(form == 3, F.lit("-1.0")).otherwise(F.col("min_s")).alias("min_s"),
         "mean_s",
         "max_s",
     )
-    kept = edited.where(F.col("form") != 5)
-    line = report_line(F.col("station"), F.col("min_s"), F.col("mean_s"), F.col("max_s"))
-    return kept.select("station", line.alias("report"))
+    return report(edited.where(F.col("form") != 5))
 
 
 USER_SUMMARY = """

@@ -24,6 +24,8 @@ def local_session(app: str, cores: int = 8, memory: str = "12g") -> SparkSession
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Skips the per-column call-site capture while a plan is built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

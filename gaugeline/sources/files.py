@@ -29,7 +29,7 @@ def read_csv_measurements(spark: SparkSession, path: str | list[str], scale: int
         .option("columnNameOfCorruptRecord", "bad")
         .csv(path)
     )
-    t = F.when(F.col("bad").isNull(), to_units(F.col("number"), scale))
+    t = F.when(F.col("bad").isNull(), to_units("number", scale))
     rows = rows.select("station", t.alias("t"))
     # An empty key reads as NULL.
     name = F.coalesce("station", F.lit(""))

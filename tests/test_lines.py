@@ -193,12 +193,12 @@ def test_number_routes_agree(spark):
     cases = {"12.3": 123, "-9.8": -98, "100": 1000, "-0.5": -5, "0.0": 0, "0": 0, "-10.0": -100}
     rows = spark.createDataFrame(list(cases.items()), "v string, want long")
     for route in (to_units, units_from_digits, units_truncated):
-        assert rows.where(~route(F.col("v")).eqNullSafe(F.col("want"))).count() == 0
+        assert rows.where(~route("v").eqNullSafe(F.col("want"))).count() == 0
     every = spark.range(-999, 1000).select(
         "id", F.call_function("format_number", F.col("id") / 10, F.lit("0.0")).alias("v")
     )
     for route in (to_units, units_from_digits, units_truncated):
-        assert every.where(~route(F.col("v")).eqNullSafe(F.col("id"))).count() == 0
+        assert every.where(~route("v").eqNullSafe(F.col("id"))).count() == 0
 
 
 def test_sums_cannot_overflow(spark):

@@ -206,10 +206,12 @@ def test_diff_by_position(spark):
     assert diff_by_position(expected, expected).collect() == []
 
 
+@pytest.mark.parametrize("hot_rows", [50, 10**6])
 @pytest.mark.parametrize("fence", [(0.4999, 0.5001), (0.9, 0.95), (0.01, 0.02)])
-def test_upper_median(spark, monkeypatch, fence):
+def test_upper_median(spark, monkeypatch, fence, hot_rows):
     # The last two fences miss the median, so the full route must take over. Small keys are not hot.
     monkeypatch.setattr(leaderboard_module, "_HOT_SHARE", 0.003)
+    monkeypatch.setattr(leaderboard_module, "_HOT_ROWS", hot_rows)
     monkeypatch.setattr(leaderboard_module, "_LOW", fence[0])
     monkeypatch.setattr(leaderboard_module, "_HIGH", fence[1])
     rng = random.Random(5)
@@ -314,7 +316,7 @@ assert with_position(spark.range(5), "id").count() == 5
     run = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
     assert run.returncode == 0, run.stderr
     assert run.stdout.strip().startswith(f"{tmp_path}/gaugeline-x-")
-    assert any(p.name.startswith("rdd-") for p in tmp_path.glob("*/*"))
+    assert list(tmp_path.glob("gaugeline-sorted-*"))
 
 
 def test_fresh_paths_differ(spark):
