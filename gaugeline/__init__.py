@@ -13,6 +13,7 @@ from gaugeline.operators.stats import (
     measurement_state,
     merge_states,
     report,
+    state_text,
     station_state,
     summarize_lines,
 )
@@ -49,6 +50,7 @@ __all__ = [
     "read_state",
     "reject_counts",
     "report",
+    "state_text",
     "station_names",
     "station_state",
     "summarize_lines",

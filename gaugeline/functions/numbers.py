@@ -41,7 +41,10 @@ def decimal_units(name: str, scale: int) -> Column:
 
 
 def to_units(name: str, scale: int = 1) -> Column:
-    """Units as BIGINT, rounded half up to `scale` digits; NULL when the text is no number."""
+    """Units as BIGINT, rounded half up to `scale` digits.
+
+    NULL when the text is no number, or one of 10^12 units and more (a zero like `0e94` included).
+    """
     return F.when(is_number(name), decimal_units(name, scale))
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+REPORT_NUMBERS = ("min_v", "mean_v", "max_v")
+
+
 def fixed(value: Column, places: int = 1) -> Column:
     """`places` decimals, the exact binary value rounded half even, no thousands separator.
 
@@ -18,20 +21,31 @@ def units_text(units: Column, scale: int = 1) -> Column:
     return fixed(units.cast("double") / F.lit(float(10**scale)))
 
 
-# The last `=` separates, so a station name may hold `=` and `/` itself.
-REPORT = r"(?s)^(.*)=([^=/]*)/([^=/]*)/([^=/]*)$"
-
+def parse_report(lines: DataFrame) -> DataFrame:
+    """report, station, parsed, min_v, mean_v, max_v from report lines in column `report`.
 
-def report_fields(line: Column) -> Column:
-    """Struct of station, min_v, mean_v, max_v; NULL when the line is no report line."""
-    numbers = [F.regexp_extract(line, REPORT, i).try_cast("double") for i in (2, 3, 4)]
-    fields = F.struct(
-        F.regexp_extract(line, REPORT, 1).alias("station"),
-        *[n.alias(name) for n, name in zip(numbers, ("min_v", "mean_v", "max_v"))],
+    The last `=` separates, so a station name may hold `=` and `/` itself. A line that is no report
+    line stands for itself as station, without numbers.
+    """
+    cut = lines.selectExpr("report", "substring_index(report, '=', -1) AS tail").selectExpr(
+        "report",
+        "cast(substring(cast(report AS BINARY), 1, octet_length(report) - octet_length(tail) - 1) AS STRING) AS name",
+        "if(octet_length(tail) < octet_length(report), split(tail, '/', -1), array()) AS numbers",
+    )
+    values = cut.selectExpr(
+        "report",
+        "name",
+        *[
+            f"if(size(numbers) = 3, try_cast(numbers[{i}] AS DOUBLE), NULL) AS {field}"
+            for i, field in enumerate(REPORT_NUMBERS)
+        ],
     )
-    return F.when(
-        line.rlike(REPORT) & numbers[0].isNotNull() & numbers[1].isNotNull() & numbers[2].isNotNull(),
-        fields,
+    parsed = " AND ".join(f"{field} IS NOT NULL" for field in REPORT_NUMBERS)
+    return values.selectExpr("*", f"{parsed} AS parsed").selectExpr(
+        "report",
+        "if(parsed, name, report) AS station",
+        "parsed",
+        *[f"if(parsed, {field}, NULL) AS {field}" for field in REPORT_NUMBERS],
     )
 
 

@@ -5,23 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.functions.text import report_fields
+from gaugeline.functions.text import REPORT_NUMBERS, parse_report
 from gaugeline.operators.order import with_position
 
-_NUMBERS = ("min_v", "mean_v", "max_v")
-
-
-def _parsed(report: DataFrame) -> DataFrame:
-    fields = F.col("f")
-    return report.select("report", report_fields(F.col("report")).alias("f")).select(
-        "report",
-        # A line that is no report line stands for itself, without numbers.
-        F.coalesce(fields["station"], F.col("report")).alias("station"),
-        fields.isNotNull().alias("parsed"),
-        *[fields[n].alias(n) for n in _NUMBERS],
-    )
-
-
 def diff_by_station(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """station, status, expected, actual for two frames with a `report` column.
 
@@ -30,9 +16,9 @@ def diff_by_station(expected: DataFrame, actual: DataFrame) -> DataFrame:
     value, so `-0.0` equals `0.0`.
     """
     sides = (
-        _parsed(expected)
+        parse_report(expected)
         .withColumn("side", F.lit(0))
-        .unionByName(_parsed(actual).withColumn("side", F.lit(1)))
+        .unionByName(parse_report(actual).withColumn("side", F.lit(1)))
     )
 
     def first_of(side: int):
@@ -43,10 +29,10 @@ def diff_by_station(expected: DataFrame, actual: DataFrame) -> DataFrame:
         F.count_if(F.col("side") == 1).alias("n_actual"),
         first_of(0).alias("expected"),
         first_of(1).alias("actual"),
-        *[f(n).alias(f"{n}_{f.__name__}") for n in _NUMBERS for f in (F.min, F.max)],
+        *[f(n).alias(f"{n}_{f.__name__}") for n in REPORT_NUMBERS for f in (F.min, F.max)],
     )
     same = F.col("n_expected") == F.col("n_actual")
-    for n in _NUMBERS:
+    for n in REPORT_NUMBERS:
         same = same & F.col(f"{n}_min").eqNullSafe(F.col(f"{n}_max"))
     status = (
         F.when(F.col("n_actual") == 0, "missing")
@@ -61,12 +47,15 @@ def diff_summary(diff: DataFrame) -> DataFrame:
     return diff.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def diff_by_position(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """pos, expected, actual where the lines at the same position of the sorted reports differ."""
+def diff_by_position(expected: DataFrame, actual: DataFrame, unique: bool = False) -> DataFrame:
+    """pos, expected, actual where the lines at the same position of the sorted reports differ.
+
+    `unique=True` states that no line occurs twice within a report, which saves a checkpoint.
+    """
 
     def numbered(report: DataFrame, name: str) -> DataFrame:
-        rows = _parsed(report).select("station", F.col("report").alias(name))
-        return with_position(rows, "station", name, unique=False).select("pos", name)
+        rows = parse_report(report).select("station", F.col("report").alias(name))
+        return with_position(rows, "station", name, unique=unique).select("pos", name)
 
     paired = numbered(expected, "expected").join(numbered(actual, "actual"), "pos", "full")
     return paired.where(~F.col("expected").eqNullSafe(F.col("actual"))).select("pos", "expected", "actual")

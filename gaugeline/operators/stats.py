@@ -50,15 +50,20 @@ def merge_states(state: DataFrame, keys: Sequence[str] = ("station",)) -> DataFr
     )
 
 
-def finalize(state: DataFrame, scale: int = 1) -> DataFrame:
-    """station, min_s, mean_s, max_s with one decimal, in byte order of the station."""
+def state_text(state: DataFrame, scale: int = 1) -> DataFrame:
+    """station, min_s, mean_s, max_s with one decimal."""
     unit = f"{10**scale}D"
     return state.selectExpr(
         "station",
         f"format_number(mn / {unit}, '0.0') AS min_s",
         f"format_number(cast(s AS DOUBLE) / n / {unit}, '0.0') AS mean_s",
         f"format_number(mx / {unit}, '0.0') AS max_s",
-    ).orderBy("station")
+    )
+
+
+def finalize(state: DataFrame, scale: int = 1) -> DataFrame:
+    """`state_text` in byte order of the station."""
+    return state_text(state, scale).orderBy("station")
 
 
 def summarize_lines(lines: DataFrame, scale: int = 1, trim_station: bool = False) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.functions.text import fixed
-from gaugeline.operators.stats import report
+from gaugeline.operators.stats import aggregate_state, report, state_text
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,37 +67,18 @@ def event_hundredths(spark: SparkSession, sf_dir: str, *keys) -> DataFrame:
     return table(spark, sf_dir, "events").select(*keys, units.alias("t"))
 
 
-def damaged_copy(result: DataFrame) -> DataFrame:
-    """The report of a result with lines changed, lost and renamed, by the number in the station name."""
-    number = F.regexp_extract("station", "([0-9]+)$", 1).cast("bigint")
-    form = F.pmod(number, F.lit(10))
-    edited = result.select(
-        form.alias("form"),
-        F.when(form == 7, F.concat("station", F.lit("*"))).otherwise(F.col("station")).alias("station"),
-        F.when(form == 3, F.lit("-1.0")).otherwise(F.col("min_s")).alias("min_s"),
-        "mean_s",
-        "max_s",
-    )
-    return report(edited.where(F.col("form") != 5))
-
-
-USER_SUMMARY = """
-  SELECT user_id, 'user ' || user_id AS station,
-         printf('%.1f', min(t) / 100.0) AS min_s,
-         printf('%.1f', CAST(sum(t) AS DOUBLE) / count(t) / 100.0) AS mean_s,
-         printf('%.1f', max(t) / 100.0) AS max_s
-  FROM (SELECT user_id, CAST(round(value * 100) AS BIGINT) AS t FROM events)
-  GROUP BY user_id
-"""
+def order_report(spark: SparkSession, sf_dir: str, flag: str) -> DataFrame:
+    """Report of the quantities per order over the line items with one return flag."""
+    items = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == flag)
+    rows = items.selectExpr("concat('Order ', l_orderkey) AS station", "cast(l_quantity * 10 AS BIGINT) AS t")
+    return report(state_text(aggregate_state(rows)))
 
-EXPECTED_REPORT = f"""
-  SELECT station, min_s, station || '=' || min_s || '/' || mean_s || '/' || max_s AS report
-  FROM ({USER_SUMMARY})
-"""
 
-ACTUAL_REPORT = f"""
-  SELECT station, min_s, station || '=' || min_s || '/' || mean_s || '/' || max_s AS report
-  FROM (SELECT CASE WHEN user_id % 10 = 7 THEN station || '*' ELSE station END AS station,
-               CASE WHEN user_id % 10 = 3 THEN '-1.0' ELSE min_s END AS min_s, mean_s, max_s
-        FROM ({USER_SUMMARY}) WHERE user_id % 10 <> 5)
-"""
+def order_report_sql(flag: str) -> str:
+    return f"""
+      SELECT station, station || '=' || printf('%.1f', lo) || '/' || printf('%.1f', total / n) || '/'
+                      || printf('%.1f', hi) AS report
+      FROM (SELECT 'Order ' || l_orderkey AS station, min(l_quantity) AS lo, max(l_quantity) AS hi,
+                   sum(l_quantity) AS total, count(*) AS n
+            FROM lineitem WHERE l_returnflag = '{flag}' GROUP BY l_orderkey)
+    """

@@ -8,20 +8,12 @@ from pyspark.sql import functions as F
 from gaugeline.operators.compare import diff_by_position, diff_by_station, diff_summary
 from gaugeline.operators.generate import city_integers, generate_measurements
 from gaugeline.operators.leaderboard import leaderboard
-from gaugeline.operators.stats import aggregate_state, finalize, report
-from gaugeline.plans.tables import (
-    ACTUAL_REPORT,
-    EXPECTED_REPORT,
-    damaged_copy,
-    event_hundredths,
-    table,
-)
+from gaugeline.plans.tables import order_report, order_report_sql, table
 
 
 def _reports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    station = F.concat(F.lit("user "), F.col("user_id")).alias("station")
-    users = finalize(aggregate_state(event_hundredths(spark, sf_dir, station)), scale=2)
-    return report(users), damaged_copy(users)
+    """Accepted against returned quantities of all orders."""
+    return order_report(spark, sf_dir, "A"), order_report(spark, sf_dir, "R")
 
 
 def report_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +22,7 @@ def report_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report_diff_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first ten positions that differ."""
-    return diff_by_position(*_reports(spark, sf_dir)).orderBy("pos").limit(10)
+    return diff_by_position(*_reports(spark, sf_dir), unique=True).orderBy("pos").limit(10)
 
 
 def runtime_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,13 +68,13 @@ ORACLES = {
       SELECT CASE WHEN a.station IS NULL THEN 'missing' WHEN e.station IS NULL THEN 'extra'
                   WHEN e.report = a.report THEN 'equal' ELSE 'changed' END AS status,
              count(*) AS n
-      FROM ({EXPECTED_REPORT}) e FULL JOIN ({ACTUAL_REPORT}) a ON e.station = a.station
+      FROM ({order_report_sql('A')}) e FULL JOIN ({order_report_sql('R')}) a ON e.station = a.station
       GROUP BY 1
     """,
     "report_diff_positional": f"""
       SELECT coalesce(e.pos, a.pos) AS pos, e.report AS expected, a.report AS actual
-      FROM (SELECT row_number() OVER (ORDER BY station) AS pos, report FROM ({EXPECTED_REPORT})) e
-      FULL JOIN (SELECT row_number() OVER (ORDER BY station) AS pos, report FROM ({ACTUAL_REPORT})) a
+      FROM (SELECT row_number() OVER (ORDER BY station) AS pos, report FROM ({order_report_sql('A')})) e
+      FULL JOIN (SELECT row_number() OVER (ORDER BY station) AS pos, report FROM ({order_report_sql('R')})) a
         ON e.pos = a.pos
       WHERE e.report IS DISTINCT FROM a.report
       ORDER BY 1 LIMIT 10

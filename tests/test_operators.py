@@ -37,7 +37,7 @@ from gaugeline import (
     write_report,
     write_state,
 )
-from gaugeline.functions.text import byte_text, elapsed_text, fixed, report_fields
+from gaugeline.functions.text import byte_text, elapsed_text, fixed, parse_report
 from gaugeline.session import broadcast_if_small, fresh_path
 
 
@@ -160,11 +160,17 @@ def test_report_file_in_order(spark, tmp_path):
         assert sorted(r.report for r in read_report(spark, str(path)).collect()) == sorted(want)
 
 
-def test_report_fields(spark):
-    lines = ["a=1.0/2.0/3.0", "a=b=c/d=-0.0/0.0/1", "=1/2/3", "no numbers", "x=1/2", "x=1/y/3"]
-    df = spark.createDataFrame([(s,) for s in lines], "r string")
-    got = [r.f and tuple(r.f) for r in df.select(report_fields(F.col("r")).alias("f")).collect()]
-    assert got == [("a", 1.0, 2.0, 3.0), ("a=b=c/d", -0.0, 0.0, 1.0), ("", 1.0, 2.0, 3.0), None, None, None]
+def test_parse_report(spark):
+    lines = ["a=1.0/2.0/3.0", "a=b=c/d=-0.0/0.0/1", "=1/2/3", "é=1/2/3", "no numbers", "x=1/2", "x=1/y/3", "x=1/2/3/4", "1/2/3"]
+    df = spark.createDataFrame([(s,) for s in lines], "report string")
+    got = [tuple(r)[1:] for r in parse_report(df).collect()]
+    assert got[:4] == [
+        ("a", True, 1.0, 2.0, 3.0),
+        ("a=b=c/d", True, -0.0, 0.0, 1.0),
+        ("", True, 1.0, 2.0, 3.0),
+        ("é", True, 1.0, 2.0, 3.0),
+    ]
+    assert got[4:] == [(line, False, None, None, None) for line in lines[4:]]
 
 
 def _reports(spark, *texts):
