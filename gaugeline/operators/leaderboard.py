@@ -63,7 +63,7 @@ def upper_median(runs: DataFrame, key: str, value: str) -> DataFrame:
         return _sorted_middle(runs).select(F.col("k").alias(key), F.col("v").alias("median"))
     shared_dir(runs.sparkSession)
     # At most 1 / _HOT_SHARE rows here and in `fences`, so the broadcasts are bounded.
-    hot = F.broadcast(sizes.where(F.col("n") > limit).select(F.col("k").alias("hk")))
+    hot = F.broadcast(sizes.where(F.col("n") > limit).select(F.col("k").alias("hk")).checkpoint())
 
     def same(other: str):
         return F.col("k").eqNullSafe(F.col(other))
