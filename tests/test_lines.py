@@ -1,6 +1,7 @@
 """Line semantics: every odd line has one expected outcome."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,17 +164,11 @@ def test_random_lines_against_a_plain_loop(spark, tmp_path):
         name = rng.choice(names)
         lines.append(rng.choice([f"{name};{number}"] * 9 + [name, f"{name};{number};1", f"{name};q", ""]))
     (tmp_path / "f").write_text("\n".join(lines) + "\n")
-    state = {}
-    for line in lines:
-        try:
-            name, number = line.split(";")
-            t = round(float(number) * 10)
-        except ValueError:
-            continue
-        state.setdefault(name, []).append(t)
-    want = [
-        f"{k}={min(v) / 10:.1f}/{sum(v) / len(v) / 10:.1f}/{max(v) / 10:.1f}" for k, v in sorted(state.items())
-    ]
+    good = re.compile(r"([^;]*);(-?[0-9]+)[.]([0-9])")
+    tenths: dict[str, list[int]] = {}
+    for match in filter(None, map(good.fullmatch, lines)):
+        tenths.setdefault(match[1], []).append(int(match[2] + match[3]))
+    want = [f"{k}={min(v) / 10:.1f}/{sum(v) / len(v) / 10:.1f}/{max(v) / 10:.1f}" for k, v in sorted(tenths.items())]
     got = report(summarize_lines(read_lines(spark, str(tmp_path / "f")))).collect()
     assert [r.report for r in got] == want
 
