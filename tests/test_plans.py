@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from gaugeline.functions.numbers import to_units
+from gaugeline.plans import quality, summary, verify
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables not present")
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted({**summary.QUERIES, **quality.QUERIES, **verify.QUERIES}))
 def test_no_python_and_no_cross_join(spark, name):
     plan = contract.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHashAggregate"):
