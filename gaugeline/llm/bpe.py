@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from gaugeline.llm.common import ship, whole_text
 
 # Fragments whose ids a worker keeps; when full it starts over. Only speed depends on it.
-KEPT_FRAGMENTS = 700_000
+KEPT_FRAGMENTS = 200_000
 
 # The contractions of the pre-tokenizer, which one token may span.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
