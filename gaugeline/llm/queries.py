@@ -4,9 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe
+from gaugeline.llm import bpe, minhash, mixing, pii, rans, secrets, url_rules
 from gaugeline.llm.common import table
+from gaugeline.session import fresh_path
+
+# Fixed values of the contract.
+SITES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+END_ID = 2
+
+# Surrogates are as secret as this key: pass one of your own outside of tests.
+PII_KEY = "gaugeline test key"
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +23,45 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), spec).drop("ids")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, texts replaced."""
+    return pii.replace(table(spark, sf_dir, "documents"), PII_KEY)
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.digest(secrets.scan(docs, fresh_path(spark, "ledger")))
+
+
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge(pages, SITES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-files")
+    spec = bpe.read_spec(public_tokenizers.path("word_bpe_49k.json"))
+    rans.write_tokens(table(spark, sf_dir, "documents"), path, spec, END_ID)
+    return rans.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_pii": op2_pii,
+    "op3_secrets": op3_secrets,
+    "op4_url_rules": op4_url_rules,
+    "op5_rans": op5_rans,
+    "op7_mixing": op7_mixing,
+    "op8_minhash": op8_minhash,
 }
 
 ORACLES: dict[str, str] = {}
