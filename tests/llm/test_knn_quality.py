@@ -1,0 +1,58 @@
+"""The classifier on held-out labels, the sample's bound, and odd tables."""
+
+import zlib
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from gaugeline.llm import knn_quality, queries
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def result(spark):
+    return {r.doc_id: r for r in queries.op6_knn_quality(spark, SF).collect()}
+
+
+def test_held_out_labels(result):
+    labels = pd.read_parquet(f"{SF}/labels.parquet")
+    docs = pd.read_parquet(f"{SF}/documents.parquet")
+    assert set(result) == set(docs.doc_id)
+    for r in result.values():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+    held = labels[labels.doc_id.map(lambda i: result[i].held_out)]
+    good, bad = ([result[i].predicted for i in held.doc_id[held.quality == q]] for q in (1, 0))
+    assert np.mean(good) > 0.97 and np.mean(bad) < 0.1 and len(bad) >= 5
+
+
+def test_scores_equal_a_plain_vote(spark, result):
+    """Every cosine on its own, no blocks."""
+    docs = pd.read_parquet(f"{SF}/documents.parquet")
+    labels = pd.read_parquet(f"{SF}/labels.parquet")
+    train = labels[labels.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 5 != 0)].merge(docs, on="doc_id").sort_values("doc_id")
+    model = knn_quality.train(np.stack([knn_quality.counts(t.encode()) for t in train.text]), train.quality.to_numpy(float))
+    for d in docs.sample(80, random_state=1).itertuples():
+        v = knn_quality.vectors(model, knn_quality.counts(d.text.encode())[None])[0]
+        near = sorted(((float(v @ w), q) for w, q in zip(model.vectors, model.labels)), reverse=True)[: knn_quality.NEIGHBOURS]
+        weight = [max(s, 1e-3) ** knn_quality.SHARPNESS for s, _ in near]
+        assert result[d.doc_id].score == pytest.approx(np.average([q for _, q in near], weights=weight), abs=0.03)
+
+
+def test_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(knn_quality, "SAMPLE", 3)
+    texts = [None, "", " \n\t", "a", "x" * 200_000, "word " * 50_000, "日本語 テスト", "same text here", "same text here"] + [f"good text number {i}" for i in range(20)] + [f"BAD | {i} | BAD" for i in range(20)]
+    df = spark.createDataFrame([(i, t, 0.5) for i, t in enumerate(texts)] + [(None, "no id", 0.1)], "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(i, int(i < 29), 7) for i in range(9, 49)] + [(3, None, 7), (4, 5, 7), (None, 1, 7), (9, 1, 7), (5000, 1, 7)], "doc_id long, quality int, data int")
+    model = knn_quality.fit(df, labels)
+    assert len(model.labels) <= 6
+    out = {r.doc_id: r for r in knn_quality.scored(df, model, "mark").collect()}
+    assert len(out) == len(texts) + 1 and out[4].score == 0.5
+    assert [out[i].mark for i in (0, 1, 2)] == [0.0] * 3 and out[7].mark == out[8].mark
+    assert out[28].mark > 0.9 and out[48].mark < 0.1
+    blank = knn_quality.fit(df, labels.limit(0))
+    assert {r.mark for r in knn_quality.scored(df, blank, "mark").collect()} == {0.0, 0.5}
+    assert knn_quality.scored(df.limit(0), model, "mark").collect() == []
+    assert len(knn_quality.fit(df.limit(0), labels).labels) == 0
