@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, minhash, mixing, pii, rans, secrets, url_rules
+from gaugeline.llm import bpe, knn_quality, minhash, mixing, mtree, pii, rans, secrets, url_rules, weighted_sampling
 from gaugeline.llm.common import table
 from gaugeline.session import fresh_path
 
@@ -45,6 +45,15 @@ def op5_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = knn_quality.fit(docs, table(spark, sf_dir, "labels"))
+    scores = knn_quality.scored(docs, model).drop("text")
+    return scores.select(
+        "doc_id", knn_quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= knn_quality.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -54,14 +63,25 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
     "op3_secrets": op3_secrets,
     "op4_url_rules": op4_url_rules,
     "op5_rans": op5_rans,
+    "op6_knn_quality": op6_knn_quality,
     "op7_mixing": op7_mixing,
     "op8_minhash": op8_minhash,
+    "op9_mtree": op9_mtree,
+    "op10_weighted_sampling": op10_weighted_sampling,
 }
 
 ORACLES: dict[str, str] = {}
