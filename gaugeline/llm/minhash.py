@@ -10,7 +10,9 @@ Equal sets are one node from the start, so exact copies cost their rows only. Ca
 rounds, each over what the rounds before left in different components: first every node against the
 first node it shares a bucket with, then against the first and last node of all its buckets, and
 last all pairs of different components that still share a bucket. A family of near copies has
-become one component by then, so its pairs are never listed.
+become one component by then. What is left, texts that are alike but not enough, is compared inside
+the tasks, bucket by bucket in blocks; pairs are never rows, and each is looked at in the first bucket
+it shares only.
 
 Texts without words have the empty set and link with nothing, like rows without an id (component
 null). Rows that share an id share a component. An empty table gives no rows.
@@ -35,6 +37,8 @@ PERMUTATIONS = 96  # 3 a band, with 2 values each
 LEAST = 85
 # Nodes tested against one node in one task.
 HUB_ROWS = 4096
+# Nodes of a bucket in one block of the last round; a task compares two blocks.
+BLOCK_ROWS = 256
 # Shingles times permutations that are held at a time.
 _CELLS = 1 << 18
 
@@ -170,6 +174,82 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return grouped.mapInArrow(tested, "a long, b long")
 
 
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets in a with all in b: a product of 0/1 matrices over the shared shingles."""
+    sizes = [len(x) for x in (*a, *b)]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    values, column, times = np.unique(np.concatenate([*a, *b]), return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    owner, column = owner[keep], number[column[keep]]
+    total = np.zeros((len(a), len(b)), np.float32)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for at in range(0, int(shared.sum()), 4096):
+        lo, hi = np.searchsorted(column, [at, at + 4096])
+        part = np.zeros((len(sizes), 4096), np.float32)
+        part[owner[lo:hi], column[lo:hi] - at] = 1
+        total += part[: len(a)] @ part[len(a) :].T
+    return total.astype(np.int64)
+
+
+def _block_links(key: int, one: list[tuple], two: list[tuple] | None) -> list[tuple[int, int]]:
+    """Links between rows (node, component, text) of two blocks of a bucket, or within one."""
+    rows = [*one, *(two or [])]
+    found = [shingles(r[2]) for r in rows]
+    keys = np.stack([bands(signature(x)) for x in found])
+    node, component, size = (np.array(x, np.int64) for x in ([r[0] for r in rows], [r[1] for r in rows], [len(x) for x in found]))
+    left, right = np.arange(len(one)), np.arange(len(one), len(rows)) if two is not None else np.arange(len(one))
+    small, large = np.minimum.outer(size[left], size[right]), np.maximum.outer(size[left], size[right])
+    maybe = (component[left][:, None] != component[right][None, :]) & (100 * small >= LEAST * large)
+    if two is None:
+        maybe = np.triu(maybe, 1)
+    # Bands come in order; a pair that shares an earlier one is looked at there.
+    for band in range(BANDS):
+        same = keys[left, band][:, None] == keys[right, band][None, :]
+        if (keys[:, band] == key).any():
+            maybe &= same
+            break
+        maybe &= ~same
+    i, j = np.nonzero(maybe)
+    if not len(i):
+        return []
+    if len(i) <= 16:
+        good = [linked(found[left[x]], found[right[y]]) for x, y in zip(i, j)]
+    else:
+        both = overlaps([found[x] for x in left], [found[y] for y in right])[i, j]
+        good = 100 * both >= LEAST * (size[left[i]] + size[right[j]] - both)
+    return [(int(node[left[x]]), int(node[right[y]])) for x, y, ok in zip(i, j, good) if ok]
+
+
+def links_within(rest: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes of different components in the same bucket; rest (key, node, component)."""
+    sizes = rest.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"))
+    rows = rest.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).alias("second"), "node", "component")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sides = None, ([], [])
+
+        def links() -> pa.RecordBatch:
+            two = None if at is None or at[1] == at[2] else sides[1]
+            pairs = _block_links(at[0], sides[0], two) if sides[0] and (two is None or two) else []
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for key, lo, hi, second, node, component, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if (key, lo, hi) != at:
+                    yield links()
+                    at, sides = (key, lo, hi), ([], [])
+                sides[second].append((node, component, data))
+        yield links()
+
+    grouped = rows.join(texts, "node").select("key", "lo", "hi", "second", "node", "component", "data")
+    return grouped.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(compared, "a long, b long")
+
+
 def _between(members: DataFrame, labels: DataFrame) -> DataFrame:
     """key, node, component of the buckets that still hold several components."""
     rows = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -201,11 +281,9 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     ends = ends.where(F.coalesce("other", "a") != F.col("component")).select("a", F.col("node").alias("b"))
     links = stored(links.union(confirmed(ends, texts)), "minhash-links")
     labels = components(links)
-    # All pairs of different components that are left in one bucket.
+    # Nodes of different components that are left in one bucket.
     rest = stored(_between(rest.select("key", "node"), labels).select("key", "node", "component"), "minhash-rest")
-    other = rest.select("key", F.col("node").alias("a"), F.col("component").alias("c"))
-    pairs = rest.join(other, (rest.key == other.key) & (F.col("c") < F.col("component"))).select("a", F.col("node").alias("b")).distinct()
-    links = stored(links.union(confirmed(pairs, texts)), "minhash-links")
+    links = stored(links.union(links_within(rest, texts)), "minhash-links")
     labels = components(links)
     group = nodes.select("h1", "h2", "node").join(labels, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component_id"))
     out = found.select("doc_id", "n", "h1", "h2").join(group, ["h1", "h2"], "left")

@@ -97,3 +97,24 @@ def test_signatures_estimate_similarity():
             a, b = x[:n], np.concatenate([x[:k], x[n : 2 * n - k]])
             got.append((minhash.signature(a) == minhash.signature(b)).mean())
         assert abs(np.mean(got) - k / (2 * n - k)) < 0.03
+
+
+def test_blocks_of_a_bucket(spark, monkeypatch):
+    """Families whose members are close to the threshold, in blocks of three."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 3)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for i in range(70):
+        copy = list(base)
+        for at in rng.sample(range(120), rng.randint(1, 3)):
+            copy[at] = f"r{rng.random()}"
+        docs.append((i, " ".join(copy)))
+    agree(minhash.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect(), docs)
+
+
+def test_overlaps_are_exact():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 6000)).astype(np.uint64)) for _ in range(24)]
+    got = minhash.overlaps(sets[:9], sets[9:])
+    assert (got == [[len(np.intersect1d(a, b)) for b in sets[9:]] for a in sets[:9]]).all()
