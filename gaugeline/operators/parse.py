@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.functions.numbers import decimal_units, is_number
+from gaugeline.functions.numbers import decimal, is_number, units_of
 
 SEPARATOR = ";"
 # What counts as outer blank of a line.
@@ -31,8 +31,10 @@ def _fields(lines: DataFrame, scale: int, trim_station: bool) -> DataFrame:
         )
     )
     two = F.expr(f"octet_length(right) < octet_length(line) AND NOT contains(left, '{SEPARATOR}')")
-    t = F.when(two & is_number("right"), decimal_units("right", scale))
-    return cut.select("value", "line", "left", t.alias("t"))
+    # The decimal is a column of its own, as the units name it more than once.
+    number = F.when(two & is_number("right"), decimal("right", scale))
+    cut = cut.select("value", "line", "left", number.alias("number"))
+    return cut.selectExpr("value", "line", "left", f"{units_of('number', scale)} AS t")
 
 
 def measurements(lines: DataFrame, scale: int = 1, trim_station: bool = False) -> DataFrame:

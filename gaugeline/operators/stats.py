@@ -4,29 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions.numbers import DIGITS
 from gaugeline.operators.parse import measurements
 
-# |t| < 2^40 splits into two parts below 2^20 each, so either BIGINT sum holds 2^43 rows per
+# |t| < 2^60 splits into three parts below 2^20 each, so every BIGINT sum holds 2^43 rows per
 # station. One plain BIGINT sum could be overflowed by a handful of absurd but legal numbers,
 # and a DECIMAL(38) sum would leave Spark's fast aggregation map.
 _LIMB = 20
+_MASK = (1 << _LIMB) - 1
+_LIMBS = {
+    "hi": f"shiftright({{t}}, {2 * _LIMB})",
+    "mid": f"shiftright({{t}}, {_LIMB}) & {_MASK}L",
+    "lo": f"{{t}} & {_MASK}L",
+}
+_TOTAL = f"cast(cast(hi AS DECIMAL(38,0)) * {1 << 2 * _LIMB} + cast(mid AS DECIMAL(38,0)) * {1 << _LIMB} + lo AS DECIMAL(38,0))"
+
+
+def _limb_sums(t: str) -> list[Column]:
+    return [F.expr(f"sum({part.format(t=t)}) AS {name}") for name, part in _LIMBS.items()]
 
 
 def aggregate_state(rows: DataFrame, keys: Sequence[str] = ("station",)) -> DataFrame:
-    """keys + mn, mx, s, n from rows with a whole-number column `t`, |t| < 2^40."""
+    """keys + mn, mx, s, n from rows with a whole-number column `t`, |t| < 2^60."""
     parts = rows.groupBy(*keys).agg(
         F.expr("min(t) AS mn"),
         F.expr("max(t) AS mx"),
-        F.expr(f"sum(shiftright(t, {_LIMB})) AS hi"),
-        F.expr(f"sum(t & {(1 << _LIMB) - 1}L) AS lo"),
+        *_limb_sums("t"),
         F.expr("count(t) AS n"),
     )
-    total = f"cast(cast(hi AS DECIMAL(38,0)) * {1 << _LIMB} + lo AS DECIMAL(38,0)) AS s"
-    return parts.selectExpr(*keys, "mn", "mx", total, "n")
+    return parts.selectExpr(*keys, "mn", "mx", f"{_TOTAL} AS s", "n")
 
 
 def measurement_state(rows: DataFrame) -> DataFrame:
@@ -77,7 +86,41 @@ def report(result: DataFrame) -> DataFrame:
 
 
 def frame_stats(frame: DataFrame, key: str, value: str, scale: int = 1) -> DataFrame:
-    """The same table from a typed frame: numbers scaled to whole units first."""
+    """The same table from a typed frame, over all finite numbers.
+
+    Numbers are scaled to whole units and summed exactly. In a group that holds one of 10^18 units or
+    more, the mean is that of doubles. `frame_rejects` counts what is no finite number.
+    """
+    unit = f"{10**scale}D"
     units = (F.col(value).try_cast(f"decimal({DIGITS},{scale})") * F.lit(10**scale)).cast("bigint")
-    state = aggregate_state(frame.select(F.col(key).alias("station"), units.alias("t")))
-    return finalize(state.where("n > 0"), scale)
+    rows = frame.select(F.col(key).alias("station"), units.alias("t"), F.col(value).cast("double").alias("v"))
+    rows = rows.selectExpr("station", "t", "if(abs(v) < double('inf') AND NOT isnan(v), v, NULL) AS v")
+    state = rows.groupBy("station").agg(
+        F.min("t").alias("mn"),
+        F.max("t").alias("mx"),
+        *_limb_sums("t"),
+        F.count("v").alias("n"),
+        F.expr("count_if(t IS NULL AND v IS NOT NULL) AS n_big"),
+        F.expr("min(if(t IS NULL, v, NULL)) AS low"),
+        F.expr("max(if(t IS NULL, v, NULL)) AS high"),
+        # Scaled down, so that a sum of the largest doubles stays finite.
+        F.expr("sum(v / 18446744073709551616D) AS small"),
+    )
+    texts = state.where("n > 0").selectExpr(
+        "station",
+        f"format_number(least(mn / {unit}, low), '0.0') AS min_s",
+        f"""format_number(if(n_big = 0, cast({_TOTAL} AS DOUBLE) / n / {unit}, small / n * 18446744073709551616D), '0.0')
+            AS mean_s""",
+        f"format_number(greatest(mx / {unit}, high), '0.0') AS max_s",
+    )
+    return texts.orderBy("station")
+
+
+def frame_rejects(frame: DataFrame, key: str, value: str) -> DataFrame:
+    """station, reason (`null`, `nan`, `infinite`), n: the rows that `frame_stats` leaves out."""
+    number = F.col(value).cast("double")
+    reason = (
+        F.when(number.isNull(), "null").when(F.isnan(number), "nan").when(F.abs(number) == float("inf"), "infinite")
+    )
+    counts = frame.groupBy(F.col(key).alias("station"), reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.where("reason IS NOT NULL")
