@@ -5,84 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeline.operators.order import with_position
+from gaugeline.operators.order import sorted_table, with_position
 from gaugeline.session import shared_dir
 
-# A key is hot when it has more rows than one task should sort, and this share of all rows.
-_HOT_ROWS = 1_000_000
-_HOT_SHARE = 0.001
-
-# Approximate quantiles around the middle and the sketch's accuracy: its rank error is at most
-# n / _ACCURACY, so the two enclose the median.
-_LOW, _HIGH, _ACCURACY = 0.4999, 0.5001, 100_000
-
-
-def _fenced_middle(rows: DataFrame) -> DataFrame:
-    """k, zone, v of the middle row per k, from rows (k, v, lo, hi).
-
-    Values outside lo ... hi are only counted, as zone 0 below and zone 2 above: each task sends on
-    two rows for them. Values inside are counted per distinct value.
-    """
-    zone = F.when(F.col("v") < F.col("lo"), 0).when(F.col("v") > F.col("hi"), 2).otherwise(1)
-    counts = (
-        rows.select("k", "v", zone.alias("zone"))
-        .groupBy("k", "zone", F.when(F.col("zone") == 1, F.col("v")).alias("v"))
-        .agg(F.count(F.lit(1)).alias("w"))
-    )
-    key = Window.partitionBy("k")
-    upto = F.sum("w").over(key.orderBy("zone", "v").rowsBetween(Window.unboundedPreceding, 0))
-    rank = F.floor(F.sum("w").over(key) / 2) + 1
-    return (
-        counts.select("k", "zone", "v", "w", upto.alias("upto"), rank.alias("rank"))
-        .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("w") < F.col("rank")))
-        .select("k", "zone", "v")
-    )
-
-
-def _sorted_middle(rows: DataFrame) -> DataFrame:
-    """k, v of the middle row per k, by sorting each key's values."""
-    key = Window.partitionBy("k")
-    placed = rows.select(
-        "k", "v", F.row_number().over(key.orderBy("v")).alias("rn"), F.count("v").over(key).alias("n")
-    )
-    return placed.where(F.col("rn") == F.floor(F.col("n") / 2) + 1).select("k", "v")
-
 
 def upper_median(runs: DataFrame, key: str, value: str) -> DataFrame:
     """key, median: the value at 0-based index floor(n/2) of each key's sorted values. Exact.
 
-    Ordinary keys have their values sorted. A hot key's values are never gathered: a quantile sketch
-    fences its median in, and only the distinct values inside the fence (0.02% of the ranks) are put
-    in order.
+    Equal values of a key are counted before anything is moved. The counts are sorted by key and value
+    over all partitions; with a row count per key and partition it is known in which partition a key's
+    middle lies, and only there are rows counted on. A key with most of the rows is spread like any other.
     """
-    runs = runs.select(F.col(key).alias("k"), F.col(value).alias("v")).where(F.col("v").isNotNull())
-    sizes = runs.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    facts = sizes.agg(F.sum("n").alias("total"), F.max("n").alias("biggest")).first()
-    limit = max(_HOT_ROWS, (facts["total"] or 0) * _HOT_SHARE)
-    if (facts["biggest"] or 0) <= limit:
-        return _sorted_middle(runs).select(F.col("k").alias(key), F.col("v").alias("median"))
-    shared_dir(runs.sparkSession)
-    # At most 1 / _HOT_SHARE rows here and in `fences`, so the broadcasts are bounded.
-    hot = F.broadcast(sizes.where(F.col("n") > limit).select(F.col("k").alias("hk")).checkpoint())
-
-    def same(other: str):
-        return F.col("k").eqNullSafe(F.col(other))
-
-    rest = _sorted_middle(runs.join(hot, same("hk"), "left_anti"))
-    hot_runs = runs.join(hot, same("hk"), "left_semi")
-    fences = (
-        hot_runs.groupBy("k")
-        .agg(F.percentile_approx("v", [_LOW, _HIGH], _ACCURACY).alias("q"))
-        .select(F.col("k").alias("fk"), F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
+    counts = (
+        runs.select(F.col(key).alias("k"), F.col(value).alias("v"))
+        .where(F.col("v").isNotNull())
+        .groupBy("k", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    placed = sorted_table(counts, "k", "v")
+    # One row per key, and one more for each border between partitions.
+    parts = placed.groupBy("k", "_part").agg(F.sum("n").alias("rows"))
+    by_key = Window.partitionBy("k")
+    upto = F.sum("rows").over(by_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0))
+    rank = F.floor(F.sum("rows").over(by_key) / 2) + 1
+    parts = parts.select("k", "_part", "rows", upto.alias("upto"), rank.alias("rank"))
+    found = parts.where("upto >= rank AND upto - rows < rank").select(
+        F.col("k").alias("hk"), F.col("_part").alias("hp"), (F.col("rank") - F.col("upto") + F.col("rows")).alias("need")
     )
-    fenced = runs.join(F.broadcast(fences), same("fk"))
-    middle = _fenced_middle(fenced).checkpoint()
-    found = middle.where("zone = 1").select("k", "v")
-    # The sketch's error bound rules this out; a key it failed has its values sorted after all.
-    missed = middle.where("zone <> 1").select(F.col("k").alias("mk"))
-    if not missed.isEmpty():
-        found = found.union(_sorted_middle(runs.join(missed, same("mk"), "left_semi")))
-    return found.union(rest).select(F.col("k").alias(key), F.col("v").alias("median"))
+    near = placed.join(found, F.col("k").eqNullSafe(F.col("hk")) & (F.col("_part") == F.col("hp")))
+    running = F.sum("n").over(Window.partitionBy("k", "_part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    middle = near.withColumn("running", running).where("running >= need AND running - n < need")
+    return middle.select(F.col("k").alias(key), F.col("v").alias("median"))
 
 
 def leaderboard(runs: DataFrame) -> DataFrame:

@@ -11,13 +11,26 @@ from gaugeline.session import fresh_path, shared_dir
 _ROW_BITS = 33
 
 
+def sorted_table(df: DataFrame, *order: str) -> DataFrame:
+    """`df` sorted over all partitions and written, with _part (the partition, in order) and _row (the row in it).
+
+    Written, because counts per partition and the rows must come from the same sort even if an
+    executor is lost in between.
+    """
+    shared_dir(df.sparkSession)
+    path = fresh_path(df.sparkSession, "sorted")
+    ordered = df.orderBy(*order).select(*df.columns, F.monotonically_increasing_id().alias("_id"))
+    ordered.write.parquet(path)
+    placed = df.sparkSession.read.schema(ordered.schema).parquet(path)
+    row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return placed.select(*df.columns, F.shiftright("_id", _ROW_BITS).alias("_part"), row.alias("_row"))
+
+
 def with_position(df: DataFrame, *order: str, name: str = "pos", unique: bool = True) -> DataFrame:
     """Add the 1-based position in the order of `order`.
 
     The sort is range partitioned. Each partition numbers its own rows; adding the row counts of
-    the partitions before it gives the position. The sorted rows are written to a table, because
-    counts and rows must come from the same sort even if an executor is lost in between; the counts
-    then read the one number column only.
+    the partitions before it gives the position. The counts read one number column only.
 
     With `unique=False` many rows may be equal in `order`. They get an arbitrary order among
     themselves from a row id, so that one repeated value can be split over partitions; the input is
@@ -28,19 +41,11 @@ def with_position(df: DataFrame, *order: str, name: str = "pos", unique: bool =
     if not unique:
         rows = df.checkpoint().withColumn("_tie", F.monotonically_increasing_id())
         keys.append("_tie")
-    path = fresh_path(df.sparkSession, "sorted")
-    ordered = rows.orderBy(*keys).select(*df.columns, F.monotonically_increasing_id().alias("_id"))
-    ordered.write.parquet(path)
-    placed = (
-        df.sparkSession.read.schema(ordered.schema)
-        .parquet(path)
-        .withColumn("_part", F.shiftright("_id", _ROW_BITS))
-    )
+    placed = sorted_table(rows, *keys)
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     # One row per sort partition: bounded by spark.sql.shuffle.partitions, not by the data.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return placed.join(F.broadcast(starts), "_part").select(
-        *df.columns, (F.col("_start") + row + 1).alias(name)
+        *df.columns, (F.col("_start") + F.col("_row") + 1).alias(name)
     )
