@@ -9,6 +9,7 @@ from gaugeline.operators.parse import measurements, parse_lines, reject_counts
 from gaugeline.operators.stats import (
     aggregate_state,
     finalize,
+    frame_rejects,
     frame_stats,
     measurement_state,
     merge_states,
@@ -17,7 +18,9 @@ from gaugeline.operators.stats import (
     station_state,
     summarize_lines,
 )
+from gaugeline.session import drop_intermediate
 from gaugeline.sources.files import (
+    csv_fields,
     read_csv_measurements,
     read_lines,
     read_report,
@@ -30,11 +33,14 @@ from gaugeline.sources.files import (
 __all__ = [
     "aggregate_state",
     "city_integers",
+    "csv_fields",
     "diff_by_position",
     "diff_by_station",
     "diff_summary",
+    "drop_intermediate",
     "estimate_file_size",
     "finalize",
+    "frame_rejects",
     "frame_stats",
     "generate_measurements",
     "leaderboard",

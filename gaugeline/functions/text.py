@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeline.functions.numbers import NUMBER
 
 REPORT_NUMBERS = ("min_v", "mean_v", "max_v")
 
+# Words that count as numbers in a report.
+WORDS = "^[+-]?(inf|infinity|nan)$"
+
 
 def fixed(value: Column, places: int = 1) -> Column:
     """`places` decimals, the exact binary value rounded half even, no thousands separator.
@@ -33,11 +37,17 @@ def parse_report(lines: DataFrame) -> DataFrame:
         "if(octet_length(tail) < octet_length(report), split(tail, '/', -1), array()) AS numbers",
     )
     values = cut.selectExpr(
+        "report",
+        "name",
+        *[f"if(size(numbers) = 3, numbers[{i}], NULL) AS {field}" for i, field in enumerate(REPORT_NUMBERS)],
+    )
+    # The DOUBLE cast alone would take `1.0d` and `1f`.
+    values = values.select(
         "report",
         "name",
         *[
-            f"if(size(numbers) = 3, try_cast(numbers[{i}] AS DOUBLE), NULL) AS {field}"
-            for i, field in enumerate(REPORT_NUMBERS)
+            F.when(F.col(field).rlike(NUMBER) | F.lower(F.trim(field)).rlike(WORDS), F.col(field).try_cast("double")).alias(field)
+            for field in REPORT_NUMBERS
         ],
     )
     parsed = " AND ".join(f"{field} IS NOT NULL" for field in REPORT_NUMBERS)
@@ -50,17 +60,18 @@ def parse_report(lines: DataFrame) -> DataFrame:
 
 
 # Unit names in steps of 1024.
-BYTE_UNITS = ("bytes", "KiB", "MiB", "GiB")
+BYTE_UNITS = ("bytes", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB")
 
 
 def byte_text(size: Column) -> Column:
-    """One decimal and a unit; NULL from 1024 GiB up."""
+    """One decimal and a unit; the last unit has no upper bound."""
     size = size.cast("double")
     out = None
     for power, unit in enumerate(BYTE_UNITS):
         part = size / F.lit(1024.0**power)
         text = F.concat(fixed(part), F.lit(f" {unit}"))
-        out = F.when(part < 1024.0, text) if out is None else out.when(part < 1024.0, text)
+        fits = (part < 1024.0) | F.lit(unit == BYTE_UNITS[-1])
+        out = F.when(fits, text) if out is None else out.when(fits, text)
     return out
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gaugeline.functions.text import REPORT_NUMBERS, parse_report
 from gaugeline.operators.order import with_position
 
+
 def diff_by_station(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """station, status, expected, actual for two frames with a `report` column.
 
@@ -21,23 +22,30 @@ def diff_by_station(expected: DataFrame, actual: DataFrame) -> DataFrame:
         .unionByName(parse_report(actual).withColumn("side", F.lit(1)))
     )
 
+    def count_of(side: int):
+        return F.count_if(F.col("side") == side)
+
     def first_of(side: int):
         return F.min(F.when(F.col("side") == side, F.col("report")))
 
-    both = sides.groupBy("station", "parsed").agg(
-        F.count_if(F.col("side") == 0).alias("n_expected"),
-        F.count_if(F.col("side") == 1).alias("n_actual"),
+    # Per distinct triple of numbers first (0.0 and -0.0 are one), so that repeated lines can be matched.
+    lines = sides.groupBy("station", "parsed", *REPORT_NUMBERS).agg(
+        count_of(0).alias("n_expected"),
+        count_of(1).alias("n_actual"),
         first_of(0).alias("expected"),
         first_of(1).alias("actual"),
-        *[f(n).alias(f"{n}_{f.__name__}") for n in REPORT_NUMBERS for f in (F.min, F.max)],
     )
-    same = F.col("n_expected") == F.col("n_actual")
-    for n in REPORT_NUMBERS:
-        same = same & F.col(f"{n}_min").eqNullSafe(F.col(f"{n}_max"))
+    both = lines.groupBy("station", "parsed").agg(
+        F.sum("n_expected").alias("n_expected"),
+        F.sum("n_actual").alias("n_actual"),
+        F.count_if(F.col("n_expected") != F.col("n_actual")).alias("n_unmatched"),
+        F.min("expected").alias("expected"),
+        F.min("actual").alias("actual"),
+    )
     status = (
         F.when(F.col("n_actual") == 0, "missing")
         .when(F.col("n_expected") == 0, "extra")
-        .when(same, "equal")
+        .when(F.col("n_unmatched") == 0, "equal")
         .otherwise("changed")
     )
     return both.select("station", status.alias("status"), "expected", "actual")
@@ -54,8 +62,13 @@ def diff_by_position(expected: DataFrame, actual: DataFrame, unique: bool = Fals
     """
 
     def numbered(report: DataFrame, name: str) -> DataFrame:
-        rows = parse_report(report).select("station", F.col("report").alias(name))
-        return with_position(rows, "station", name, unique=unique).select("pos", name)
+        # A report that still has its station column isn't parsed again.
+        rows = report if "station" in report.columns else parse_report(report)
+        rows = rows.select("station", "report")
+        placed = with_position(rows, "station", "report", unique=unique)
+        return placed.select("pos", *[(F.col("report") if c == name else F.lit(None).cast("string")).alias(c) for c in ("expected", "actual")])
 
-    paired = numbered(expected, "expected").join(numbered(actual, "actual"), "pos", "full")
-    return paired.where(~F.col("expected").eqNullSafe(F.col("actual"))).select("pos", "expected", "actual")
+    # One row per position and side: a union and a grouping pair them without a full join.
+    lines = numbered(expected, "expected").unionByName(numbered(actual, "actual"))
+    paired = lines.groupBy("pos").agg(F.max("expected").alias("expected"), F.max("actual").alias("actual"))
+    return paired.where(~F.col("expected").eqNullSafe(F.col("actual")))

@@ -36,25 +36,28 @@ def measurement_ids(spark: SparkSession, n: int, partitions: int | None = None)
     return spark.range(0, n, 1, partitions) if partitions else spark.range(n)
 
 
-def station_pool(names: DataFrame) -> DataFrame:
-    """slot, station: 10,000 draws with replacement from the distinct names."""
+def station_pool(names: DataFrame, slots: int = POOL_SLOTS) -> DataFrame:
+    """slot, station: `slots` draws with replacement from the distinct names; names that no draw hits never occur.
+
+    Starts jobs: the names are numbered in a written table and counted.
+    """
     ranked = with_position(names.select("station").distinct(), "station")
     n_names = ranked.count()
     if n_names == 0:
         raise ValueError("no station names to draw from")
-    slots = names.sparkSession.range(POOL_SLOTS).select(
+    drawn = names.sparkSession.range(slots).select(
         F.col("id").alias("slot"), (draw(F.col("id"), _POOL, n_names) + 1).alias("pos")
     )
-    # 10,000 pairs of integers: always small enough.
-    return ranked.join(F.broadcast(slots), "pos").select("slot", "station")
+    # Pairs of integers, a few hundred kB at the default.
+    return ranked.join(F.broadcast(drawn), "pos").select("slot", "station")
 
 
-def generate_measurements(ids: DataFrame, names: DataFrame) -> DataFrame:
+def generate_measurements(ids: DataFrame, names: DataFrame, slots: int = POOL_SLOTS) -> DataFrame:
     """id, station, tenths, line: one measurement per row of `ids` (column id)."""
-    pool = broadcast_if_small(station_pool(names).checkpoint(), "station")
+    pool = broadcast_if_small(station_pool(names, slots).checkpoint(), "station")
     rows = ids.select(
         "id",
-        draw(F.col("id"), _STATION, POOL_SLOTS).alias("slot"),
+        draw(F.col("id"), _STATION, slots).alias("slot"),
         (draw(F.col("id"), _NUMBER, HOTTEST - COLDEST + 1) + COLDEST).alias("tenths"),
     )
     return rows.join(pool, "slot").select(

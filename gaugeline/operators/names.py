@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gaugeline.functions.text import byte_text
 
 # Line boundaries in a station list besides \n; \r\n is one boundary.
-OTHER_BREAKS = ("\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029")
+OTHER_BREAK = r"[\r\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}]"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}]"
 
 # Stated limits of the input format.
@@ -27,9 +27,7 @@ def text_lines(texts: DataFrame, column: str) -> DataFrame:
     that hold one of the rarer breaks.
     """
     text = F.col(column)
-    rare = F.lit(False)
-    for mark in OTHER_BREAKS:
-        rare = rare | F.contains(text, F.lit(mark))
+    rare = text.rlike(OTHER_BREAK)
     pieces = F.when(rare, F.split(text, LINE_BREAK, -1)).otherwise(F.split(text, "\n", -1))
     open_end = F.element_at("p", -1) == ""
     lines = F.when(open_end, F.slice("p", 1, F.size("p") - 1)).otherwise(F.col("p"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,21 +31,45 @@ def local_session(app: str, cores: int = 8, memory: str = "12g") -> SparkSession
     )
 
 
+_written: dict[str, list[str]] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; only a local master may fall back to a temporary one."""
+    """The cluster's checkpoint folder; only a local master may fall back to a temporary one.
+
+    Sets the session's checkpoint folder if none is set. A `file:` folder is refused on a cluster: it
+    would be another one on each machine.
+    """
     sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder is None:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        folder = tempfile.mkdtemp(prefix="gaugeline-")
+    if folder.startswith("file:") and not sc.master.startswith("local"):
+        raise ValueError(f"{folder} isn't a folder that every executor can reach")
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-            folder = tempfile.mkdtemp(prefix="gaugeline-")
         sc.setCheckpointDir(folder)
-    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    return folder
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/gaugeline-{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder. `drop_intermediate` deletes what was written there."""
+    path = f"{shared_dir(spark).rstrip('/')}/gaugeline-{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_intermediate(spark: SparkSession) -> int:
+    """Delete the tables that operators of this application wrote between stages; how many there were.
+
+    Only the caller knows when results that read them are used up.
+    """
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
 
 
 def broadcast_if_small(df: DataFrame, text_col: str, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.functions.numbers import to_units
+from gaugeline.operators.parse import BLANKS
 
 
 def read_lines(spark: SparkSession, path: str | list[str], line_sep: str | None = None) -> DataFrame:
@@ -15,25 +16,35 @@ def read_lines(spark: SparkSession, path: str | list[str], line_sep: str | None
 
 
 def read_csv_measurements(spark: SparkSession, path: str | list[str], scale: int = 1) -> DataFrame:
-    """`measurements` rows through the CSV reader: both NULL where a row is not a name and a number.
+    """`measurements` rows through the CSV parser: both NULL where a row is not a name and a number.
 
-    Quotes are part of the station. The reader itself loses blank lines, so use `read_lines` with
-    `parse_lines` where rejected lines must be accounted for.
+    Quotes are part of the station.
     """
-    rows = (
-        spark.read.schema("station string, number string, bad string")
-        .option("sep", ";")
-        .option("quote", "")
-        .option("escape", "")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "bad")
-        .csv(path)
+    return csv_fields(read_lines(spark, path), scale).select("station", "t")
+
+
+def csv_fields(lines: DataFrame, scale: int = 1) -> DataFrame:
+    """value, station, t, reason: each line parsed as separated values; `reason` as `parse_lines` gives it.
+
+    The lines are read as text first: the CSV reader replaces bytes that are not UTF-8, which would
+    make one key of several, and loses blank lines.
+    """
+    options = {"sep": ";", "quote": "", "escape": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"}
+    fields = F.from_csv("value", "station string, number string, bad string", options)
+    rows = lines.select("value", F.is_valid_utf8("value").alias("valid"), fields.alias("f")).select("value", "valid", "f.*")
+    t = F.when(F.col("valid") & F.col("bad").isNull(), to_units("number", scale))
+    rows = rows.select("*", t.alias("t"))
+    reason = (
+        F.when(~F.col("valid"), "bad_utf8")
+        .when(F.col("t").isNotNull(), None)
+        .when(F.btrim("value", F.lit(BLANKS)) == "", "blank")
+        .when(~F.contains("value", F.lit(";")), "no_separator")
+        .when(F.col("bad").isNotNull(), "extra_separator")
+        .otherwise("bad_number")
     )
-    t = F.when(F.col("bad").isNull(), to_units("number", scale))
-    rows = rows.select("station", t.alias("t"))
     # An empty key reads as NULL.
     name = F.coalesce("station", F.lit(""))
-    return rows.select(F.when(F.col("t").isNotNull(), name).alias("station"), "t")
+    return rows.select("value", F.when(F.col("t").isNotNull(), name).alias("station"), "t", reason.alias("reason"))
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

@@ -10,7 +10,6 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-import gaugeline.operators.leaderboard as leaderboard_module
 from gaugeline import (
     aggregate_state,
     city_integers,
@@ -19,6 +18,7 @@ from gaugeline import (
     diff_summary,
     estimate_file_size,
     finalize,
+    frame_rejects,
     frame_stats,
     generate_measurements,
     leaderboard,
@@ -85,6 +85,16 @@ def test_frame_stats(spark):
     assert got == [("a", "-3.5", "-3.5", "-3.5"), ("b", "1.2", "1.6", "2.0")]
 
 
+def test_frame_stats_keeps_every_finite_number(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", 1e11), ("a", 2.0), ("b", inf), ("c", nan), ("c", 1.0), ("d", 1e300), ("d", -1.0), ("d", None), ("e", None), ("f", 1.7e308), ("f", 1.7e308), ("f", -inf)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.station: (float(r.min_s), float(r.mean_s), float(r.max_s)) for r in frame_stats(df, "k", "v").collect()}
+    assert got == {"a": (2.0, 50000000001.0, 1e11), "c": (1.0, 1.0, 1.0), "d": (-1.0, 5e299, 1e300), "f": (1.7e308, 1.7e308, 1.7e308)}
+    rejects = {(r.station, r.reason): r.n for r in frame_rejects(df, "k", "v").collect()}
+    assert rejects == {("b", "infinite"): 1, ("c", "nan"): 1, ("d", "null"): 1, ("e", "null"): 1, ("f", "infinite"): 1}
+
+
 def test_byte_text(spark):
     want = {
         0: "0.0 bytes",
@@ -99,8 +109,10 @@ def test_byte_text(spark):
         2**30: "1.0 GiB",
         10**12: "931.3 GiB",
         2**40 - 1: "1024.0 GiB",
-        2**40: None,
-        2**41: None,
+        2**40: "1.0 TiB",
+        94 * 10**12: "85.5 TiB",
+        2**50: "1.0 PiB",
+        2**62: "4.0 EiB",
     }
     df = spark.createDataFrame([(x,) for x in want], "x long")
     assert {r.x: r.s for r in df.select("x", byte_text(F.col("x")).alias("s")).collect()} == want
@@ -211,6 +223,18 @@ def test_diff_by_station(spark):
     assert summary == {"equal": 3, "changed": 2, "missing": 2, "extra": 1}
 
 
+def test_repeated_stations_are_matched(spark):
+    one, two = _reports(spark, ["a=1/1/1", "a=2/2/2", "b=1/1/1", "b=1/1/1"], ["a=2/2/2", "a=1/1/1", "b=1/1/1", "b=2/2/2"])
+    assert {r.station: r.status for r in diff_by_station(one, one).collect()} == {"a": "equal", "b": "equal"}
+    assert {r.station: r.status for r in diff_by_station(one, two).collect()} == {"a": "equal", "b": "changed"}
+
+
+def test_suffixes_are_no_numbers(spark):
+    one, two = _reports(spark, ["a=1/1/1", "b=1/1/1", "c=nan/-inf/Infinity"], ["a=1.0d/1f/1.0", "b=1e0/+1/01.0", "c=NaN/-INF/infinity"])
+    got = {r.station: r.status for r in diff_by_station(one, two).collect()}
+    assert got == {"a": "missing", "a=1.0d/1f/1.0": "extra", "b": "equal", "c": "equal"}
+
+
 def test_cut_report_is_noticed(spark):
     rep = _summary(spark, 200).select("report")
     cut = rep.orderBy("report").limit(150)
@@ -225,20 +249,20 @@ def test_diff_by_position(spark):
     assert diff_by_position(expected, expected).collect() == []
 
 
-@pytest.mark.parametrize("hot_rows", [50, 10**6])
-@pytest.mark.parametrize("fence", [(0.4999, 0.5001), (0.9, 0.95), (0.01, 0.02)])
-def test_upper_median(spark, monkeypatch, fence, hot_rows):
-    # The last two fences miss the median, so the full route must take over. Small keys are not hot.
-    monkeypatch.setattr(leaderboard_module, "_HOT_SHARE", 0.003)
-    monkeypatch.setattr(leaderboard_module, "_HOT_ROWS", hot_rows)
-    monkeypatch.setattr(leaderboard_module, "_LOW", fence[0])
-    monkeypatch.setattr(leaderboard_module, "_HIGH", fence[1])
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_upper_median(spark, coalesce):
+    # Without coalescing the hot key lies in several partitions, and its middle in one of them.
     rng = random.Random(5)
     runs = {f"e{i}": [rng.choice([1.0, 2.5, rng.random()]) for _ in range(n)] for i, n in enumerate((1, 2, 3, 4, 5, 100, 101))}
     runs["hot"] = [rng.gauss(0, 1) for _ in range(20_000)]
     runs["ties"] = [7.0] * 5000 + [1e300, -1e300]
     df = spark.createDataFrame([(k, v) for k, vs in runs.items() for v in vs] + [("hot", None), (None, 2.0)], "entry string, seconds double")
-    got = {r.entry: r.median for r in upper_median(df, "entry", "seconds").collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        got = {r.entry: r.median for r in upper_median(df, "entry", "seconds").collect()}
+        assert upper_median(df.limit(0), "entry", "seconds").collect() == []
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert got == {None: 2.0} | {k: sorted(v)[len(v) // 2] for k, v in runs.items()}
 
 
@@ -336,5 +360,38 @@ assert with_position(spark.range(5), "id").count() == 5
     assert list(tmp_path.glob("gaugeline-sorted-*"))
 
 
+def test_pool_of_any_size(spark):
+    names = spark.createDataFrame([(f"n{i}",) for i in range(500)], "station string")
+    assert generate_measurements(measurement_ids(spark, 5000), names, slots=20).select("station").distinct().count() <= 20
+
+
+def test_intermediate_tables_can_be_dropped(spark, tmp_path):
+    from gaugeline import drop_intermediate
+
+    drop_intermediate(spark)
+    path = fresh_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert drop_intermediate(spark) == 1 and drop_intermediate(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_folders_of_one_machine_are_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    from gaugeline.session import shared_dir
+
+    def session(master, folder):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: folder, setCheckpointDir=lambda x: None)
+        return SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None))
+
+    for master, folder in (("yarn", None), ("local-cluster[2,1,512]", None), ("spark://x:7077", "file:/tmp/x")):
+        with pytest.raises(ValueError):
+            shared_dir(session(master, folder))
+    assert shared_dir(session("yarn", "hdfs:///x")) == "hdfs:///x"
+    assert shared_dir(session("local-cluster[2,1,512]", "file:///x")) == "file:///x"
+
+
 def test_fresh_paths_differ(spark):
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
