@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from gaugeline.functions.numbers import to_units, units_from_digits, units_truncated
 from gaugeline.functions.text import byte_text, elapsed_text, fixed
 from gaugeline.operators.names import estimate_file_size, name_limits, station_names
-from gaugeline.operators.parse import reject_counts
+from gaugeline.operators.parse import parse_lines, reject_counts
+from gaugeline.operators.stats import frame_rejects, summarize_lines
 from gaugeline.plans.tables import EVENT_LINES, event_lines, table
+from gaugeline.sources.files import csv_fields
 
 
 def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,9 +27,14 @@ def station_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_path_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """path, n_rows, n_mismatch (against the decimal path), sum_tenths over all event values."""
+    """path, n_rows, n_mismatch (against the decimal path), sum_tenths over all event values and long numbers."""
     paths = {"decimal": to_units, "digits": units_from_digits, "truncated_double": units_truncated}
-    text = table(spark, sf_dir, "events").select(fixed(F.col("value")).alias("text"))
+    events = table(spark, sf_dir, "events")
+    # As given, whole and long, and too large for any path.
+    forms = F.array(
+        fixed(F.col("value")), F.concat(F.col("event_id") + 1, F.lit("000000")), F.concat(F.col("event_id") + 1, F.lit("0" * 20))
+    )
+    text = events.select(F.explode(forms).alias("text"))
     parsed = text.select(*[f("text").alias(name) for name, f in paths.items()])
     one = parsed.agg(
         *[
@@ -43,6 +50,32 @@ def parse_path_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.select(F.inline(F.array(*paths)))
 
 
+def trimmed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary of lines with blanks at both ends; only the inner blank belongs to the station."""
+    line = F.concat(F.lit(" \t"), "event_type", F.lit(" ;"), fixed(F.col("value")), F.lit(" \x0b "))
+    return summarize_lines(table(spark, sf_dir, "events").select(line.alias("value")), trim_station=True)
+
+
+def invalid_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """route, reason, n: all events as lines, one in ten with two more whose stations are no UTF-8, by either parser."""
+    good = F.concat(F.col("event_type"), F.lit(";"), fixed(F.col("value")))
+    bad = [F.expr(f"cast(concat(X'{key}', cast('{end}' AS BINARY)) AS STRING)") for key, end in (("FFFE", ";1.0"), ("FFFD", ";2.0"))]
+    lines = F.when(F.col("event_id") % 10 == 0, F.array(good, *bad)).otherwise(F.array(good))
+    lines = table(spark, sf_dir, "events").select(F.explode(lines).alias("value"))
+    routes = [
+        f(lines).select(F.lit(name).alias("route"), F.coalesce("reason", F.lit("good")).alias("reason"))
+        for name, f in (("text", parse_lines), ("csv", csv_fields))
+    ]
+    return routes[0].unionByName(routes[1]).groupBy("route", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def frame_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is no finite number among event values divided by a number that is 0 at times."""
+    number = F.when(F.col("event_id") % 11 == 0, F.lit(float("nan"))).when(F.col("event_id") % 13 == 0, F.lit(float("-inf")))
+    value = F.coalesce(number, F.try_divide(F.col("value"), F.col("event_id") % 7))
+    return frame_rejects(table(spark, sf_dir, "events").select("event_type", value.alias("v")), "event_type", "v")
+
+
 def estimated_file_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return estimate_file_size(table(spark, sf_dir, "part").select(F.col("p_name").alias("station")))
 
@@ -68,6 +101,9 @@ def span_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "malformed_lines": malformed_lines,
+    "trimmed_lines": trimmed_lines,
+    "invalid_bytes": invalid_bytes,
+    "frame_reject_counts": frame_reject_counts,
     "station_names": station_names_query,
     "station_constraints": station_constraints,
     "parse_path_parity": parse_path_parity,
@@ -90,6 +126,8 @@ _PATHS = """
          CAST(replace(v, '.', '') AS BIGINT) AS g,
          CAST(trunc(x * 10) AS BIGINT) AS f
   FROM (SELECT v, CAST(v AS DOUBLE) AS x FROM (SELECT printf('%.1f', value) AS v FROM events))
+  UNION ALL SELECT (event_id + 1) * 10000000, (event_id + 1) * 10000000, (event_id + 1) * 10000000 FROM events
+  UNION ALL SELECT NULL, NULL, NULL FROM events
 """
 
 ORACLES = {
@@ -102,6 +140,26 @@ ORACLES = {
             FROM (SELECT value, string_split(value, ';') AS p FROM ({EVENT_LINES})))
       WHERE reason IS NOT NULL GROUP BY reason
     """,
+    "trimmed_lines": """
+      SELECT station, printf('%.1f', min(t) / 10.0) AS min_s,
+             printf('%.1f', CAST(sum(t) AS DOUBLE) / count(t) / 10.0) AS mean_s, printf('%.1f', max(t) / 10.0) AS max_s
+      FROM (SELECT event_type || ' ' AS station, CAST(round(CAST(printf('%.1f', value) AS DOUBLE) * 10) AS BIGINT) AS t
+            FROM events)
+      GROUP BY station
+    """,
+    "invalid_bytes": """
+      SELECT route, reason, n
+      FROM (SELECT 'good' AS reason, count(*) AS n FROM events
+            UNION ALL SELECT 'bad_utf8', 2 * count(*) FROM events WHERE event_id % 10 = 0) AS counted,
+           (SELECT 'text' AS route UNION ALL SELECT 'csv') AS routes
+    """,
+    "frame_reject_counts": """
+      SELECT station, reason, count(*) AS n
+      FROM (SELECT event_type AS station,
+                   CASE WHEN event_id % 11 = 0 THEN 'nan' WHEN event_id % 13 = 0 THEN 'infinite'
+                        WHEN event_id % 7 = 0 THEN 'null' END AS reason FROM events)
+      WHERE reason IS NOT NULL GROUP BY station, reason
+    """,
     "station_names": _NAMES,
     "station_constraints": f"""
       SELECT count(*) AS n_stations, CAST(max(strlen(station)) AS BIGINT) AS max_bytes,
@@ -123,6 +181,7 @@ ORACLES = {
                   WHEN est_bytes < 1048576 THEN printf('%.1f KiB', est_bytes / 1024)
                   WHEN est_bytes < 1073741824 THEN printf('%.1f MiB', est_bytes / 1048576)
                   WHEN est_bytes < 1099511627776 THEN printf('%.1f GiB', est_bytes / 1073741824)
+                  ELSE printf('%.1f TiB', est_bytes / 1099511627776)
              END AS est_text
       FROM (SELECT n_names, avg_bytes,
                    CAST(n_rows AS DOUBLE) * (avg_bytes + CAST(4.400200100050025 AS DOUBLE) + 2) AS est_bytes
@@ -136,6 +195,7 @@ ORACLES = {
                   WHEN b < 1048576 THEN printf('%.1f KiB', b / 1024.0)
                   WHEN b < 1073741824 THEN printf('%.1f MiB', b / 1048576.0)
                   WHEN b < 1099511627776 THEN printf('%.1f GiB', b / 1073741824.0)
+                  ELSE printf('%.1f TiB', b / 1099511627776.0)
              END AS bytes_h
       FROM (SELECT source, CAST(sum(strlen(text)) AS BIGINT) AS b FROM documents GROUP BY source)
     """,

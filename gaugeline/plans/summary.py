@@ -28,8 +28,10 @@ from gaugeline.sources.files import (
     read_csv_measurements,
     read_lines,
     read_report,
+    read_state,
     write_measurements,
     write_report,
+    write_state,
 )
 
 
@@ -82,6 +84,26 @@ def measurement_csv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finalize(measurement_state(read_csv_measurements(spark, path)))
 
 
+def station_state_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of single days, appended to a state table in two turns, read and merged."""
+    path = fresh_path(spark, "state")
+    events = event_hundredths(
+        spark, sf_dir, F.col("event_type").alias("station"), F.col("ts").cast("date").alias("part")
+    )
+    daily = aggregate_state(events, ("station", "part"))
+    odd = F.dayofmonth("part") % 2 == 1
+    for turn in (odd, ~odd):
+        write_state(daily.where(turn), path)
+    merged = merge_states(read_state(spark, path))
+    return merged.withColumn("s", F.col("s").cast("bigint"))
+
+
+def large_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item as `<flag>;<order key>000000000.5`: numbers up to 10^13 and beyond."""
+    line = F.concat("l_returnflag", F.lit(";"), "l_orderkey", F.lit("000000000.5"))
+    return summarize_lines(table(spark, sf_dir, "lineitem").select(line.alias("value")))
+
+
 def city_int_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("city"), F.col("l_quantity").cast("bigint").alias("t")
@@ -97,6 +119,8 @@ QUERIES = {
     "station_state_merge": station_state_merge,
     "measurement_file_summary": measurement_file_summary,
     "measurement_csv_summary": measurement_csv_summary,
+    "station_state_store": station_state_store,
+    "large_values": large_values,
     "city_int_agg": city_int_agg,
 }
 
@@ -108,6 +132,13 @@ _QUANTITIES = """
   FROM lineitem GROUP BY l_suppkey
 """
 
+_STATES = """
+  SELECT event_type AS station, min(t) AS mn, max(t) AS mx,
+         CAST(sum(t) AS BIGINT) AS s, count(t) AS n
+  FROM (SELECT event_type, CAST(round(value * 100) AS BIGINT) AS t FROM events)
+  GROUP BY event_type
+"""
+
 ORACLES = {
     "station_min_mean_max": f"{EVENT_SUMMARY} ORDER BY station",
     "station_frame_agg": """
@@ -122,11 +153,13 @@ ORACLES = {
       SELECT row_number() OVER (ORDER BY station) AS pos, report FROM ({EVENT_REPORT})
     """,
     "station_report_text": f"SELECT report FROM ({EVENT_REPORT})",
-    "station_state_merge": """
-      SELECT event_type AS station, min(t) AS mn, max(t) AS mx,
-             CAST(sum(t) AS BIGINT) AS s, count(t) AS n
-      FROM (SELECT event_type, CAST(round(value * 100) AS BIGINT) AS t FROM events)
-      GROUP BY event_type
+    "station_state_merge": _STATES,
+    "station_state_store": _STATES,
+    "large_values": """
+      SELECT l_returnflag AS station, printf('%.1f', min(l_orderkey) * 1000000000 + 0.5) AS min_s,
+             printf('%.1f', CAST(sum(l_orderkey * 10000000000 + 5) AS DOUBLE) / count(*) / 10.0) AS mean_s,
+             printf('%.1f', max(l_orderkey) * 1000000000 + 0.5) AS max_s
+      FROM lineitem GROUP BY l_returnflag
     """,
     "measurement_file_summary": _QUANTITIES,
     "measurement_csv_summary": _QUANTITIES,

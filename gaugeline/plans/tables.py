@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeline.functions.numbers import DIGITS
 from gaugeline.functions.text import fixed
 from gaugeline.operators.stats import aggregate_state, report, state_text
 
@@ -14,29 +15,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a line `type;value`; four in twenty are written in a damaged form."""
+    """Every event as a line `type;value`, and behind one in five of them a damaged line."""
     kind, number = F.col("event_type"), fixed(F.col("value"))
     form = F.pmod("event_id", F.lit(20))
-    line = (
+    planted = (
         F.when(form == 0, kind)
         .when(form == 1, F.concat(kind, F.lit(";1;2")))
         .when(form == 2, F.concat(kind, F.lit(";x")))
         .when(form == 3, F.lit(""))
-        .otherwise(F.concat(kind, F.lit(";"), number))
     )
-    return table(spark, sf_dir, "events").select(line.alias("value"))
+    good = F.concat(kind, F.lit(";"), number)
+    lines = F.when(form < 4, F.array(good, planted)).otherwise(F.array(good))
+    return table(spark, sf_dir, "events").select(F.explode(lines).alias("value"))
 
 
 # The same lines for the oracle.
 EVENT_LINES = """
+  SELECT event_type || ';' || printf('%.1f', value) AS value FROM events
+  UNION ALL
   SELECT CASE event_id % 20
            WHEN 0 THEN event_type
            WHEN 1 THEN event_type || ';1;2'
            WHEN 2 THEN event_type || ';x'
-           WHEN 3 THEN ''
-           ELSE event_type || ';' || printf('%.1f', value)
+           ELSE ''
          END AS value
-  FROM events
+  FROM events WHERE event_id % 20 < 4
 """
 
 # Good lines of it, parsed without any of our own rules.
@@ -63,22 +66,22 @@ EVENT_REPORT = f"""
 
 def event_hundredths(spark: SparkSession, sf_dir: str, *keys) -> DataFrame:
     """Keys and `t` in hundredths from the two-decimal event values."""
-    units = (F.col("value").cast("decimal(12,2)") * 100).cast("bigint")
+    units = (F.col("value").try_cast(f"decimal({DIGITS},2)") * 100).cast("bigint")
     return table(spark, sf_dir, "events").select(*keys, units.alias("t"))
 
 
-def order_report(spark: SparkSession, sf_dir: str, flag: str) -> DataFrame:
-    """Report of the quantities per order over the line items with one return flag."""
-    items = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == flag)
+def order_report(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+    """Report of the quantities per order over the line items with one status; F and O hold them all."""
+    items = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == status)
     rows = items.selectExpr("concat('Order ', l_orderkey) AS station", "cast(l_quantity * 10 AS BIGINT) AS t")
     return report(state_text(aggregate_state(rows)))
 
 
-def order_report_sql(flag: str) -> str:
+def order_report_sql(status: str) -> str:
     return f"""
       SELECT station, station || '=' || printf('%.1f', lo) || '/' || printf('%.1f', total / n) || '/'
                       || printf('%.1f', hi) AS report
       FROM (SELECT 'Order ' || l_orderkey AS station, min(l_quantity) AS lo, max(l_quantity) AS hi,
                    sum(l_quantity) AS total, count(*) AS n
-            FROM lineitem WHERE l_returnflag = '{flag}' GROUP BY l_orderkey)
+            FROM lineitem WHERE l_linestatus = '{status}' GROUP BY l_orderkey)
     """

@@ -12,8 +12,8 @@ from gaugeline.plans.tables import order_report, order_report_sql, table
 
 
 def _reports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Accepted against returned quantities of all orders."""
-    return order_report(spark, sf_dir, "A"), order_report(spark, sf_dir, "R")
+    """Quantities of all orders, fulfilled against open line items."""
+    return order_report(spark, sf_dir, "F"), order_report(spark, sf_dir, "O")
 
 
 def report_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,25 @@ def runtime_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaderboard(runs)
 
 
+def price_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median price per return flag: three keys, one with half of all rows."""
+    items = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("entry"), F.col("l_extendedprice").alias("seconds")
+    )
+    return leaderboard(items)
+
+
+def repeated_report_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions that differ between two lists of one report line per line item; lines repeat."""
+
+    def lines(status: str) -> DataFrame:
+        text = F.concat(F.lit("Size "), F.col("l_quantity").cast("bigint"), F.lit("=1.0/1.0/1.0"))
+        items = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == status)
+        return items.select(text.alias("report"))
+
+    return diff_by_position(lines("F"), lines("O"), unique=False)
+
+
 def _event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
 
@@ -50,11 +69,21 @@ QUERIES = {
     "report_diff": report_diff,
     "report_diff_positional": report_diff_positional,
     "runtime_leaderboard": runtime_leaderboard,
+    "price_medians": price_medians,
+    "repeated_report_diff": repeated_report_diff,
     "generate_measurements": generate_measurements_query,
     "generate_city_integers": generate_city_integers,
 }
 
 
+def _repeated(status: str) -> str:
+    return f"""
+      SELECT row_number() OVER (ORDER BY split_part(report, '=', 1)) AS pos, report
+      FROM (SELECT 'Size ' || CAST(l_quantity AS BIGINT) || '=1.0/1.0/1.0' AS report
+            FROM lineitem WHERE l_linestatus = '{status}')
+    """
+
+
 def _draw(key: str, stream: int, n: str) -> str:
     """The generator's draw as SQL text."""
     first = f"((xor({key}, {key} >> 32) & 4294967295) + {stream * 2654435769}) % 4294967296"
@@ -68,13 +97,13 @@ ORACLES = {
       SELECT CASE WHEN a.station IS NULL THEN 'missing' WHEN e.station IS NULL THEN 'extra'
                   WHEN e.report = a.report THEN 'equal' ELSE 'changed' END AS status,
              count(*) AS n
-      FROM ({order_report_sql('A')}) e FULL JOIN ({order_report_sql('R')}) a ON e.station = a.station
+      FROM ({order_report_sql('F')}) e FULL JOIN ({order_report_sql('O')}) a ON e.station = a.station
       GROUP BY 1
     """,
     "report_diff_positional": f"""
       SELECT coalesce(e.pos, a.pos) AS pos, e.report AS expected, a.report AS actual
-      FROM (SELECT row_number() OVER (ORDER BY station) AS pos, report FROM ({order_report_sql('A')})) e
-      FULL JOIN (SELECT row_number() OVER (ORDER BY station) AS pos, report FROM ({order_report_sql('R')})) a
+      FROM (SELECT row_number() OVER (ORDER BY station) AS pos, report FROM ({order_report_sql('F')})) e
+      FULL JOIN (SELECT row_number() OVER (ORDER BY station) AS pos, report FROM ({order_report_sql('O')})) a
         ON e.pos = a.pos
       WHERE e.report IS DISTINCT FROM a.report
       ORDER BY 1 LIMIT 10
@@ -84,6 +113,16 @@ ORACLES = {
       FROM (SELECT event_type AS entry, list_sort(list(value))[count(value) // 2 + 1] AS median_s
             FROM events GROUP BY event_type)
     """,
+    "price_medians": """
+      SELECT row_number() OVER (ORDER BY median_s, entry) AS rank, entry, median_s
+      FROM (SELECT l_returnflag AS entry, list_sort(list(l_extendedprice))[count(l_extendedprice) // 2 + 1] AS median_s
+            FROM lineitem GROUP BY l_returnflag)
+    """,
+    "repeated_report_diff": f"""
+      SELECT coalesce(e.pos, a.pos) AS pos, e.report AS expected, a.report AS actual
+      FROM ({_repeated('F')}) e FULL JOIN ({_repeated('O')}) a ON e.pos = a.pos
+      WHERE e.report IS DISTINCT FROM a.report
+    """,
     "generate_measurements": f"""
       WITH names AS (SELECT p_name AS station, row_number() OVER (ORDER BY p_name) AS pos
                      FROM (SELECT DISTINCT p_name FROM part)),
