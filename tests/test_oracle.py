@@ -59,3 +59,19 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry(spark):
     rows = contract.entry(spark).collect()
     assert [r.station for r in rows] == sorted(r.station for r in rows) and rows
+
+
+def test_queries_read_whole_tables(spark):
+    """The good lines hold every event, the two reports every line item."""
+    from gaugeline import aggregate_state, parse_lines
+    from gaugeline.plans import tables
+
+    lines = parse_lines(tables.event_lines(spark, DATA))
+    events = tables.table(spark, DATA, "events")
+    assert lines.where("reason IS NULL").count() == events.count()
+    states = [
+        aggregate_state(tables.table(spark, DATA, "lineitem").where(f"l_linestatus = '{status}'").selectExpr("l_orderkey AS station", "1L AS t"))
+        for status in "FO"
+    ]
+    items = sum(row.n for state in states for row in state.collect())
+    assert items == tables.table(spark, DATA, "lineitem").count()
