@@ -7,8 +7,8 @@ exponential and fixed by its id, the documents are put in key order within their
 taken whose words, summed up in that order, have their middle inside the remaining budget. So a
 source misses its target by half a document at most.
 
-Null texts have size 0 and null sources form a source of their own, the last. Rows equal in id and
-text have equal keys; they are told apart by nothing else and count one after the other. Sources
+Null texts have size 0 and null sources form a source of their own, the last. Rows with the same id (or
+none) have equal keys; they come in the order of a hash of their texts, equal rows one after the other. Sources
 without words have target 0. An empty table gives no rows.
 
 Scale: the order is needed only around the border between taken and left. Keys are binned by their
@@ -70,9 +70,10 @@ def targets(sizes: DataFrame) -> DataFrame:
     return levels.select("source", "source_size", F.least(most, F.coalesce(final * F.col("w"), most)).alias("target"))
 
 
-def _key(doc_id: Column, text: Column, quality: Column, seed: int) -> Column:
-    """Key E / w. E = -ln u with u in (0, 1) from 52 bits of a hash of id and text."""
-    bits = F.shiftrightunsigned(F.xxhash64(doc_id, F.xxhash64(text), F.lit(seed)), 12)
+def _key(doc_id: Column, quality: Column, seed: int) -> Column:
+    """Key E / w. E = -ln u with u in (0, 1) from 52 bits of a digest of the id."""
+    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
+    bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
     return -F.log((bits + 0.5) / float(1 << 52)) / quality
 
 
@@ -91,7 +92,7 @@ def mix(docs: DataFrame, quality: Column | None = None, doc_id: str = "doc_id",
     weight = text_quality(whole_text(text)) if quality is None else quality
     sized = docs.withColumn(src, F.col(source).cast("string")).withColumn(size, word_count(whole_text(text)))
     sized = sized.withColumn(tie, F.struct(F.col(doc_id), F.xxhash64(whole_text(text))))
-    keyed = sized.withColumn(key, _key(F.col(doc_id), whole_text(text), weight, seed)).withColumn(
+    keyed = sized.withColumn(key, _key(F.col(doc_id), weight, seed)).withColumn(
         bin_, F.floor(F.log2(F.col(key)) * BINS).cast("int")
     )
     keyed = stored(keyed.select(*keep, src, size, key, bin_, tie), "mix-keys")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, knn_quality, minhash, mixing, mtree, pii, rans, secrets, url_rules, weighted_sampling
+from gaugeline.llm import bpe, knn_quality, minhash, mixing, mtree, oracles, pii, rans, secrets, url_rules, weighted_sampling
 from gaugeline.llm.common import table
 from gaugeline.session import fresh_path
 
@@ -84,4 +84,10 @@ QUERIES = {
     "op10_weighted_sampling": op10_weighted_sampling,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_secrets": oracles.SECRETS,
+    "op4_url_rules": oracles.url_sql(SITES),
+    "op7_mixing": oracles.MIX,
+    "op8_minhash": oracles.NEAR_DUPLICATES,
+    "op9_mtree": oracles.TOP_K,
+}
