@@ -107,7 +107,10 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     hosts = before.select(F.col("bucket").alias("own"), "top", "host")
     seated = rows.join(hosts, (rows.bucket == hosts.own) & rows.doc_id.eqNullSafe(hosts.top), "left")
     seats = F.array(F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("guest")), F.when(F.col("own").isNotNull(), F.struct(F.col("host").alias("bucket"), F.lit(True).alias("guest"))))
-    seated = seated.select("doc_id", "text", F.explode(seats).alias("seat")).where("seat IS NOT NULL").select("doc_id", "text", "seat.*")
+    seated = seated.select("doc_id", "text", F.explode(F.array_compact(seats)).alias("seat"))
+    # Never null, so that the join below puts no filter on one of its sides: both then read one shuffle.
+    bucket, guest = F.coalesce("seat.bucket", F.lit(-1)), F.coalesce("seat.guest", F.lit(False))
+    seated = seated.select("doc_id", "text", bucket.cast("bigint").alias("bucket"), guest.alias("guest"))
     line = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
     half = F.floor(F.length("text") / 2).cast("int")
     placed = (
