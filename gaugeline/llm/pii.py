@@ -39,7 +39,11 @@ _NAME = r"\p{Lu}\p{L}+"
 _BEFORE_TOKEN = r"(?<![\p{L}\p{N}_.+-])"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}"
-PHONE = r"(?:(?<![\p{L}\p{N}_+-])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}|(?<![\p{L}\p{N}_+-])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4})(?![0-9])"
+# The common bracket forms come first; the open form must not run on into an IPv4 address.
+PHONE = (
+    r"(?<![\p{L}\p{N}_+-])(?:(?:\+[0-9]{1,3} ?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+    r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9]|\.[0-9]))"
+)
 CARD = r"(?<![\p{L}\p{N}_.+-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![\p{L}\p{N}_])"
 SSN = r"(?<![\p{L}\p{N}_.+-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}_-])"
 IPV4 = _BEFORE_TOKEN + rf"(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}_]|\.[0-9])"

@@ -74,6 +74,13 @@ def test_types_and_formats(spark):
     assert re.fullmatch(r"x 10\.\d+\.\d+\.\d+:80", f) and "10.0.0.1:" not in f
 
 
+def test_neighbours_are_told_apart(spark):
+    text = "+1 (017) 555-7713 161.17.88.162 9807915762804490 9807915762804490 a.b@c.de +1 (018) 555-7713"
+    (out,) = replaced(spark, [text])
+    assert re.fullmatch(r"\+1 \(\d{3}\) 555-\d{4} 10\.\d+\.\d+\.\d+ (9\d{15}) \1 [a-z]\.[a-z]@mail[0-9a-f]{10}\.example \+1 \(\d{3}\) 555-\d{4}", out)
+    assert not set(out.split()) & {"(017)", "161.17.88.162", "9807915762804490", "(018)"}
+
+
 def test_names_keep_gender_script_and_reference(spark):
     texts = ["Mr. John Smith met Mrs. Smith and Ms Ann Lee.", "Later Mr Smith wrote to Frau Ann Schmidt", "господин Иван Петров и госпожа Анна Петрова", "Mr. and The Cat. Mister x"]
     a, b, c, d = replaced(spark, texts)
