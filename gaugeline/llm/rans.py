@@ -20,6 +20,7 @@ import json
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,22 +36,30 @@ from gaugeline.llm.common import ship, stored, whole_text
 # Coder: frequencies sum to 2^SCALE; states stay in 2^31 ... 2^63 and give off 32-bit words.
 SCALE = 20
 LOW = 1 << 31
-LANES = 256
-BLOCK = 1 << 18  # ids after which a block closes at the next document
-CHECKPOINT = 1 << 16  # a multiple of LANES
+LANES = 1024
+BLOCK = 1 << 20  # ids after which a block closes at the next document
+CHECKPOINT = 1 << 18  # a multiple of LANES
 
-# Chunks whose ids a worker keeps; when full it starts over. Only speed depends on it.
-KEPT_CHUNKS = 200_000
+# Pieces whose ids a worker keeps; when full it starts over. Only speed depends on it.
+KEPT_PIECES = 500_000
 
+# Blocks up to this number have their positions broadcast (some 50 bytes each); more are joined by shuffle.
+BROADCAST_BLOCKS = 200_000
+
+# The vocabulary's pre-tokenizer for lower-case text up to U+017F; other texts go to the library in chunks.
+_LETTERS, _DIGITS, _BLANKS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+_PIECE = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_DIGITS}]|[^{_BLANKS}{_LETTERS}{_DIGITS}]+")
 _CHUNK = re.compile(r"[^ \t\n\r]+")
-_LATIN_END = chr(0x17F)
+# Fixed value: the pieces of the pre-tokenizer that `_PIECE` restates.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WordBpe:
     """Ids of a text by a vocabulary whose pre-tokenizer drops white space; lives in the Python workers.
 
-    No token reaches across white space, so the chunks in between are encoded one by one and those
-    met before are looked up. Plain words skip the normalizer, whose effect on them is known.
+    The merges work inside pieces, and pieces met before are looked up. Latin text is lower-cased and
+    cut into pieces here. Any other is cut at white space, which no token reaches across, and each
+    chunk goes through the library.
     """
 
     def __init__(self, spec: str):
@@ -59,45 +68,41 @@ class WordBpe:
         rules = json.loads(spec)
         kinds = [x["type"] for x in (rules["normalizer"] or {}).get("normalizers", [])]
         split = rules["pre_tokenizer"]["pretokenizers"][0]
-        if kinds != ["NFC", "Replace", "Lowercase"] or split["behavior"] != "Removed" or not split["invert"]:
-            raise ValueError("chunks are worked out for lower-casing vocabularies that drop white space")
+        if kinds != ["NFC", "Replace", "Lowercase"] or split["pattern"] != {"Regex": PIECES} or not split["invert"]:
+            raise ValueError("pieces are worked out for one lower-casing pre-tokenizer")
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.alphabet = byte_alphabet()
-        self.size = max([*rules["model"]["vocab"].values(), *(t["id"] for t in rules["added_tokens"])]) + 1
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in rules["added_tokens"]) or "(?!)")
         self.known: dict[str, bytes] = {}
 
-    def _chunk_ids(self, chunk: str) -> bytes:
-        word, end = chunk.lower(), ""
-        if word[-1] in ".,;:!?|":
-            word, end = word[:-1], word[-1]
-        # Lower-casing may add marks to a letter, and letters beyond Latin may be composed in other ways.
-        plain = word.isascii() or (max(word) <= _LATIN_END and unicodedata.is_normalized("NFC", word))
-        if plain and end and word.isalpha():
-            return self.chunk(word) + self.chunk(end)
-        if plain and word.isalpha():
-            if not word.isascii():
-                word = "".join([self.alphabet[b] for b in word.encode()])
-            ids = [t.id for t in self.tokenizer.model.tokenize(word)]
-        else:
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def chunk(self, chunk: str) -> bytes:
-        ids = self.known.get(chunk)
-        if ids is None:
-            if len(self.known) >= KEPT_CHUNKS:
-                self.known.clear()
-            ids = self._chunk_ids(chunk)
-            if len(chunk) <= 64:
-                self.known[chunk] = ids
-        return ids
+    def _keep(self, key: str, ids: list[int]) -> bytes:
+        if len(self.known) >= KEPT_PIECES:
+            self.known.clear()
+        packed = array("I", ids).tobytes()
+        if len(key) <= 64:
+            self.known[key] = packed
+        return packed
+
+    def _piece(self, piece: str) -> bytes:
+        seen = piece if piece.isascii() else "".join([self.alphabet[b] for b in piece.encode()])
+        if not seen.isprintable():  # control characters have other signs in the vocabulary
+            seen = "".join([self.alphabet[b] for b in piece.encode()])
+        return self._keep(piece, [t.id for t in self.tokenizer.model.tokenize(seen)])
+
+    def _chunk(self, chunk: str) -> bytes:
+        key = f" {chunk}"  # no piece begins with a blank
+        return self.known.get(key) or self._keep(key, self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        get, chunk = self.known.get, self.chunk
-        return b"".join([get(c) or chunk(c) for c in _CHUNK.findall(text)])
+        """Ids as unsigned 32-bit integers of this machine's order."""
+        # Lower-casing U+0130 gives a mark of its own.
+        latin = text.isascii() or (max(text) <= "\u017f" and "\u0130" not in text and unicodedata.is_normalized("NFC", text))
+        if latin and not self.added.search(text):
+            get, piece = self.known.get, self._piece
+            return b"".join([get(p) or piece(p) for p in _PIECE.findall(text.lower())])
+        return b"".join([self._chunk(c) for c in _CHUNK.findall(text)])
 
 
 _loaded: dict[str, WordBpe] = {}
@@ -141,12 +146,21 @@ def frequencies(tokens: DataFrame) -> dict[int, int]:
     the vocabulary bounds it."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+        total, held, size = np.zeros(0, np.int64), [], 0
+
+        def added() -> np.ndarray:
+            found = np.bincount(np.concatenate(held).astype(np.int64), minlength=len(total))
+            found[: len(total)] += total
+            return found
+
         for batch in batches:
             for packed in batch.column(0):
-                found = np.bincount(unpack(packed.as_buffer()).astype(np.int64), minlength=len(total))
-                found[: len(total)] += total
-                total = found
+                held.append(unpack(packed.as_buffer()))
+                size += len(held[-1])
+                if size >= BLOCK:
+                    total, held, size = added(), [], 0
+        if held:
+            total = added()
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["token", "n"])
 
@@ -186,7 +200,8 @@ class Model:
     def slots(self) -> np.ndarray:
         """The token of each of the 2^SCALE slots."""
         if self._slots is None:
-            self._slots = np.repeat(np.arange(len(self.freq), dtype=np.uint32), self.freq.astype(np.int64))
+            kind = np.uint16 if len(self.freq) <= 1 << 16 else np.uint32
+            self._slots = np.repeat(np.arange(len(self.freq), dtype=kind), self.freq.astype(np.int64))
         return self._slots
 
 
@@ -328,7 +343,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     within = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("part", "block", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("block_start")).join(parts, "part")
     rows = rows.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("bigint"))
-    # One row a block on the small side: about a millionth of the ids, which adaptive execution measures.
+    if blocks.select("part").count() <= BROADCAST_BLOCKS:
+        starts = F.broadcast(starts)
     return rows.join(starts, ["part", "block"]).select(
         "doc_id", (F.col("part_start") + F.col("block_start") + F.col("offset")).alias("start"), "n_tokens", "ids"
     )
