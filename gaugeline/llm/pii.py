@@ -51,8 +51,12 @@ NAME = rf"(?=\p{{Lu}})(?:(?<=(?<!\p{{L}})(?:{_TITLE})\.? )|(?<=(?<!\p{{L}})(?:{_
 ENTITY = "|".join((EMAIL, PHONE, IPV4, SSN, CARD, NAME))
 
 
-def _is(value: Column, pattern: str) -> Column:
-    return value.rlike(f"^(?:{pattern})$")
+def _has_entity(text: Column) -> Column:
+    """Whether a text holds an entity. Each kind has a digit, an @ or a title, which is found much faster."""
+    sign = text.rlike("[0-9@]")
+    for title in TITLES_M + TITLES_F:
+        sign = sign | F.contains(text, F.lit(title))
+    return F.coalesce(sign & text.rlike(ENTITY), F.lit(False))
 
 
 def _gender(before: Column) -> Column:
@@ -165,7 +169,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """`docs` with every detected entity in column `text` replaced; same columns, same rows."""
     row, nr, parts = (fresh_name(docs, n) for n in ("_row", "_nr", "_parts"))
-    has = F.coalesce(F.col(text).rlike(ENTITY), F.lit(False))
+    has = _has_entity(F.col(text))
     touched = docs.where(has).withColumn(row, F.monotonically_increasing_id())
     touched = stored(touched, "pii-touched")  # the row numbers must not change when a task is run again
     cut = touched.select(
