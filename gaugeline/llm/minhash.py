@@ -2,9 +2,10 @@
 
 A document is the set of its distinct shingles of five words. Each hash function (permutation) keeps its
 smallest and its largest value over the set: two samples for one evaluation, each equal between two
-sets with a chance of their Jaccard similarity. Bands of six values make the buckets: two sets of
-similarity 0.85 meet in one of 32 bands but for 3 pairs in 10 million, more similar ones more surely.
-Every link is confirmed on the full sets; candidates alone decide nothing.
+sets with a chance of their Jaccard similarity. Bands of values make the buckets, as long as still
+find a pair at the threshold but for one in a million: two sets of similarity 0.85 meet in one of 32
+bands of six values, two of 0.8 in one of 38 bands of five, but for 3 pairs in 10 million each, more
+similar ones more surely. Every link is confirmed on the full sets; candidates alone decide nothing.
 
 Equal sets are one node from the start, so exact copies cost their rows only. Candidates are tested in
 rounds, each over what the rounds before left in different components: first every node against the
@@ -33,8 +34,10 @@ from gaugeline.llm.components import components
 SHINGLE = 5
 BANDS = 32
 PERMUTATIONS = 96  # 3 a band, with 2 values each
-# A link: 100 * intersection >= LEAST * union.
+# A link: 100 * intersection >= least * union. This value is fixed for the query op8.
 LEAST = 85
+# Chance that a pair at the threshold shares no band, at most.
+MISSED = 1e-6
 # Nodes tested against one node in one task.
 HUB_ROWS = 4096
 # Nodes of a bucket in one block of the last round; a task compares two blocks.
@@ -100,23 +103,33 @@ def signature(found: np.ndarray) -> np.ndarray:
     return np.stack([low, high], axis=1)
 
 
-def bands(values: np.ndarray) -> np.ndarray:
+def values_a_band(least: int) -> int:
+    """The most values a band may have, so that pairs at the threshold still meet."""
+    for n in range(len(_FOLD), 0, -1):
+        if (1 - (least / 100) ** n) ** (2 * PERMUTATIONS // n) <= MISSED:
+            return n
+    raise ValueError(f"{PERMUTATIONS} permutations don't find pairs of similarity {least} %")
+
+
+def bands(values: np.ndarray, least: int = LEAST) -> np.ndarray:
     """One signed 64-bit key per band; the band's number is part of it."""
-    rows = values.reshape(BANDS, -1)
-    keys = _mixed((_mixed(rows) * _FOLD).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+    size = values_a_band(least)
+    count = values.size // size
+    rows = values.reshape(-1)[: count * size].reshape(count, size)
+    keys = _mixed((_mixed(rows) * _FOLD[:size]).sum(axis=1, dtype=np.uint64) + np.arange(count, dtype=np.uint64))
     return keys.view(np.int64)
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, least: int = LEAST) -> bool:
     """Whether two sets are similar enough, exactly."""
     small, large = sorted((len(a), len(b)))
-    if not small or 100 * small < LEAST * large:
+    if not small or 100 * small < least * large:
         return False
     both = len(a) + len(b) - len(np.union1d(a, b))
-    return 100 * both >= LEAST * (len(a) + len(b) - both)
+    return 100 * both >= least * (len(a) + len(b) - both)
 
 
-def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def sketches(docs: DataFrame, doc_id: str, text: str, least: int = LEAST) -> DataFrame:
     """doc_id, n, h1, h2 (128-bit digest of the set), bands: one row per row of `docs`."""
     ship(docs.sparkSession)
 
@@ -131,7 +144,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 sizes.append(len(found))
                 first.append(digest[0])
                 second.append(digest[1])
-                keys.append(bands(signature(found)) if len(found) else None)
+                keys.append(bands(signature(found), least) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["doc_id", "n", "h1", "h2", "bands"],
@@ -141,7 +154,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.mapInArrow(sketched, "doc_id long, n long, h1 long, h2 long, bands array<long>")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, least: int = LEAST) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough; texts (node, data).
 
     Node a is a hub: its text goes once to each task that tests nodes against it, at most HUB_ROWS of
@@ -164,7 +177,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 found = shingles(data)
                 if nr == 0:
                     heads.append(found)
-                elif any(linked(found, h) for h in heads):
+                elif any(linked(found, h, least) for h in heads):
                     a.append(hub)
                     b.append(node)
             if a:
@@ -194,19 +207,19 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def _block_links(key: int, one: list[tuple], two: list[tuple] | None) -> list[tuple[int, int]]:
+def _block_links(key: int, one: list[tuple], two: list[tuple] | None, least: int = LEAST) -> list[tuple[int, int]]:
     """Links between rows (node, component, text) of two blocks of a bucket, or within one."""
     rows = [*one, *(two or [])]
     found = [shingles(r[2]) for r in rows]
-    keys = np.stack([bands(signature(x)) for x in found])
+    keys = np.stack([bands(signature(x), least) for x in found])
     node, component, size = (np.array(x, np.int64) for x in ([r[0] for r in rows], [r[1] for r in rows], [len(x) for x in found]))
     left, right = np.arange(len(one)), np.arange(len(one), len(rows)) if two is not None else np.arange(len(one))
     small, large = np.minimum.outer(size[left], size[right]), np.maximum.outer(size[left], size[right])
-    maybe = (component[left][:, None] != component[right][None, :]) & (100 * small >= LEAST * large)
+    maybe = (component[left][:, None] != component[right][None, :]) & (100 * small >= least * large)
     if two is None:
         maybe = np.triu(maybe, 1)
     # Bands come in order; a pair that shares an earlier one is looked at there.
-    for band in range(BANDS):
+    for band in range(keys.shape[1]):
         same = keys[left, band][:, None] == keys[right, band][None, :]
         if (keys[:, band] == key).any():
             maybe &= same
@@ -216,14 +229,14 @@ def _block_links(key: int, one: list[tuple], two: list[tuple] | None) -> list[tu
     if not len(i):
         return []
     if len(i) <= 16:
-        good = [linked(found[left[x]], found[right[y]]) for x, y in zip(i, j)]
+        good = [linked(found[left[x]], found[right[y]], least) for x, y in zip(i, j)]
     else:
         both = overlaps([found[x] for x in left], [found[y] for y in right])[i, j]
-        good = 100 * both >= LEAST * (size[left[i]] + size[right[j]] - both)
+        good = 100 * both >= least * (size[left[i]] + size[right[j]] - both)
     return [(int(node[left[x]]), int(node[right[y]])) for x, y, ok in zip(i, j, good) if ok]
 
 
-def links_within(rest: DataFrame, texts: DataFrame) -> DataFrame:
+def links_within(rest: DataFrame, texts: DataFrame, least: int = LEAST) -> DataFrame:
     """Links (a, b) between nodes of different components in the same bucket; rest (key, node, component)."""
     sizes = rest.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"))
     rows = rest.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
@@ -235,7 +248,7 @@ def links_within(rest: DataFrame, texts: DataFrame) -> DataFrame:
 
         def links() -> pa.RecordBatch:
             two = None if at is None or at[1] == at[2] else sides[1]
-            pairs = _block_links(at[0], sides[0], two) if sides[0] and (two is None or two) else []
+            pairs = _block_links(at[0], sides[0], two, least) if sides[0] and (two is None or two) else []
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
@@ -257,9 +270,9 @@ def _between(members: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(mixed, "key")
 
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of `docs`."""
-    found = stored(sketches(docs, doc_id, text), "minhash-sketches")
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row of `docs`; sets of a similarity of `least` % are linked."""
+    found = stored(sketches(docs, doc_id, text, least), "minhash-sketches")
     some = found.where("n > 0 AND doc_id IS NOT NULL")
     nodes = stored(some.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands")), "minhash-nodes")
     keys = nodes.select("node", F.explode("bands").alias("key"))
@@ -271,7 +284,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         docs.select(F.col(doc_id).cast("bigint").alias("node"), whole_text(text).cast("binary").alias("data")).join(first.select("node"), "node", "left_semi"),
         "minhash-texts",
     )
-    links = stored(confirmed(first.where("a <> node").select("a", F.col("node").alias("b")), texts), "minhash-links")
+    links = stored(confirmed(first.where("a <> node").select("a", F.col("node").alias("b")), texts, least), "minhash-links")
     # Rows that share an id are one node.
     labels = components(links)
     # Against the first and the last node of each bucket, where the components differ.
@@ -279,11 +292,11 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     ends = rest.select("node", "component", F.explode(F.array("lo", "hi")).alias("a")).where("a <> node").distinct()
     ends = ends.join(labels.select(F.col("node").alias("a"), F.col("component").alias("other")), "a", "left")
     ends = ends.where(F.coalesce("other", "a") != F.col("component")).select("a", F.col("node").alias("b"))
-    links = stored(links.union(confirmed(ends, texts)), "minhash-links")
+    links = stored(links.union(confirmed(ends, texts, least)), "minhash-links")
     labels = components(links)
     # Nodes of different components that are left in one bucket.
     rest = stored(_between(rest.select("key", "node"), labels).select("key", "node", "component"), "minhash-rest")
-    links = stored(links.union(links_within(rest, texts)), "minhash-links")
+    links = stored(links.union(links_within(rest, texts, least)), "minhash-links")
     labels = components(links)
     group = nodes.select("h1", "h2", "node").join(labels, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component_id"))
     out = found.select("doc_id", "n", "h1", "h2").join(group, ["h1", "h2"], "left")

@@ -60,7 +60,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return minhash.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"), least=minhash.LEAST)
 
 
 def op9_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from gaugeline.llm import knn_quality
+from gaugeline.llm import knn_quality, minhash
 
 from .test_minhash import plain
 from .test_mixing import check
@@ -108,3 +108,16 @@ def test_odd_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs, empty = stage(spark, docs, SF), stage(spark, empty, SF)
         assert docs.count() > 0 and empty.count() == 0 and {"size", "_row"} <= set(docs.columns)
+
+
+def test_near_duplicates_from_080_on(spark):
+    """Pairs that differ in one word: n shingles each, similarity (n - 5) / (n + 5)."""
+    rows = []
+    for n in (*range(36, 45), *range(45, 62)):  # below 0.8, and from 0.8 to 0.85
+        words = [f"w{n}x{k}" for k in range(n + 4)]
+        rows += [(2 * n, " ".join(words)), (2 * n + 1, " ".join([*words[:20], "other", *words[21:]]))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()}
+    assert kept == {i for i, _ in rows if i % 2 == 0 or i < 90}
+    # The query's own threshold stays 0.85.
+    assert all(r.kept for r in minhash.deduplicated(docs).collect())
