@@ -14,7 +14,8 @@ distances rule out by the triangle inequality, and stops when no bound can beat
 
 Vectors that are null, hold a null or a non-finite component, or one of 2^24 and more after rounding
 (whose products don't fit) take no part, nor do rows without an id. Shorter vectors count as filled up
-with zeros. Rows with the query's id are its own and no candidates; ties go to the smaller id. An
+with zeros. Rows with the query's id are its own and no candidates; ties go to the smaller id. Equal rows count once, and so
+do rows of an id with the same score; an id with different vectors has a place for each score. An
 empty table, or one without queries, gives no rows.
 """
 
@@ -72,6 +73,15 @@ def _from_queries(q: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0))
 
 
+def _once(order: np.ndarray, every: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """`order` with the second and further places of an id with the same score moved to the end and their scores set to NONE."""
+    score, name = np.take_along_axis(every, order, axis=1), np.take_along_axis(names, order, axis=1)
+    again = np.zeros(order.shape, bool)
+    again[:, 1:] = (score[:, 1:] == score[:, :-1]) & (name[:, 1:] == name[:, :-1])
+    np.put_along_axis(every, order, np.where(again, NONE, score), axis=1)
+    return np.take_along_axis(order, np.argsort(again, axis=1, kind="stable"), axis=1)
+
+
 class Node:
     """A node: pages of entries around routing vectors."""
 
@@ -79,6 +89,7 @@ class Node:
         self.most = most
         order = np.lexsort((ids,))
         self.ids, self.rows = ids[order], rows[order]
+        self.repeated = bool((np.diff(self.ids) == 0).any())
         self.pages = self._split(np.arange(len(ids)))
         heads = np.array([p[0] for p in self.pages])
         self.heads = self.rows[heads]
@@ -151,7 +162,10 @@ class Node:
                 named = np.broadcast_to(self.ids[entry], found.shape)
                 every, names = np.concatenate([scores[who], found], axis=1), np.concatenate([ids[who], named], axis=1)
                 # Highest score first, then smallest id; ~x reverses the order of whole numbers.
-                best = np.lexsort((names, ~every), axis=1)[:, :k]
+                best = np.lexsort((names, ~every), axis=1)
+                if self.repeated:
+                    best = _once(best, every, names)
+                best = best[:, :k]
                 scores[who], ids[who] = np.take_along_axis(every, best, axis=1), np.take_along_axis(names, best, axis=1)
                 full = scores[who, k - 1] > NONE
                 need[who[full]] = np.maximum(need[who[full]], scores[who[full], k - 1])
@@ -205,7 +219,7 @@ def top_k(vectors: DataFrame, k: int, every: int, vec_id: str = "vec_id", vector
     spark = vectors.sparkSession
     ship(spark)
     rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), whole_numbers(F.col(vector)).alias("v"))
-    rows = stored(rows.where("vec_id IS NOT NULL AND v IS NOT NULL"), "mtree-rows")
+    rows = stored(rows.where("vec_id IS NOT NULL AND v IS NOT NULL").distinct(), "mtree-rows")
     norm = F.aggregate("v", F.lit(0).cast("bigint"), lambda s, x: s + x * x)
     facts = rows.agg(F.max(norm).alias("most"), F.max(F.size("v")).alias("width")).first()
     most, width = facts.most or 0, facts.width or 0
@@ -251,7 +265,8 @@ def top_k(vectors: DataFrame, k: int, every: int, vec_id: str = "vec_id", vector
     first = routed.select("query_id", "q", F.get("to", F.lit(0))["branch"].alias("branch"), none.alias("floor")).where("branch IS NOT NULL")
     best = stored(_visit(nodes, visits(first), width, most, k), "mtree-first")
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    kth = best.withColumn("nr", F.row_number().over(ranked)).where(F.col("nr") == k).select("query_id", F.col("score").alias("floor"))
+    # An id's rows with the same score, or those found for two rows of a query, are one place.
+    kth = best.distinct().withColumn("nr", F.row_number().over(ranked)).where(F.col("nr") == k).select("query_id", F.col("score").alias("floor"))
     rest = routed.select("query_id", "q", F.explode(F.slice("to", 2, len(pivots))).alias("to")).select("query_id", "q", "to.*").join(kth, "query_id", "left")
     square = F.aggregate("q", F.lit(0).cast("bigint"), lambda s, x: s + x * x) + most
     rest = rest.where(F.col("floor").isNull() | (F.col("bound") * F.col("bound") <= square - 2 * F.col("floor") + 1))

@@ -73,3 +73,18 @@ def test_bounds_save_work():
     finally:
         mtree._products = plain_products
     assert sum(asked) < 2000
+
+
+@pytest.mark.parametrize("page, pivots", [(64, 32), (4, 3)])
+def test_repeated_rows(spark, monkeypatch, page, pivots):
+    """The nearest candidate five times and more, a query's row twice, an id with several vectors."""
+    monkeypatch.setattr(mtree, "PAGE", page)
+    monkeypatch.setattr(mtree, "PIVOTS", pivots)
+    rng = np.random.default_rng(5)
+    rows = [(i, np.round(rng.normal(0, 1, 8), 3).tolist()) for i in range(1, 300)]
+    rows += [(1000 + i, [0.0] * 7 + [i / 100]) for i in range(3)]
+    best = [3.0 * x for x in rows[49][1]]
+    rows += [(501, best)] * 5 + [(502, best)] * 7 + [rows[49]] * 3 + [rows[99]] * 2
+    rows += [(503, best), (503, [*best, 0.0]), (503, [2.0 * x for x in best]), (151, [5.0] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert result(mtree.top_k(df, 5, 50)) == plain([(i, v + [0.0] * (9 - len(v))) for i, v in rows], 5, 50)
