@@ -8,7 +8,9 @@ texts per class, is broadcast: some `FEATURES * DIMENSIONS + 2 * SAMPLE * DIMENS
 the corpus. Every document is projected and its cosine with every labelled vector computed exactly,
 in blocks; the `NEIGHBOURS` nearest vote with a power of their similarity as weight.
 
-The labelled texts are a fixed sample of the training rows (in the order of a hash of the id). Texts
+The labelled texts are a fixed sample of the training rows (in the order of a hash of the id). Rows
+that repeat an id and its text, or an id and its label, count once; of an id with several texts the further ones
+are taken where the ids leave room in the sample. Texts
 without a word score 0. Rows with a null or other label than 0 and 1 aren't used. Without any
 labelled text every other text scores 0.5; with labels of one class only, that label.
 """
@@ -123,7 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     ship(docs.sparkSession)
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")).where(
         F.col("id").isNotNull() & ~held_out(F.col("id")) & F.col("label").isin(0, 1)
-    )
+    ).distinct()
     order = [F.xxhash64("id"), "id", "label"]
     chosen = known.where("label = 0").orderBy(*order).limit(SAMPLE).unionByName(known.where("label = 1").orderBy(*order).limit(SAMPLE))
 
@@ -136,11 +138,18 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 names=["id", "label", "at", "n"],
             )
 
-    # At most 2 * SAMPLE rows are broadcast, and the counts of as many texts collected.
-    texts = docs.select(F.col(doc_id).alias("id"), whole_text(text).cast("binary").alias("data")).join(F.broadcast(chosen), "id").select("id", "label", "data")
-    rows = texts.mapInArrow(counted, "id long, label int, at binary, n binary").collect()
-    # Rows that repeat an id could exceed the sample.
-    rows = sorted(rows, key=lambda r: (r.id, r.label, bytes(r.at), bytes(r.n)))[: 4 * SAMPLE]
+    texts = docs.select(F.col(doc_id).alias("id"), whole_text(text).cast("binary").alias("data")).join(F.broadcast(chosen), "id")
+    texts = texts.select("id", "label", "data", F.xxhash64("data").alias("digest"))
+    # An id may have any number of rows: one text of each id comes first, then others up to the sample's size.
+    distinct = texts.select("id", "label", "digest").distinct()
+    firsts = distinct.groupBy("id", "label").agg(F.min("digest").alias("first"))
+    ranked = distinct.join(F.broadcast(firsts), ["id", "label"]).withColumn("further", F.col("digest") != F.col("first"))
+    order = ["further", F.xxhash64("id", "digest"), "id", "digest"]
+    taken = ranked.where("label = 0").orderBy(*order).limit(SAMPLE).unionByName(ranked.where("label = 1").orderBy(*order).limit(SAMPLE))
+    # At most 2 * SAMPLE rows are broadcast, and the counts of as many texts collected; copies end in the tasks.
+    texts = texts.join(F.broadcast(taken.select("id", "label", "digest")), ["id", "label", "digest"]).dropDuplicates(["id", "label", "digest"])
+    rows = texts.select("id", "label", "data").mapInArrow(counted, "id long, label int, at binary, n binary").collect()
+    rows = sorted(rows, key=lambda r: (r.id, r.label, bytes(r.at), bytes(r.n)))
     matrix = np.zeros((len(rows), FEATURES), np.float32)
     for i, r in enumerate(rows):
         matrix[i, np.frombuffer(bytes(r.at), "<u2")] = np.frombuffer(bytes(r.n), "<f4")

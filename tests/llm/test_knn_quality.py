@@ -56,3 +56,18 @@ def test_odd_rows(spark, monkeypatch):
     assert {r.mark for r in knn_quality.scored(df, blank, "mark").collect()} == {0.0, 0.5}
     assert knn_quality.scored(df.limit(0), model, "mark").collect() == []
     assert len(knn_quality.fit(df.limit(0), labels).labels) == 0
+
+
+def test_repeated_ids(spark, monkeypatch):
+    """A small id with very many copies, or very many texts, leaves the other labelled ids in the sample."""
+    monkeypatch.setattr(knn_quality, "SAMPLE", 20)
+    good, bad = [(i, f"good text number {i}") for i in range(100, 112)], [(i, f"BAD | {i} | BAD") for i in range(200, 212)]
+    labels = spark.createDataFrame([(1, 0)] * 50 + [(2, 0)] + [(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad], "doc_id long, quality int")
+    rows = [(1, "BAD | hot | BAD")] * 400 + [(2, f"BAD | hot {k}") for k in range(300)] + good + bad
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    model = knn_quality.fit(df, labels)
+    trained = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5}
+    assert model.labels.sum() == len(trained & {i for i, _ in good}) > 5
+    assert (model.labels == 0).sum() == 20  # each id's first text, and further texts of the id 2
+    scores = {r.doc_id: r.score for r in knn_quality.scored(df, model).collect()}
+    assert all(scores[i] > 0.9 for i, _ in good) and all(scores[i] < 0.1 for i, _ in bad)
