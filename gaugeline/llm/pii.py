@@ -6,7 +6,10 @@ Each distinct entity of the corpus gets one surrogate, drawn from a keyed digest
 same surrogate everywhere (coreference; `Mr. Smith` and `Mr. John Smith` share the family name), the
 type and format stay (lengths, separators, letter case, digits, a valid check digit), names keep their
 gender and script. Collision checks over the whole corpus keep different entities different: a draw
-that equals any detected entity, a surrogate in use, or a draw of another entity is made again.
+that equals any detected entity, a surrogate in use, or a draw of another entity is made again. Where
+draws of the entity's own form run out, later ones widen it, so that every entity gets a surrogate: longer
+names and local parts, other exchanges, numbers and the reserved block 240/4, at last additional digits
+or (IPv4) groups.
 
 `replace` changes nothing in texts without an entity. Null texts stay null. Rows may repeat and ids may be
 null: rows are told apart by position. An empty table gives no rows. Only SQL expressions are used.
@@ -14,6 +17,8 @@ null: rows are told apart by position. An empty table gives no rows. Only SQL ex
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +37,8 @@ NAME_ENDS = {("latin", "m"): ("o", "er", "us", "ald"), ("latin", "f"): ("a", "ia
              ("cyrillic", "m"): ("ий", "ан", "ор", "ислав"), ("cyrillic", "f"): ("а", "ия", "ина", "ислава"),
              ("cyrillic", "sm"): ("ов", "ин", "ев", "ский"), ("cyrillic", "sf"): ("ова", "ина", "ева", "ская")}
 
-MOST_DRAWS = 64
+# Draws in the entity's own form; as many follow in the whole format, then each adds a character.
+OWN_DRAWS = 8
 
 _TITLE = "|".join(TITLES_M + TITLES_F)
 _NAME = r"\p{Lu}\p{L}+"
@@ -118,23 +124,30 @@ def _surrogate(kind: Column, value: Column, draw: int, key: str) -> Column:
         )
         return F.array_join(chars, "")
 
+    # What later draws add: 16 times the space with every draw.
+    wide, longer = draw >= OWN_DRAWS, max(0, draw - 2 * OWN_DRAWS + 1)
+    more = F.sha2(F.concat(seed, F.lit("wider")), 256)
+    letters = F.substring(F.translate(more, "0123456789", "ghijklmnop"), 1, max(0, draw - OWN_DRAWS + 1))
+    digits = F.substring(F.translate(more, "abcdef", "012345"), 1, longer)
     # Addresses under a reserved ending; the same domain gives the same domain.
     domain = F.sha2(F.concat_ws("\x01", F.lit(key), F.lower(F.substring_index(value, "@", -1))), 256)
-    email = F.concat(redrawn(F.substring_index(value, "@", 1)), F.lit("@mail"), F.substring(domain, 1, 10), F.lit(".example"))
+    email = F.concat(redrawn(F.substring_index(value, "@", 1)), letters, F.lit("@mail"), F.substring(domain, 1, 10), F.lit(".example"))
     country = F.regexp_extract(value, r"^(\+[0-9]{1,3})(?=[ .(-])", 1)
     national = F.substring(value, F.length(country) + 1, F.length(value))
     # In the North American form the exchange 555 is kept for fiction.
-    phone = F.concat(country, F.regexp_replace(redrawn(national), r"^( ?\([0-9]{3}\) ?)[0-9]{3}", "$1555"))
-    ip = F.concat_ws(".", F.lit("10"), number(0, 256), number(5, 256), number(10, 256))
-    ssn = F.concat(F.lit("9"), F.substring(redrawn(value), 2, 10))
+    drawn = redrawn(national)
+    phone = F.concat(country, drawn if wide else F.regexp_replace(drawn, r"^( ?\([0-9]{3}\) ?)[0-9]{3}", "$1555"), digits)
+    groups = [number(15 + 2 * k, 256) for k in range(longer)]
+    ip = F.concat_ws(".", (number(25, 15) + 240).cast("string") if wide else F.lit("10"), number(0, 256), number(5, 256), number(10, 256), *groups)
+    ssn = F.concat(redrawn(value) if wide else F.concat(F.lit("9"), F.substring(redrawn(value), 2, 10)), digits)
     bare = F.translate(value, " -", "")
     # The last digit is the one that makes the sum right, if it is right in the original.
-    open_card = F.concat(F.substring(value, 1, 1), F.expr("''"), F.substring(redrawn(value), F.lit(2), F.length(value) - 2))
+    open_card = F.concat(F.substring(value, 1, 1), F.expr("''"), F.substring(redrawn(value), F.lit(2), F.length(value) - 2), digits)
     checked = F.filter(
         F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(open_card, d.cast("string"))),
         lambda c: _luhn_ok(F.translate(c, " -", "")),
     )
-    card = F.when(_luhn_ok(bare), F.get(checked, F.lit(0))).otherwise(F.concat(F.substring(value, 1, 1), F.substring(redrawn(value), F.lit(2), F.length(value))))
+    card = F.when(_luhn_ok(bare), F.get(checked, F.lit(0))).otherwise(F.concat(F.substring(value, 1, 1), F.substring(redrawn(value), F.lit(2), F.length(value)), digits))
     name = F.lit(None).cast("string")
     for (script, sex), ends in NAME_ENDS.items():
         # Later draws add parts, so that names never run out.
@@ -151,7 +164,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     entities = stored(entities, "pii-entities")
     originals = entities.select(F.col("value").alias("surrogate")).distinct()
     pending, done = entities, None
-    for draw in range(MOST_DRAWS):
+    for draw in count():
         drawn = stored(pending.withColumn("surrogate", _surrogate(F.col("kind"), F.col("value"), draw, key)), "pii-drawn")
         good = drawn.join(originals, "surrogate", "left_anti")
         if done is not None:
@@ -163,7 +176,6 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         pending = drawn.join(good.select("kind", "value"), ["kind", "value"], "left_anti").select("kind", "value")
         if pending.isEmpty():
             return done
-    raise ValueError(f"entities are left without a surrogate after {MOST_DRAWS} draws")
 
 
 def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:

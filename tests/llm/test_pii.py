@@ -134,3 +134,26 @@ def test_clean_texts_stay(spark, text):
 def test_no_python_in_the_plan(spark):
     plan = queries.op2_pii(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
+
+
+def test_a_filled_space_is_widened(spark):
+    """All one-letter addresses of a domain, and 27 letters that have 26 places."""
+    latin = [f"{c}@one.de" for c in "abcdefghijklmnopqrstuvwxyz"]
+    other = [f"{chr(0x4E00 + i)}@two.de" for i in range(27)]
+    out = replaced(spark, latin + other)
+    assert len(set(out)) == 53 and not set(out) & {*latin, *other}
+    assert all(re.fullmatch(r"[a-z]+@mail[0-9a-f]{10}\.example", x) for x in out)
+
+
+def test_later_draws_have_more_places(spark):
+    """Each kind's space grows from the last draw of its own form on, and goes on growing."""
+    values = {"email": "a@b.de", "phone": "(212) 555-0101", "ip": "1.2.3.4", "ssn": "123-45-6789", "card": "4111111111111111"}
+    df = spark.createDataFrame(list(values.items()), "kind string, value string")
+    draws = (0, pii.OWN_DRAWS, 2 * pii.OWN_DRAWS, 2 * pii.OWN_DRAWS + 20)
+    rows = df.select("kind", *(pii._surrogate(F.col("kind"), F.col("value"), d, "k").alias(str(d)) for d in draws)).collect()
+    got = {r.kind: r[1:] for r in rows}
+    assert re.fullmatch(r"10(\.\d+){3}", got["ip"][0]) and re.fullmatch(r"2[45]\d(\.\d+){3}", got["ip"][1]) and got["ip"][3].count(".") == 24
+    assert len(got["email"][1]) == len(got["email"][0]) + 1
+    for kind in ("phone", "ssn", "card"):
+        assert [len(x) - len(values[kind]) for x in got[kind]] == [0, 0, 1, 21]
+    assert all(luhn(x) for x in got["card"])
