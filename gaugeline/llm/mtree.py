@@ -12,8 +12,9 @@ the least bound, which gives it a k-th best score, and then those branches that
 node it takes the pages in order of their bounds, leaves out pages and entries that the stored
 distances rule out by the triangle inequality, and stops when no bound can beat its k-th score.
 
-Vectors that are null, hold a null or a non-finite component, or one of 2^24 and more after rounding
-(whose products don't fit) take no part, nor do rows without an id. Shorter vectors count as filled up
+Vectors that are null or hold a null or a non-finite component take no part, nor do rows without an id, nor
+vectors with a component that is no 64-bit whole number after rounding (2^55 or more in size). Scores are
+exact; a result of 2^63 - 1 or more in size, which doesn't fit a long, is an error. Shorter vectors count as filled up
 with zeros. Rows with the query's id are its own and no candidates; ties go to the smaller id. Equal rows count once, and so
 do rows of an id with the same score; an id with different vectors has a place for each score. An
 empty table, or one without queries, gives no rows.
@@ -31,12 +32,13 @@ from pyspark.sql import functions as F
 from gaugeline.llm.common import ship, stored
 
 SCALE = 256
-LARGEST = 1 << 24
+LARGEST = 2.0**63
 PIVOTS = 32
 NODE_ROWS = 8192
 PAGE = 64
 QUERY_BLOCK = 16384  # queries that one task tests against a node
 NONE = np.iinfo(np.int64).min  # the score of a place without a candidate
+LEAST, MOST = NONE + 1, np.iinfo(np.int64).max  # stand for scores that don't fit
 
 
 def whole_numbers(vector: Column) -> Column:
@@ -54,22 +56,32 @@ def _matrix(rows: list, width: int) -> np.ndarray:
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of the rows of a and b."""
+    """Exact inner products of the rows of a and b; those that don't fit are LEAST or MOST."""
     largest = max(int(np.abs(a).max(initial=0)), 1) * max(int(np.abs(b).max(initial=0)), 1) * max(a.shape[1], 1)
     if largest < 1 << 52:  # every partial sum is a whole number that a double holds
         return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    return a @ b.T
+    whole = a @ b.T  # modulo 2^64, whatever the partial sums
+    if largest >= 1 << 63:
+        sizes = np.abs(a.astype(np.float64)) @ np.abs(b.astype(np.float64)).T
+        for i, j in zip(*np.nonzero(sizes >= 2.0**62)):
+            whole[i, j] = min(max(sum(x * y for x, y in zip(a[i].tolist(), b[j].tolist())), int(LEAST)), int(MOST))
+    return whole
 
 
-def _apart(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+def _near_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products in floating point, for bounds: the slack covers the rounding."""
+    return a.astype(np.float64) @ b.T.astype(np.float64)
+
+
+def _apart(a: np.ndarray, b: np.ndarray, most: float) -> np.ndarray:
     """Distances between lifted vectors a' (rows) and b' (columns)."""
     lift = [np.sqrt(np.maximum(most - (x.astype(np.float64) ** 2).sum(axis=1), 0)) for x in (a, b)]
-    square = 2.0 * most - 2 * (_products(a, b) + np.outer(*lift))
+    square = 2.0 * most - 2 * (_near_products(a, b) + np.outer(*lift))
     return np.sqrt(np.maximum(square, 0))
 
 
-def _from_queries(q: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-    square = (q.astype(np.float64) ** 2).sum(axis=1)[:, None] + most - 2.0 * _products(q, b)
+def _from_queries(q: np.ndarray, b: np.ndarray, most: float) -> np.ndarray:
+    square = (q.astype(np.float64) ** 2).sum(axis=1)[:, None] + most - 2.0 * _near_products(q, b)
     return np.sqrt(np.maximum(square, 0))
 
 
@@ -85,7 +97,7 @@ def _once(order: np.ndarray, every: np.ndarray, names: np.ndarray) -> np.ndarray
 class Node:
     """A node: pages of entries around routing vectors."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, most: int):
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, most: float):
         self.most = most
         order = np.lexsort((ids,))
         self.ids, self.rows = ids[order], rows[order]
@@ -126,7 +138,7 @@ class Node:
         n = len(q)
         ids, scores = np.zeros((n, k), np.int64), np.full((n, k), NONE)
         norms = (q.astype(np.float64) ** 2).sum(axis=1) + self.most
-        need = floor.astype(np.float64).copy()
+        need = np.where(floor == NONE, -np.inf, floor.astype(np.float64))
 
         def reach() -> np.ndarray:
             """The distance beyond which nothing reaches the k-th score."""
@@ -172,7 +184,7 @@ class Node:
         return ids, scores
 
 
-def _visit(nodes: DataFrame, visits: DataFrame, width: int, most: int, k: int) -> DataFrame:
+def _visit(nodes: DataFrame, visits: DataFrame, width: int, most: float, k: int) -> DataFrame:
     """query_id, vec_id, score: what each visit (branch, part, block, query_id, q, floor) finds in its node.
 
     The rows of a node (nodes: branch, part, block, vec_id, v) come first in their group and make the tree; the
@@ -205,7 +217,7 @@ def _visit(nodes: DataFrame, visits: DataFrame, width: int, most: int, k: int) -
                 else:
                     if node is None and ids:
                         node = Node(np.array(ids, np.int64), _matrix(rows, width), most)
-                    asked.append((i, v, NONE // 4 if floor is None else floor))
+                    asked.append((i, v, NONE if floor is None else floor))
             answer()
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["query_id", "vec_id", "score"])
@@ -220,9 +232,9 @@ def top_k(vectors: DataFrame, k: int, every: int, vec_id: str = "vec_id", vector
     ship(spark)
     rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), whole_numbers(F.col(vector)).alias("v"))
     rows = stored(rows.where("vec_id IS NOT NULL AND v IS NOT NULL").distinct(), "mtree-rows")
-    norm = F.aggregate("v", F.lit(0).cast("bigint"), lambda s, x: s + x * x)
+    norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     facts = rows.agg(F.max(norm).alias("most"), F.max(F.size("v")).alias("width")).first()
-    most, width = facts.most or 0, facts.width or 0
+    most, width = facts.most or 0.0, facts.width or 0
     # Routing vectors of the root: a bounded sample in the order of a hash.
     pivots = [r.v for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id", F.xxhash64("v")).limit(PIVOTS).collect()] or [[]]
     held = spark.sparkContext.broadcast(_matrix(pivots, width))
@@ -268,8 +280,12 @@ def top_k(vectors: DataFrame, k: int, every: int, vec_id: str = "vec_id", vector
     # An id's rows with the same score, or those found for two rows of a query, are one place.
     kth = best.distinct().withColumn("nr", F.row_number().over(ranked)).where(F.col("nr") == k).select("query_id", F.col("score").alias("floor"))
     rest = routed.select("query_id", "q", F.explode(F.slice("to", 2, len(pivots))).alias("to")).select("query_id", "q", "to.*").join(kth, "query_id", "left")
-    square = F.aggregate("q", F.lit(0).cast("bigint"), lambda s, x: s + x * x) + most
-    rest = rest.where(F.col("floor").isNull() | (F.col("bound") * F.col("bound") <= square - 2 * F.col("floor") + 1))
+    square = F.aggregate("q", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")) + most
+    # The bounds are less by the slack, which covers the rounding of these roots too.
+    reach = F.sqrt(F.greatest(square - 2 * F.col("floor").cast("double"), F.lit(0.0)))
+    rest = rest.where(F.col("floor").isNull() | (F.col("bound") <= reach))
     others = _visit(nodes, visits(rest.select("query_id", "q", "branch", "floor")), width, most, k)
     out = best.unionByName(others).distinct().withColumn("rank", F.row_number().over(ranked).cast("int"))
-    return out.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    fits = (F.col("score") > int(LEAST)) & (F.col("score") < int(MOST))
+    score = F.when(fits, F.col("score")).otherwise(F.raise_error(F.concat(F.lit("a score doesn't fit a long, query "), F.col("query_id").cast("string"))).cast("bigint"))
+    return out.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))

@@ -88,3 +88,29 @@ def test_repeated_rows(spark, monkeypatch, page, pivots):
     rows += [(503, best), (503, [*best, 0.0]), (503, [2.0 * x for x in best]), (151, [5.0] * 8)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert result(mtree.top_k(df, 5, 50)) == plain([(i, v + [0.0] * (9 - len(v))) for i, v in rows], 5, 50)
+
+
+def whole(rows, k, every):
+    """As `plain`, with every finite vector."""
+    good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    out = {}
+    for i, q in good:
+        if i % every == 0:
+            found = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in good if j != i)[:k]
+            out |= {(i, r + 1): (j, -s) for r, (s, j) in enumerate(found)}
+    return out
+
+
+def test_large_components(spark, monkeypatch):
+    """Components of 65,536 and more, products of more than 2^53, and partial sums beyond 2^63 that cancel."""
+    monkeypatch.setattr(mtree, "PIVOTS", 3)
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.normal(0, 1, 8) * (70_000 if i % 3 else 1)).tolist()) for i in range(1, 200)]
+    rows += [(200, [100_000.0] * 8), (201, [65_536.0] + [0.0] * 7)]
+    schema = "vec_id long, embedding array<double>"
+    assert result(mtree.top_k(spark.createDataFrame(rows, schema), 5, 20)) == whole(rows, 5, 20)
+    big = [2.0**30, 2.0**30] + [1.0] * 6
+    rows = [(0, big), (1, [2.0**25, -(2.0**25)] + [1.0] * 6), (2, [-(2.0**25), 2.0**25] + [3.0] * 6), (3, [-1.0] * 8), (4, [2.0] * 8), (5, [0.5] * 8)]
+    assert result(mtree.top_k(spark.createDataFrame(rows, schema), 5, 50)) == whole(rows, 5, 50)
+    with pytest.raises(Exception, match="doesn't fit a long"):
+        mtree.top_k(spark.createDataFrame(rows + [(6, big)], schema), 5, 50).collect()
