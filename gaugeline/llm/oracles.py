@@ -120,3 +120,17 @@ MIX = """
                                     <= target - epochs * n THEN 1 ELSE 0 END) AS taken
   FROM keyed k JOIN rests r ON k.source IS NOT DISTINCT FROM r.source
 """
+
+FREQUENT_LINES = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+placed AS (SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM docs),
+keyed AS (
+  SELECT r, place, line, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM placed),
+frequent AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10),
+marked AS (SELECT keyed.*, frequent.k IS NOT NULL AS gone FROM keyed LEFT JOIN frequent ON keyed.k = frequent.k),
+joined AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS kept
+  FROM marked GROUP BY r)
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM docs JOIN joined USING (r)
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, knn_quality, minhash, mixing, mtree, oracles, pii, rans, secrets, url_rules, weighted_sampling
+from gaugeline.llm import alignment, bpe, importance, knn_quality, line_runs, minhash, mixing, mtree, oracles, pii, rans, secrets, url_rules, weighted_sampling
 from gaugeline.llm.common import table
 from gaugeline.session import fresh_path
 
@@ -71,6 +71,28 @@ def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+# Batches in which the query's table is taken in; the first four are compacted to one run.
+LINE_BATCHES = 5
+
+
+def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_runs.dropped_in_batches(docs, fresh_path(spark, "line-runs"), LINE_BATCHES, least=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = bpe.read_spec(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = alignment.with_counts(docs, spec, alignment.read_model(public_tokenizers.path("piece_bpe_32k.model")), groups=False)
+    return aligned.drop("text")
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, table(spark, sf_dir, "benchmark"), percent=5, least_words=20, seed=42, keep=["doc_id"])
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
@@ -82,6 +104,9 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_mtree": op9_mtree,
     "op10_weighted_sampling": op10_weighted_sampling,
+    "op11_line_runs": op11_line_runs,
+    "op12_alignment": op12_alignment,
+    "op13_importance": op13_importance,
 }
 
 ORACLES = {
@@ -90,4 +115,5 @@ ORACLES = {
     "op7_mixing": oracles.MIX,
     "op8_minhash": oracles.NEAR_DUPLICATES,
     "op9_mtree": oracles.TOP_K,
+    "op11_line_runs": oracles.FREQUENT_LINES,
 }
