@@ -9,8 +9,8 @@ ordinary text) is settled by this identity map: how many documents hold the pair
 of the vocabulary's length per task. Only the links of other groups are pairs that are shuffled, summed up
 by task. An identical pair linked in an irregular group (at another place of both) counts in the vector, too.
 
-Texts are cut first in front of spaces that follow a byte which no token of A or B has before a space: such
-places are always cuts, and the fragments between them repeat, so that a worker keeps their alignment.
+Texts are tokenized in fragments, cut between bytes that stand side by side in no token of A or of B: the fragments
+repeat, and a worker keeps their ids. The alignment itself is array arithmetic over many texts.
 
 Texts that are null or empty, and those whose tokens don't give back their bytes (B can't tell the sign U+2581
 from a space), have no tokens: all numbers are 0 and the groups empty. Rows are documents whatever their ids: null and
@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 from gaugeline.llm.bpe import ByteBpe
 from gaugeline.llm.common import fresh_name, ship, stored, whole_text
 
-# Fragments whose alignment a worker keeps; when full it starts over. Only speed depends on it.
-KEPT_FRAGMENTS = 100_000
+# Fragments whose ids a worker keeps, and as many older ones; only speed depends on it.
+KEPT_FRAGMENTS = 200_000
+# Bytes of texts that are aligned at a time.
+BLOCK = 1 << 20
 # Irregular pairs up to this number (16 bytes each) are broadcast with their counts; more are joined by shuffle.
 BROADCAST_PAIRS = 1 << 21
 # Pairs that a task holds before it sums them up.
@@ -41,13 +43,15 @@ _HELD_PAIRS = 1 << 20
 SPACE = "▁"
 
 
-class Fragment(NamedTuple):
-    n_a: int
-    n_b: int
-    n_groups: int
-    same: bytes  # A ids of identical pairs, uint32, one for each link
-    other: bytes  # a * size of B + b of the other links, uint64
-    groups: str
+class Aligned(NamedTuple):
+    """The alignment of one text."""
+
+    n_a: int = 0
+    n_b: int = 0
+    groups: str = ""
+    n_groups: int = 0
+    same: np.ndarray = np.zeros(0, np.int64)  # A ids of identical pairs, one for each link
+    other: np.ndarray = np.zeros(0, np.int64)  # a * size of B + b of the other links
 
 
 class Aligner:
@@ -62,11 +66,22 @@ class Aligner:
         self.n_a, self.n_b = max(self.a.token_bytes) + 1, self.b.get_piece_size()
         self.bytes_a = [self.a.token_bytes.get(i, b"") for i in range(self.n_a)]
         self.bytes_b = [self._bytes_of(i) for i in range(self.n_b)]
-        self.same = identity_map(self.bytes_a, self.bytes_b)
+        self.length_a, self.length_b = (np.array([len(t) for t in side]) for side in (self.bytes_a, self.bytes_b))
+        self.same = np.array(identity_map(self.bytes_a, self.bytes_b))
+        # Texts of ids with what follows them in a group: A within, A last, B within, B last.
+        shown = [[f"{i}{sign}" for i in range(n)] for n, sign in ((self.n_a, ","), (self.n_a, "|"), (self.n_b, ","), (self.n_b, ";"))]
+        self.shown = np.array(sum(shown, []), object)
         self.blank = self.b.piece_to_id(SPACE)
-        before = {t[i - 1] for t in self.bytes_b for i in range(1, len(t)) if t[i] == 0x20}
-        self.cut_after = np.array([bool(self.a.cuts[(p << 8) | 0x20]) and p not in before for p in range(256)])
-        self.known: dict[bytes, Fragment | None] = {}
+        self.line = self.b.encode("\n")  # the space in front and the line break, which no longer piece holds
+        inside = np.zeros((256, 256), bool)
+        for token in self.bytes_b:
+            raw = np.frombuffer(token, np.uint8)
+            inside[raw[:-1], raw[1:]] = True
+        if inside[0x0A].any() or inside[:, 0x0A].any() or len(self.line) != 2:
+            raise ValueError("pieces with line breaks can't be encoded in fragments")
+        self.cuts = self.a.cuts & ~inside.ravel()
+        self.known: dict[bytes, tuple[bytes, bytes] | None] = {}
+        self.older: dict[bytes, tuple[bytes, bytes] | None] = {}
 
     def _bytes_of(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -74,56 +89,86 @@ class Aligner:
 
     def fragments(self, data: bytes) -> list[bytes]:
         raw = np.frombuffer(data, np.uint8)
-        at = (np.flatnonzero((raw[1:] == 0x20) & self.cut_after[raw[:-1]]) + 1).tolist()
+        pairs = (raw[:-1].astype(np.uint16) << 8) | raw[1:]
+        at = (np.flatnonzero(self.cuts[pairs]) + 1).tolist()
         return [data[i:j] for i, j in zip([0, *at], [*at, len(data)])]
 
-    def _aligned(self, fragment: bytes) -> Fragment | None:
-        """The alignment of a fragment (it begins with a space), None if tokens don't give back its bytes."""
-        ids_a = np.frombuffer(self.a._fragment_ids(fragment), "<u4").tolist()
-        # Nothing but the space that B adds: B gives no token for an empty text.
-        ids_b = self.b.encode(fragment[1:].decode()) if len(fragment) > 1 else [self.blank]
-        tokens_a, tokens_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        if b"".join(tokens_a) != fragment or b"".join(tokens_b) != fragment:
-            return None
-        same, other, groups = [], [], []
-        i = j = first_a = first_b = 0
-        end_a, end_b = len(tokens_a[0]), len(tokens_b[0])
-        while True:
-            a, b = ids_a[i], ids_b[j]
-            if self.same[a] == b:
-                same.append(a)
-            else:
-                other.append(a * self.n_b + b)
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            i, j = i + step_a, j + step_b
-            if step_a and step_b:
-                groups.append(f"{','.join(map(str, ids_a[first_a:i]))}|{','.join(map(str, ids_b[first_b:j]))}")
-                first_a, first_b = i, j
-                if i == len(ids_a):
-                    break
-            if step_a:
-                end_a += len(tokens_a[i])
-            if step_b:
-                end_b += len(tokens_b[j])
-        return Fragment(len(ids_a), len(ids_b), len(groups), np.array(same, "<u4").tobytes(), np.array(other, "<u8").tobytes(), ";".join(groups))
-
-    def align(self, data: bytes) -> list[Fragment]:
-        """The fragments of a UTF-8 text, none if it has no tokens."""
-        if not data:
-            return []
-        out, known = [], self.known
-        for fragment in self.fragments(b" " + data):
-            try:
-                found = known[fragment]
-            except KeyError:
-                found = self._aligned(fragment)
-                if len(known) >= KEPT_FRAGMENTS:
-                    known.clear()
-                if len(fragment) <= 64:
-                    known[fragment] = found
-            if found is None:
-                return []
-            out.append(found)
+    def learn(self, fragments: list[bytes]) -> None:
+        """Ids of both sides for new fragments; None where tokens don't give back the bytes."""
+        if len(self.known) + len(fragments) > KEPT_FRAGMENTS:
+            self.older, self.known = self.known, {}
+        # B puts a space in front of a text. Where the fragment has none, a line break keeps it apart and is taken off.
+        texts = [f[1:].decode() if f[:1] == b" " else "\n" + f.decode() for f in fragments]
+        for f, text, ids_b in zip(fragments, texts, self.b.encode(texts, num_threads=1)):
+            if f[:1] != b" ":
+                ids_b = ids_b[2:] if ids_b[:2] == self.line else []
+            elif not text:
+                ids_b = [self.blank]
+            ids_a = self.a._fragment_ids(f)
+            whole = b"".join([self.bytes_a[i] for i in np.frombuffer(ids_a, "<u4").tolist()]) == f == b"".join([self.bytes_b[i] for i in ids_b])
+            self.known[f] = (ids_a, np.array(ids_b, "<u4").tobytes()) if whole else None
+
+    def _ids(self, text: bytes) -> list[tuple[bytes, bytes] | None]:
+        """Ids of the fragments of a text behind its space."""
+        fragments = self.fragments(b" " + text)
+        known, older = self.known, self.older
+        fresh = {f for f in fragments if f not in known}
+        if fresh:
+            for f in [f for f in fresh if f in older]:
+                known[f] = older[f]
+                fresh.discard(f)
+            if fresh:
+                self.learn(list(fresh))
+                if self.known is not known:  # it was full: what this text needs may be in the older half now
+                    known, older = self.known, self.older
+                    return [known[f] if f in known else older[f] for f in fragments]
+        return [known[f] for f in fragments]
+
+    def align(self, texts: list[bytes]) -> list[Aligned]:
+        """The alignment of each UTF-8 text."""
+        out, held, size = [Aligned()] * len(texts), [], 0
+        for nr, text in enumerate(texts):
+            ids = self._ids(text) if text else [None]
+            if None not in ids:
+                held.append((nr, len(text) + 1, b"".join([a for a, _ in ids]), b"".join([b for _, b in ids])))
+                size += len(text)
+            if held and (size >= BLOCK or nr == len(texts) - 1):
+                numbers, sizes, a, b = zip(*held)
+                for own, found in zip(numbers, self._block(list(sizes), b"".join(a), b"".join(b))):
+                    out[own] = found
+                held, size = [], 0
+        return out
+
+    def _block(self, sizes: list[int], a: bytes, b: bytes) -> list[Aligned]:
+        """Alignments of texts of `sizes` bytes that stand behind each other.
+
+        The ends of all tokens cut the bytes into intervals. Each lies in one token of A and one of B, and each
+        overlapping pair has one of them. Both sides end at a text's end, so no group or link leaves its text.
+        """
+        ids_a, ids_b = np.frombuffer(a, "<u4").astype(np.int64), np.frombuffer(b, "<u4").astype(np.int64)
+        mark = np.zeros(sum(sizes) + 1, np.uint8)
+        mark[np.cumsum(self.length_a[ids_a])] = 1
+        mark[np.cumsum(self.length_b[ids_b])] += 2
+        ends = np.flatnonzero(mark)
+        signs = mark[ends]
+        is_a, is_b, both = (signs & 1).astype(bool), signs >= 2, signs == 3
+        upto_a, upto_b, upto = np.cumsum(is_a), np.cumsum(is_b), np.cumsum(both)
+        link_a, link_b, group = ids_a[upto_a - is_a], ids_b[upto_b - is_b], upto - both
+        same = self.same[link_a] == link_b
+        other = link_a * self.n_b + link_b
+        # A's tokens of a group come before B's: a token's place is its number and how many of the other side precede it.
+        total_a, total_b = upto_a[both], np.concatenate([[0], upto_b[both]])
+        shown = np.empty(len(ids_a) + len(ids_b), np.int64)
+        shown[np.arange(len(ids_a)) + total_b[group[is_a]]] = ids_a + both[is_a] * self.n_a
+        shown[np.arange(len(ids_b)) + total_a[group[is_b]]] = ids_b + both[is_b] * self.n_b + 2 * self.n_a
+        words = self.shown[shown].tolist()
+        out, i, n_a, n_b, n = [], 0, 0, 0, 0
+        for j in (np.searchsorted(ends, np.cumsum(sizes)) + 1).tolist():
+            to_a, to_b, to = int(upto_a[j - 1]), int(upto_b[j - 1]), int(upto[j - 1])
+            mine = same[i:j]
+            text = "".join(words[n_a + n_b : to_a + to_b])[:-1]
+            out.append(Aligned(to_a - n_a, to_b - n_b, text, to - n, link_a[i:j][mine], other[i:j][~mine]))
+            i, n_a, n_b, n = j, to_a, to_b, to
         return out
 
 
@@ -176,20 +221,19 @@ def align(docs: DataFrame, spec_a: str, model_b: bytes, text: str = "text", grou
         own = _aligner(*held.value)
         for batch in batches:
             columns: list[list] = [[] for _ in range(9)]
-            for x in batch:
-                found = own.align(x.as_buffer().to_pybytes())
-                text_of = ";".join([f.groups for f in found])
-                row = (
-                    sum(f.n_a for f in found),
-                    sum(f.n_b for f in found),
-                    sum(f.n_groups for f in found),
-                    text_of if groups else None,
-                    hashlib.sha256(text_of.encode()).hexdigest() if found else "",
-                    *packed(np.frombuffer(b"".join([f.same for f in found]), "<u4"), "<u4"),
-                    *packed(np.frombuffer(b"".join([f.other for f in found]), "<u8"), "<u8"),
-                )
-                for column, value in zip(columns, row):
-                    column.append(value)
+            for at in range(0, len(batch), 256):
+                for f in own.align([x.as_buffer().to_pybytes() for x in batch[at : at + 256]]):
+                    row = (
+                        f.n_a,
+                        f.n_b,
+                        f.n_groups,
+                        f.groups if groups else None,
+                        hashlib.sha256(f.groups.encode()).hexdigest() if f.n_a else "",
+                        *packed(f.same, "<u4"),
+                        *packed(f.other, "<u8"),
+                    )
+                    for column, value in zip(columns, row):
+                        column.append(value)
             kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.binary()] * 4
             names = [f.split(":")[0] for f in _ALIGNED[7:-1].split(",")]
             yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
