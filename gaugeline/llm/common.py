@@ -16,6 +16,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# Bytes of rows that Spark hands to a Python worker at a time, where the session says nothing: texts differ
+# in length by a factor of thousands, so a number of rows alone doesn't bound a worker's memory.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: set[str] = set()
 
 
@@ -34,7 +39,10 @@ def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, as `--py-files` does; once per application.
 
     The archive only passes through a temporary folder of the driver, which serves it to the executors.
+    Batches are bounded in bytes, too, unless the session has a bound of its own.
     """
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

@@ -44,7 +44,9 @@ _TITLE = "|".join(TITLES_M + TITLES_F)
 _NAME = r"\p{Lu}\p{L}+"
 _BEFORE_TOKEN = r"(?<![\p{L}\p{N}_.+-])"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}"
+# Possessive throughout: a repeated group that may give back is matched by recursion, and long texts end the JVM.
+_LABEL = r"[\p{L}\p{N}]++(?:-++[\p{L}\p{N}]++)*+"
+EMAIL = rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}._%+-]++@(?=[\p{{L}}\p{{N}}.-]*\.\p{{L}}{{2}}){_LABEL}(?:\.{_LABEL})++"
 # The common bracket forms come first; the open form must not run on into an IPv4 address.
 PHONE = (
     r"(?<![\p{L}\p{N}_+-])(?:(?:\+[0-9]{1,3} ?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
@@ -104,6 +106,12 @@ def _luhn_ok(digits: Column) -> Column:
 def _surrogate(kind: Column, value: Column, draw: int, key: str) -> Column:
     """Draw `draw` for an entity: a fixed function of key, kind, value and draw."""
     seed = F.sha2(F.concat_ws("\x01", F.lit(key), kind, value, F.lit(str(draw))), 256)
+    # As an element of an array the seed is worked out once, not for every character that is drawn from it.
+    return F.get(F.transform(F.array(seed), lambda x: _drawn(kind, value, draw, key, x)), F.lit(0))
+
+
+def _drawn(kind: Column, value: Column, draw: int, key: str, seed: Column) -> Column:
+    """The draw that belongs to a seed."""
 
     def number(i: Column | int, n: int) -> Column:
         at = F.pmod(F.lit(i) if isinstance(i, int) else i, F.lit(29)) * 2 + 1

@@ -40,8 +40,8 @@ LANES = 1024
 BLOCK = 1 << 20  # ids after which a block closes at the next document
 CHECKPOINT = 1 << 18  # a multiple of LANES
 
-# Pieces whose ids a worker keeps; when full it starts over. Only speed depends on it.
-KEPT_PIECES = 500_000
+# Pieces, and words of pieces, whose ids a worker keeps, and as many older ones. Only speed depends on it.
+KEPT_PIECES = 300_000
 
 # Blocks up to this number have their positions broadcast (some 50 bytes each); more are joined by shuffle.
 BROADCAST_BLOCKS = 200_000
@@ -50,6 +50,10 @@ BROADCAST_BLOCKS = 200_000
 _LETTERS, _DIGITS, _BLANKS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
 _PIECE = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_DIGITS}]|[^{_BLANKS}{_LETTERS}{_DIGITS}]+")
 _CHUNK = re.compile(r"[^ \t\n\r]+")
+# Beyond Latin; lower-casing U+0130 gives a mark of its own.
+_FAR = re.compile("[^\0-\u017f]|\u0130")
+# Blanks to str.split, but not to the pre-tokenizer.
+_DOUBTFUL = re.compile("[\x1c-\x1f]")
 # Fixed value: the pieces of the pre-tokenizer that `_PIECE` restates.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -57,9 +61,9 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 class WordBpe:
     """Ids of a text by a vocabulary whose pre-tokenizer drops white space; lives in the Python workers.
 
-    The merges work inside pieces, and pieces met before are looked up. Latin text is lower-cased and
-    cut into pieces here. Any other is cut at white space, which no token reaches across, and each
-    chunk goes through the library.
+    The merges work inside pieces, and pieces met before are looked up, as are words (what stands between white
+    space, one piece or several). Latin text is lower-cased and cut here. Any other is cut at white space,
+    which no token reaches across, and each chunk goes through the library.
     """
 
     def __init__(self, spec: str):
@@ -76,32 +80,51 @@ class WordBpe:
         self.alphabet = byte_alphabet()
         self.added = re.compile("|".join(re.escape(t["content"]) for t in rules["added_tokens"]) or "(?!)")
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.old_known: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
     def _keep(self, key: str, ids: list[int]) -> bytes:
-        if len(self.known) >= KEPT_PIECES:
-            self.known.clear()
         packed = array("I", ids).tobytes()
         if len(key) <= 64:
+            if len(self.known) >= KEPT_PIECES:
+                self.old_known, self.known = self.known, {}
             self.known[key] = packed
         return packed
 
     def _piece(self, piece: str) -> bytes:
+        if old := self.old_known.get(piece):
+            self.known[piece] = old
+            return old
         seen = piece if piece.isascii() else "".join([self.alphabet[b] for b in piece.encode()])
         if not seen.isprintable():  # control characters have other signs in the vocabulary
             seen = "".join([self.alphabet[b] for b in piece.encode()])
         return self._keep(piece, [t.id for t in self.tokenizer.model.tokenize(seen)])
 
+    def _pieces(self, text: str) -> bytes:
+        known, piece = self.known, self._piece
+        return b"".join([known[p] if p in known else piece(p) for p in _PIECE.findall(text)])
+
+    def _word(self, word: str) -> bytes:
+        ids = self.old_words.get(word) or self._pieces(word)
+        if len(word) <= 64:
+            if len(self.words) >= KEPT_PIECES:
+                self.old_words, self.words = self.words, {}
+            self.words[word] = ids
+        return ids
+
     def _chunk(self, chunk: str) -> bytes:
         key = f" {chunk}"  # no piece begins with a blank
         return self.known.get(key) or self._keep(key, self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
         """Ids as unsigned 32-bit integers of this machine's order."""
-        # Lower-casing U+0130 gives a mark of its own.
-        latin = text.isascii() or (max(text) <= "\u017f" and "\u0130" not in text and unicodedata.is_normalized("NFC", text))
+        latin = text.isascii() or (not _FAR.search(text) and unicodedata.is_normalized("NFC", text))
         if latin and not self.added.search(text):
-            get, piece = self.known.get, self._piece
-            return b"".join([get(p) or piece(p) for p in _PIECE.findall(text.lower())])
+            if _DOUBTFUL.search(text):
+                return self._pieces(text.lower())
+            words, word = self.words, self._word
+            return b"".join([words[w] if w in words else word(w) for w in text.lower().split()])
         return b"".join([self._chunk(c) for c in _CHUNK.findall(text)])
 
 
@@ -115,14 +138,18 @@ def _word_bpe(spec: str) -> WordBpe:
     return _loaded[spec]
 
 
+# One of each per worker: making one costs more than the texts are long.
+_packer, _unpacker = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(ids: np.ndarray) -> bytes:
     """Ids for the way between two stages: byte planes, so that the rarely changing ones shrink."""
     planes = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return _packer.compress(planes.tobytes())
 
 
 def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(_unpacker.decompress(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 

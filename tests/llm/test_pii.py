@@ -157,3 +157,20 @@ def test_later_draws_have_more_places(spark):
     for kind in ("phone", "ssn", "card"):
         assert [len(x) - len(values[kind]) for x in got[kind]] == [0, 0, 1, 21]
     assert all(luhn(x) for x in got["card"])
+
+
+@pytest.mark.parametrize("text", ["x@" + "a." * 1_000_000 + "!", "x@" + "ab." * 300_000 + "!", "x@" + "a-" * 500_000 + ".de", "a." * 500_000 + "@b.de", "x@b" * 200_000, "𝐚a" * 200_000 + "@𝐚a.de",
+                                  "1." * 500_000, "+" * 500_000, "(212) " * 100_000, "1234 " * 200_000, "1" * 1_000_000, "Mr. " * 200_000, "Mr. " + "Ab " * 200_000, "Mr. A" + "b" * 1_000_000, "+1 " * 300_000, "@." * 400_000],
+                         ids=lambda t: f"{t[:8]}")
+def test_long_runs_end_no_job(spark, text):
+    (out,) = replaced(spark, [f"ok {text} mail q.r@s.de"])
+    assert out.startswith("ok ") and "q.r@s.de" not in out
+
+
+def test_domains(spark):
+    texts = ["a@b.de.", "a@b.de..x", "иван@почта.рф!", "a@b.co.uk/x", "a@b-c.de-", "a@b.de1", "r@10.0.0.1", "a@b..de", "a@b.c"]
+    out = replaced(spark, texts)
+    made = r"[a-zа-я]+@mail[0-9a-f]{10}\.example"
+    for text, ends in zip(out, (r"\.", r"\.\.x", "!", "/x", "-", "")):
+        assert re.fullmatch(made + ends, text)
+    assert re.fullmatch(r"r@10\.\d+\.\d+\.\d+", out[6]) and out[7:] == texts[7:]
