@@ -2,8 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; its result is
 written as Parquet and read again as the next one's docs. All but the last return the columns of
-`documents`. Further columns of docs are carried along. Rows that share a doc_id are one document for
-the near-duplicate stage: all stay or all go. The mix repeats a document once per epoch.
+`documents`. Further columns of docs are carried along. A document is a row: rows that share a doc_id stay or go each
+by its own text. The mix repeats a document once per epoch.
 """
 
 from __future__ import annotations
@@ -30,8 +30,7 @@ SIMILAR = 80
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
-    gone = stored(minhash.deduplicated(docs, least=SIMILAR).where("NOT kept").select("doc_id").distinct(), "dedup-gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return minhash.representatives(docs, least=SIMILAR)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
