@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -40,8 +41,8 @@ LANES = 1024
 BLOCK = 1 << 20  # ids after which a block closes at the next document
 CHECKPOINT = 1 << 18  # a multiple of LANES
 
-# Pieces, and words of pieces, whose ids a worker keeps, and as many older ones. Only speed depends on it.
-KEPT_PIECES = 300_000
+# Pieces whose ids a worker keeps, and as many older ones. Only speed depends on it.
+KEPT_PIECES = 350_000
 
 # Blocks up to this number have their positions broadcast (some 50 bytes each); more are joined by shuffle.
 BROADCAST_BLOCKS = 200_000
@@ -50,10 +51,10 @@ BROADCAST_BLOCKS = 200_000
 _LETTERS, _DIGITS, _BLANKS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
 _PIECE = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_DIGITS}]|[^{_BLANKS}{_LETTERS}{_DIGITS}]+")
 _CHUNK = re.compile(r"[^ \t\n\r]+")
+# Marks of one sign that often follow a word; none begins a contraction.
+_MARKS = frozenset(",.;:!?)")
 # Beyond Latin; lower-casing U+0130 gives a mark of its own.
 _FAR = re.compile("[^\0-\u017f]|\u0130")
-# Blanks to str.split, but not to the pre-tokenizer.
-_DOUBTFUL = re.compile("[\x1c-\x1f]")
 # Fixed value: the pieces of the pre-tokenizer that `_PIECE` restates.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -61,9 +62,9 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 class WordBpe:
     """Ids of a text by a vocabulary whose pre-tokenizer drops white space; lives in the Python workers.
 
-    The merges work inside pieces, and pieces met before are looked up, as are words (what stands between white
-    space, one piece or several). Latin text is lower-cased and cut here. Any other is cut at white space,
-    which no token reaches across, and each chunk goes through the library.
+    The merges work inside pieces, and pieces met before are looked up. Latin text is lower-cased and cut here, many
+    texts at a time, so that each distinct word of them (what stands between ASCII white space) is looked up
+    once. Any other is cut at white space, which no token reaches across, and each chunk goes through the library.
     """
 
     def __init__(self, spec: str):
@@ -80,20 +81,18 @@ class WordBpe:
         self.alphabet = byte_alphabet()
         self.added = re.compile("|".join(re.escape(t["content"]) for t in rules["added_tokens"]) or "(?!)")
         self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.old_known: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _keep(self, key: str, ids: list[int]) -> bytes:
         packed = array("I", ids).tobytes()
         if len(key) <= 64:
             if len(self.known) >= KEPT_PIECES:
-                self.old_known, self.known = self.known, {}
+                self.older, self.known = self.known, {}
             self.known[key] = packed
         return packed
 
     def _piece(self, piece: str) -> bytes:
-        if old := self.old_known.get(piece):
+        if old := self.older.get(piece):
             self.known[piece] = old
             return old
         seen = piece if piece.isascii() else "".join([self.alphabet[b] for b in piece.encode()])
@@ -101,31 +100,45 @@ class WordBpe:
             seen = "".join([self.alphabet[b] for b in piece.encode()])
         return self._keep(piece, [t.id for t in self.tokenizer.model.tokenize(seen)])
 
-    def _pieces(self, text: str) -> bytes:
-        known, piece = self.known, self._piece
-        return b"".join([known[p] if p in known else piece(p) for p in _PIECE.findall(text)])
-
     def _word(self, word: str) -> bytes:
-        ids = self.old_words.get(word) or self._pieces(word)
-        if len(word) <= 64:
-            if len(self.words) >= KEPT_PIECES:
-                self.old_words, self.words = self.words, {}
-            self.words[word] = ids
-        return ids
+        known, piece = self.known, self._piece
+        if word.isalpha():  # one piece, or one and a mark, as most words are
+            return known.get(word) or piece(word)
+        head, mark = word[:-1], word[-1:]
+        parts = (head, mark) if mark in _MARKS and head.isalpha() else _PIECE.findall(word)
+        return b"".join([known.get(p) or piece(p) for p in parts])
 
     def _chunk(self, chunk: str) -> bytes:
         key = f" {chunk}"  # no piece begins with a blank
         return self.known.get(key) or self._keep(key, self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
-    def encode(self, text: str) -> bytes:
-        """Ids as unsigned 32-bit integers of this machine's order."""
-        latin = text.isascii() or (not _FAR.search(text) and unicodedata.is_normalized("NFC", text))
-        if latin and not self.added.search(text):
-            if _DOUBTFUL.search(text):
-                return self._pieces(text.lower())
-            words, word = self.words, self._word
-            return b"".join([words[w] if w in words else word(w) for w in text.lower().split()])
-        return b"".join([self._chunk(c) for c in _CHUNK.findall(text)])
+    def _latin(self, text: str) -> bool:
+        near = text.isascii() or (not _FAR.search(text) and unicodedata.is_normalized("NFC", text))
+        return near and not self.added.search(text)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text as unsigned 32-bit integers."""
+        latin = [nr for nr, text in enumerate(texts) if self._latin(text)]
+        out = [np.zeros(0, "<u4")] * len(texts)
+        for nr, ids in zip(latin, self._by_word([texts[nr].lower() for nr in latin])):
+            out[nr] = ids
+        for nr in set(range(len(texts))).difference(latin):
+            out[nr] = np.frombuffer(b"".join([self._chunk(c) for c in _CHUNK.findall(texts[nr])]), "=u4").astype("<u4")
+        return out
+
+    def _by_word(self, texts: list[str]) -> list[np.ndarray]:
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        ends, words = lists.offsets.to_numpy(), lists.values.dictionary_encode()
+        ids = [self._word(w) for w in words.dictionary.to_pylist()]
+        sizes, flat = np.array([len(i) // 4 for i in ids], np.int64), np.frombuffer(b"".join(ids), "=u4").astype("<u4")
+        code = words.indices.to_numpy()
+        size = sizes[code]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        # Where each word's ids stand in `flat`, less where they go to.
+        shift = (np.cumsum(sizes) - sizes)[code] - upto[:-1]
+        found = flat[np.repeat(shift, size) + np.arange(upto[-1])]
+        cuts = upto[ends]
+        return [found[i:j] for i, j in zip(cuts[:-1], cuts[1:])]
 
 
 _loaded: dict[str, WordBpe] = {}
@@ -161,9 +174,9 @@ def tokenized(df: DataFrame, spec: str, end_id: int, doc_id: str = "doc_id", tex
     @F.arrow_udf("binary")
     def packed_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = _word_bpe(held.value)
-        tail = np.array([end_id], "<u4").tobytes()
+        tail = np.array([end_id], "<u4")
         for batch in batches:
-            yield pa.array([pack(np.frombuffer(bpe.encode(x.as_py()) + tail, "<u4")) for x in batch], pa.binary())
+            yield pa.array([pack(np.concatenate([ids, tail])) for ids in bpe.encode(batch.to_pylist())], pa.binary())
 
     return df.select(F.col(doc_id).cast("bigint").alias("doc_id"), packed_ids(whole_text(text)).alias("packed"))
 
