@@ -59,6 +59,17 @@ def units_of(decimal_sql: str, scale: int) -> str:
                   cast({decimal_sql} * {10**scale} AS BIGINT))"""
 
 
+def wide(name: str, decimal_name: str) -> Column:
+    """The number in text column `name` as DOUBLE where its `decimal` (column `decimal_name`) is NULL; NULL beyond doubles.
+
+    Only rows without a decimal, which are few, meet the pattern (the short route of `is_number` leaves some
+    tests to the decimal).
+    """
+    value = F.col(name).try_cast("double")
+    finite = F.when(F.abs(value) < float("inf"), value)
+    return F.when(F.col(decimal_name).isNull(), F.when(F.col(name).rlike(NUMBER), finite))
+
+
 def to_units(name: str, scale: int = 1) -> Column:
     """Units as BIGINT, rounded half up to `scale` digits.
 

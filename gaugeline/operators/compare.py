@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions.text import REPORT_NUMBERS, parse_report
-from gaugeline.operators.order import with_position
+from gaugeline.operators.order import run_starts
 
 
 def diff_by_station(expected: DataFrame, actual: DataFrame) -> DataFrame:
@@ -55,20 +55,39 @@ def diff_summary(diff: DataFrame) -> DataFrame:
     return diff.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def diff_by_position(expected: DataFrame, actual: DataFrame, unique: bool = False) -> DataFrame:
+# Positions that one row is expanded to at a time.
+_STEP = 1 << 16
+
+
+def diff_by_position(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """pos, expected, actual where the lines at the same position of the sorted reports differ.
 
-    `unique=True` states that no line occurs twice within a report, which saves a checkpoint.
+    Equal lines of both reports are counted first, and each distinct line becomes a run of positions in
+    either report. Where the two runs of a line overlap the reports agree; only positions outside of the
+    overlap become rows. The cost follows the distinct lines and the differences, not the length of the reports.
     """
 
-    def numbered(report: DataFrame, name: str) -> DataFrame:
+    def side(report: DataFrame, nr: int) -> DataFrame:
         # A report that still has its station column isn't parsed again.
         rows = report if "station" in report.columns else parse_report(report)
-        rows = rows.select("station", "report")
-        placed = with_position(rows, "station", "report", unique=unique)
-        return placed.select("pos", *[(F.col("report") if c == name else F.lit(None).cast("string")).alias(c) for c in ("expected", "actual")])
+        return rows.select("station", "report", F.lit(nr).alias("side"))
+
+    lines = side(expected, 0).unionByName(side(actual, 1)).groupBy("station", "report")
+    counted = lines.agg(F.count_if(F.col("side") == 0).alias("e"), F.count_if(F.col("side") == 1).alias("a"))
+    runs = run_starts(counted, ["station", "report"], ["e", "a"])
+    runs = runs.withColumn("lo", F.greatest("start_e", "start_a")).withColumn("hi", F.expr("least(start_e + e, start_a + a)"))
+
+    def outside(name: str, start: str, n: str) -> DataFrame:
+        """The positions of one report's runs that aren't in the overlap."""
+        first, last = F.col(start), F.col(start) + F.col(n)
+        # Without an overlap the first piece is the whole run.
+        lo, hi = (F.when(F.col("lo") < F.col("hi"), c).otherwise(last) for c in (F.col("lo"), F.col("hi")))
+        pieces = F.array(F.struct(first.alias("at"), lo.alias("to")), F.struct(hi.alias("at"), last.alias("to")))
+        rows = runs.select("report", F.explode(pieces).alias("p")).select("report", "p.*").where("at < `to`")
+        rows = rows.select("report", "to", F.explode(F.expr(f"sequence(at, `to` - 1, {_STEP}L)")).alias("at"))
+        rows = rows.select("report", F.explode(F.expr(f"sequence(at, least(`to`, at + {_STEP}L) - 1)")).alias("at"))
+        return rows.select((F.col("at") + 1).alias("pos"), *[(F.col("report") if c == name else F.lit(None).cast("string")).alias(c) for c in ("expected", "actual")])
 
     # One row per position and side: a union and a grouping pair them without a full join.
-    lines = numbered(expected, "expected").unionByName(numbered(actual, "actual"))
-    paired = lines.groupBy("pos").agg(F.max("expected").alias("expected"), F.max("actual").alias("actual"))
-    return paired.where(~F.col("expected").eqNullSafe(F.col("actual")))
+    rows = outside("expected", "start_e", "e").unionByName(outside("actual", "start_a", "a"))
+    return rows.groupBy("pos").agg(F.max("expected").alias("expected"), F.max("actual").alias("actual"))

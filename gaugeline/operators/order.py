@@ -26,6 +26,23 @@ def sorted_table(df: DataFrame, *order: str) -> DataFrame:
     return placed.select(*df.columns, F.shiftright("_id", _ROW_BITS).alias("_part"), row.alias("_row"))
 
 
+def run_starts(df: DataFrame, order: list[str], counts: list[str]) -> DataFrame:
+    """`df` with start_<c> for each column c of `counts`: its sum over all rows before, in the order of `order`.
+
+    A row stands for a run of c equal ones, so that positions cost as much as there are distinct values. The sums
+    before a partition are one row per sort partition; inside, each partition adds up its own rows.
+    """
+    placed = sorted_table(df, *order)
+    sums = placed.groupBy("_part").agg(*(F.sum(c).alias(f"_sum_{c}") for c in counts))
+    # One row per sort partition: bounded by spark.sql.shuffle.partitions, not by the data.
+    above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select("_part", *(F.coalesce(F.sum(f"_sum_{c}").over(above), F.lit(0)).alias(f"_base_{c}") for c in counts))
+    before = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    within = placed.select("_part", *df.columns, *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_in_{c}") for c in counts))
+    starts = [(F.col(f"_base_{c}") + F.col(f"_in_{c}")).cast("bigint").alias(f"start_{c}") for c in counts]
+    return within.join(F.broadcast(bases), "_part").select(*df.columns, *starts)
+
+
 def with_position(df: DataFrame, *order: str, name: str = "pos", unique: bool = True) -> DataFrame:
     """Add the 1-based position in the order of `order`.
 

@@ -38,11 +38,31 @@ def aggregate_state(rows: DataFrame, keys: Sequence[str] = ("station",)) -> Data
     return parts.selectExpr(*keys, "mn", "mx", f"{_TOTAL} AS s", "n")
 
 
+# The state of numbers of 10^18 units and more, doubles: how many, extremes, and the sum scaled down, so that
+# even a sum of the largest doubles stays finite. n counts them, too; mn, mx and s leave them out.
+_SCALE_DOWN = "18446744073709551616D"
+_WIDE = {"n_big": "sum(n_big)", "low": "min(low)", "high": "max(high)", "small": "sum(small)"}
+
+
 def measurement_state(rows: DataFrame) -> DataFrame:
-    """State of `measurements` rows. Malformed lines and stations that are not UTF-8 are left out."""
+    """State of `measurements` rows, with very large numbers beside the exact ones (n_big, low, high, small).
+
+    Malformed lines and stations that are not UTF-8 are left out.
+    """
+    parts = rows.groupBy("station").agg(
+        F.expr("min(t) AS mn"),
+        F.expr("max(t) AS mx"),
+        *_limb_sums("t"),
+        F.expr("count(t) AS n"),
+        F.expr("count(big) AS n_big"),
+        F.expr("min(big) AS low"),
+        F.expr("max(big) AS high"),
+        F.expr(f"sum(big / {_SCALE_DOWN}) AS small"),
+    )
+    state = parts.selectExpr("station", "mn", "mx", f"{_TOTAL} AS s", "n + n_big AS n", *_WIDE)
     # One expression over n and the key: it cannot be pushed below the aggregation, so the
     # UTF-8 test runs once per station and the lines are parsed once.
-    return aggregate_state(rows).where("if(is_valid_utf8(station), n, 0) > 0")
+    return state.where("if(is_valid_utf8(station), n, 0) > 0")
 
 
 def station_state(lines: DataFrame, scale: int = 1, trim_station: bool = False) -> DataFrame:
@@ -56,17 +76,21 @@ def merge_states(state: DataFrame, keys: Sequence[str] = ("station",)) -> DataFr
         F.max("mx").alias("mx"),
         F.sum("s").cast("decimal(38,0)").alias("s"),
         F.sum("n").alias("n"),
+        *(F.expr(f"{total} AS {name}") for name, total in _WIDE.items() if name in state.columns),
     )
 
 
 def state_text(state: DataFrame, scale: int = 1) -> DataFrame:
     """station, min_s, mean_s, max_s with one decimal."""
     unit = f"{10**scale}D"
+    low, mean, high = f"mn / {unit}", f"cast(s AS DOUBLE) / n / {unit}", f"mx / {unit}"
+    if "n_big" in state.columns:
+        # least and greatest pass over the NULL of a station that has numbers of one kind only.
+        low, high = f"least({low}, low)", f"greatest({high}, high)"
+        all_small = f"(coalesce(cast(s AS DOUBLE), 0D) / {unit} / {_SCALE_DOWN} + small)"
+        mean = f"if(n_big = 0, {mean}, {all_small} / n * {_SCALE_DOWN})"
     return state.selectExpr(
-        "station",
-        f"format_number(mn / {unit}, '0.0') AS min_s",
-        f"format_number(cast(s AS DOUBLE) / n / {unit}, '0.0') AS mean_s",
-        f"format_number(mx / {unit}, '0.0') AS max_s",
+        "station", f"format_number({low}, '0.0') AS min_s", f"format_number({mean}, '0.0') AS mean_s", f"format_number({high}, '0.0') AS max_s"
     )
 
 

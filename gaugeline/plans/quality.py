@@ -69,6 +69,14 @@ def invalid_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routes[0].unionByName(routes[1]).groupBy("route", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def wide_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as lines; the odd suppliers' numbers are 10^17 times the line number, that is 10^18 tenths and more."""
+    wide = F.when(F.col("l_orderkey") % 2 == 0, F.concat("l_linenumber", F.lit("0" * 17))).otherwise(F.concat("l_linenumber", F.lit("E17")))
+    number = F.when(F.col("l_suppkey") % 2 == 1, wide).otherwise(fixed(F.col("l_quantity")))
+    line = F.concat(F.lit("Line "), "l_linenumber", F.lit(" of "), "l_suppkey", F.lit(";"), number)
+    return summarize_lines(table(spark, sf_dir, "lineitem").select(line.alias("value")))
+
+
 def frame_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is no finite number among event values divided by a number that is 0 at times."""
     number = F.when(F.col("event_id") % 11 == 0, F.lit(float("nan"))).when(F.col("event_id") % 13 == 0, F.lit(float("-inf")))
@@ -103,6 +111,7 @@ QUERIES = {
     "malformed_lines": malformed_lines,
     "trimmed_lines": trimmed_lines,
     "invalid_bytes": invalid_bytes,
+    "wide_values": wide_values,
     "frame_reject_counts": frame_reject_counts,
     "station_names": station_names_query,
     "station_constraints": station_constraints,
@@ -131,6 +140,14 @@ _PATHS = """
 """
 
 ORACLES = {
+    "wide_values": """
+      SELECT station, printf('%.1f', min(v)) AS min_s,
+             printf('%.1f', if(max(v) < 1e17, sum(CAST(round(v * 10) AS HUGEINT))::DOUBLE / count(*) / 10.0, max(v))) AS mean_s,
+             printf('%.1f', max(v)) AS max_s
+      FROM (SELECT 'Line ' || l_linenumber || ' of ' || l_suppkey AS station,
+                   if(l_suppkey % 2 = 1, l_linenumber * 1e17, CAST(l_quantity AS DOUBLE)) AS v FROM lineitem)
+      GROUP BY station
+    """,
     "malformed_lines": f"""
       SELECT reason, count(*) AS n
       FROM (SELECT CASE WHEN value = '' THEN 'blank'

@@ -22,7 +22,7 @@ def report_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report_diff_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first ten positions that differ."""
-    return diff_by_position(*_reports(spark, sf_dir), unique=True).orderBy("pos").limit(10)
+    return diff_by_position(*_reports(spark, sf_dir)).orderBy("pos").limit(10)
 
 
 def runtime_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def repeated_report_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
         items = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == status)
         return items.select(text.alias("report"))
 
-    return diff_by_position(lines("F"), lines("O"), unique=False)
+    return diff_by_position(lines("F"), lines("O"))
 
 
 def _event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.functions.numbers import to_units
+from gaugeline.functions.numbers import decimal, is_number, units_of, wide
 from gaugeline.operators.parse import BLANKS
 
 
@@ -16,15 +16,15 @@ def read_lines(spark: SparkSession, path: str | list[str], line_sep: str | None
 
 
 def read_csv_measurements(spark: SparkSession, path: str | list[str], scale: int = 1) -> DataFrame:
-    """`measurements` rows through the CSV parser: both NULL where a row is not a name and a number.
+    """`measurements` rows through the CSV parser: all NULL where a row is not a name and a number.
 
     Quotes are part of the station.
     """
-    return csv_fields(read_lines(spark, path), scale).select("station", "t")
+    return csv_fields(read_lines(spark, path), scale).select("station", "t", "big")
 
 
 def csv_fields(lines: DataFrame, scale: int = 1) -> DataFrame:
-    """value, station, t, reason: each line parsed as separated values; `reason` as `parse_lines` gives it.
+    """value, station, t, big, reason: each line parsed as separated values; `reason` as `parse_lines` gives it.
 
     The lines are read as text first: the CSV reader replaces bytes that are not UTF-8, which would
     make one key of several, and loses blank lines.
@@ -32,11 +32,14 @@ def csv_fields(lines: DataFrame, scale: int = 1) -> DataFrame:
     options = {"sep": ";", "quote": "", "escape": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"}
     fields = F.from_csv("value", "station string, number string, bad string", options)
     rows = lines.select("value", F.is_valid_utf8("value").alias("valid"), fields.alias("f")).select("value", "valid", "f.*")
-    t = F.when(F.col("valid") & F.col("bad").isNull(), to_units("number", scale))
-    rows = rows.select("*", t.alias("t"))
+    # The decimal is a column of its own, as the units name it more than once.
+    two = F.col("valid") & F.col("bad").isNull()
+    rows = rows.select("*", two.alias("two"), F.when(two & is_number("number"), decimal("number", scale)).alias("exact"))
+    rows = rows.select("*", F.expr(units_of("exact", scale)).alias("t"), F.when(F.col("two"), wide("number", "exact")).alias("big"))
+    counts = F.col("t").isNotNull() | F.col("big").isNotNull()
     reason = (
         F.when(~F.col("valid"), "bad_utf8")
-        .when(F.col("t").isNotNull(), None)
+        .when(counts, None)
         .when(F.btrim("value", F.lit(BLANKS)) == "", "blank")
         .when(~F.contains("value", F.lit(";")), "no_separator")
         .when(F.col("bad").isNotNull(), "extra_separator")
@@ -44,7 +47,7 @@ def csv_fields(lines: DataFrame, scale: int = 1) -> DataFrame:
     )
     # An empty key reads as NULL.
     name = F.coalesce("station", F.lit(""))
-    return rows.select("value", F.when(F.col("t").isNotNull(), name).alias("station"), "t", reason.alias("reason"))
+    return rows.select("value", F.when(counts, name).alias("station"), "t", "big", reason.alias("reason"))
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

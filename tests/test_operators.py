@@ -6,10 +6,12 @@ import random
 import subprocess
 import sys
 from collections import Counter
+from itertools import zip_longest
 
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeline.operators import compare
 from gaugeline import (
     aggregate_state,
     city_integers,
@@ -249,6 +251,29 @@ def test_diff_by_position(spark):
     assert diff_by_position(expected, expected).collect() == []
 
 
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_diff_by_position_of_repeated_lines(spark, coalesce, monkeypatch):
+    monkeypatch.setattr(compare, "_STEP", 7)
+    rng = random.Random(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        for sizes in ((0, 9), (40, 40), (300, 280), (2000, 2001)):
+            sides = [[f"s{rng.choice([1, 1, 1, 2, 3, rng.randint(4, 30)]):02d}={rng.randint(1, 2)}/1/1" for _ in range(n)] for n in sizes]
+            e, a = (sorted(s) for s in sides)
+            want = [(i + 1, x, y) for i, (x, y) in enumerate(zip_longest(e, a)) if x != y]
+            got = diff_by_position(*(spark.createDataFrame([(x,) for x in s], "report string") for s in sides))
+            assert sorted(tuple(r) for r in got.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_long_run_costs_its_differences_only(spark):
+    many = spark.range(3_000_000).select(F.lit("m=1/1/1").alias("report"))
+    one = spark.createDataFrame([("a=1/1/1",)], "report string")
+    got = sorted(tuple(r) for r in diff_by_position(many, many.union(one)).collect())
+    assert got == [(1, "m=1/1/1", "a=1/1/1"), (3_000_001, None, "m=1/1/1")]
+
+
 @pytest.mark.parametrize("coalesce", ["true", "false"])
 def test_upper_median(spark, coalesce):
     # Without coalescing the hot key lies in several partitions, and its middle in one of them.
