@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions.text import REPORT_NUMBERS, parse_report
@@ -77,17 +77,15 @@ def diff_by_position(expected: DataFrame, actual: DataFrame) -> DataFrame:
     runs = run_starts(counted, ["station", "report"], ["e", "a"])
     runs = runs.withColumn("lo", F.greatest("start_e", "start_a")).withColumn("hi", F.expr("least(start_e + e, start_a + a)"))
 
-    def outside(name: str, start: str, n: str) -> DataFrame:
-        """The positions of one report's runs that aren't in the overlap."""
-        first, last = F.col(start), F.col(start) + F.col(n)
-        # Without an overlap the first piece is the whole run.
+    def outside(nr: int) -> list[Column]:
+        """Pieces of one report's run that aren't in the overlap; without an overlap the first is the whole run."""
+        first, last = (F.col("start_e"), F.col("start_e") + F.col("e")) if nr == 0 else (F.col("start_a"), F.col("start_a") + F.col("a"))
         lo, hi = (F.when(F.col("lo") < F.col("hi"), c).otherwise(last) for c in (F.col("lo"), F.col("hi")))
-        pieces = F.array(F.struct(first.alias("at"), lo.alias("to")), F.struct(hi.alias("at"), last.alias("to")))
-        rows = runs.select("report", F.explode(pieces).alias("p")).select("report", "p.*").where("at < `to`")
-        rows = rows.select("report", "to", F.explode(F.expr(f"sequence(at, `to` - 1, {_STEP}L)")).alias("at"))
-        rows = rows.select("report", F.explode(F.expr(f"sequence(at, least(`to`, at + {_STEP}L) - 1)")).alias("at"))
-        return rows.select((F.col("at") + 1).alias("pos"), *[(F.col("report") if c == name else F.lit(None).cast("string")).alias(c) for c in ("expected", "actual")])
-
-    # One row per position and side: a union and a grouping pair them without a full join.
-    rows = outside("expected", "start_e", "e").unionByName(outside("actual", "start_a", "a"))
-    return rows.groupBy("pos").agg(F.max("expected").alias("expected"), F.max("actual").alias("actual"))
+        return [F.struct(F.lit(nr).alias("side"), x.alias("at"), y.alias("to")) for x, y in ((first, lo), (hi, last))]
+
+    rows = runs.select("report", F.explode(F.array(*outside(0), *outside(1))).alias("p")).select("report", "p.*").where("at < `to`")
+    rows = rows.select("report", "side", "to", F.explode(F.expr(f"sequence(at, `to` - 1, {_STEP}L)")).alias("at"))
+    rows = rows.select("report", "side", F.explode(F.expr(f"sequence(at, least(`to`, at + {_STEP}L) - 1)")).alias("at"))
+    # One row per position and side: a grouping pairs them without a join.
+    sides = [F.max(F.when(F.col("side") == nr, F.col("report"))).alias(name) for nr, name in enumerate(("expected", "actual"))]
+    return rows.groupBy((F.col("at") + 1).alias("pos")).agg(*sides)
