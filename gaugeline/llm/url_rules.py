@@ -5,7 +5,9 @@ whole url with `*` for any run of characters (it may begin and end anywhere: put
 Of the tokens (runs of a-z and 0-9) that every matching url must hold as a whole, each rule is filed
 under the one that the fewest urls hold, counted over all urls. A url fetches the rules filed under
 its own tokens, and only their regular expressions are run on it. Rules without any such token are
-run on every url.
+run on every url. A short list of rules goes into the plan as a literal, and each url is judged where it stands. A longer
+one, of any length, is a table joined with the urls' tokens, broadcast when its measured size is small; in the shuffle
+join beyond, the rows of a token that many urls hold are salted.
 
 A site rule that fits decides, the longest first; otherwise a pattern does (block goes before
 allow); otherwise the verdict is allow. Null urls and urls without `://` have empty host and path;
@@ -20,10 +22,15 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import CAPITALS, SMALL, fresh_name
+from gaugeline.llm.common import CAPITALS, SMALL, fresh_name, stored
+from gaugeline.session import BROADCAST_BYTES, broadcast_if_small
 
-# Rules are part of the job's settings and go into the plan as one literal.
-MOST_RULES = 50_000
+# So many rules go into the plan as one literal; more are a table. The verdicts are the same.
+LITERAL_RULES = 256
+# A table of rules up to this size is broadcast.
+RULE_BYTES = BROADCAST_BYTES
+# Urls that hold a token, per salt of a shuffle join.
+SALT_ROWS = 1_000_000
 
 # Patterns of hosts and paths that are rarely worth reading.
 PATTERNS = (
@@ -74,12 +81,15 @@ def _quoted(text: str) -> str:
     return re.sub(r"([^A-Za-z0-9])", r"\\\1", text) if text.isascii() else rf"\Q{text}\E"
 
 
+def _rules(sites: list[tuple[str, str]], patterns: list[tuple[str, str]]) -> list[tuple]:
+    """(kind, verdict, rule, regex, certain tokens) of each rule."""
+    rules = [("site", verdict, rule, *_site(rule)) for verdict, rule in sites]
+    return rules + [("pattern", verdict, rule, *_pattern(rule)) for verdict, rule in patterns]
+
+
 def rule_index(urls: DataFrame, sites: list[tuple[str, str]], patterns: list[tuple[str, str]], url: str) -> dict[str, list[dict]]:
     """token -> the rules filed under it; '' holds those without a certain token."""
-    rules = [("site", verdict, rule, *_site(rule)) for verdict, rule in sites]
-    rules += [("pattern", verdict, rule, *_pattern(rule)) for verdict, rule in patterns]
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"{len(rules)} rules; a plan takes {MOST_RULES}")
+    rules = _rules(sites, patterns)
     wanted = sorted({t for *_, tokens in rules for t in tokens})
     counts: dict[str, int] = {}
     if wanted:
@@ -96,19 +106,77 @@ def rule_index(urls: DataFrame, sites: list[tuple[str, str]], patterns: list[tup
 _RULE = "array<struct<kind:string,verdict:string,rule:string,regex:string>>"
 
 
+def rule_table(tokens: DataFrame, rules: list[tuple]) -> DataFrame:
+    """token, salts, kind, verdict, rule, regex: each rule under the token that the fewest rows of `tokens` (row, token) hold.
+
+    salts: over how many groups the rows of that token are dealt in a shuffle join.
+    """
+    spark = tokens.sparkSession
+    given = [(i, kind, verdict, rule, regex, sorted(set(own))) for i, (kind, verdict, rule, regex, own) in enumerate(rules)]
+    table = stored(spark.createDataFrame(given, "id long, kind string, verdict string, rule string, regex string, own array<string>"), "url-rules")
+    wanted = broadcast_if_small(table.select(F.explode("own").alias("token")).distinct(), "token")
+    counts = tokens.join(wanted, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    # A rule without a certain token stands under '', which every url holds.
+    own = table.withColumn("token", F.explode(F.when(F.size("own") > 0, F.col("own")).otherwise(F.array(F.lit("")))))
+    every = F.lit(tokens.where("token = ''").count())
+    own = own.join(counts, "token", "left").withColumn("n", F.when(F.col("token") == "", every).otherwise(F.coalesce("n", F.lit(0))))
+    rarest = own.groupBy("id").agg(F.min(F.struct("n", "token")).alias("at")).select("id", "at.*")
+    filed = table.drop("own").join(rarest, "id").select("token", (1 + F.col("n") / SALT_ROWS).cast("int").alias("salts"), "kind", "verdict", "rule", "regex")
+    return stored(filed, "url-rules-filed")
+
+
+def _judged_by_join(rows: DataFrame, rules: list[tuple], held: str, names: tuple[str, str, str]) -> DataFrame:
+    """`rows` (written, with row numbers) with the deciding site rule and pattern of each, as structs."""
+    row, site_hit, pattern_hit = names
+    seen = F.coalesce(F.col(held), F.lit(""))
+    spread = F.explode(F.concat(F.array(F.lit("")), F.coalesce(_tokens(F.col(held)), F.array()))).alias("token")
+    tokens = rows.select(F.col(row).alias("row"), spread)
+    filed = rule_table(tokens, rules)
+    size = filed.agg(F.sum(F.octet_length("regex") * 2 + F.octet_length("token") + 96).alias("b")).first()["b"] or 0
+    texts = rows.select(F.col(row).alias("row"), F.concat("host", F.lit("?"), "path").alias("site"), seen.alias("seen"))
+    if size <= RULE_BYTES:
+        found = texts.withColumn("token", F.explode(F.concat(F.array(F.lit("")), _tokens(F.col("seen"))))).join(F.broadcast(filed), "token")
+    else:
+        # The salted tokens are those that over SALT_ROWS rows hold, hence few beside the rows.
+        salted = filed.where("salts > 1").select("token", "salts").distinct()
+        dealt = tokens.join(salted, "token", "left").withColumn("salt", F.pmod(F.xxhash64("row"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+        filed = filed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        found = dealt.join(filed, ["token", "salt"]).join(texts, "row")
+    hits = found.where(F.rlike(F.when(F.col("kind") == "site", F.col("site")).otherwise(F.col("seen")), F.col("regex")))
+    best = hits.groupBy("row").agg(
+        F.max(F.when(F.col("kind") == "site", F.struct(F.length("rule").alias("n"), "rule", "verdict"))).alias(site_hit),
+        F.max(F.when(F.col("kind") == "pattern", F.struct("verdict", "rule"))).alias(pattern_hit),
+    )
+    return rows.join(best.withColumnRenamed("row", row), row, "left")
+
+
 def judge(urls: DataFrame, sites: list[tuple[str, str]], patterns: list[tuple[str, str]] = PATTERNS, url: str = "url") -> DataFrame:
     """`urls` with host, path, rule, verdict and pattern. Columns of these names in `urls` are replaced.
 
-    sites and patterns: (allow or block, rule). Each row is judged where it stands: no shuffle, so
-    neither a common host nor a common token gathers rows.
+    sites and patterns: (allow or block, rule).
     """
-    index = rule_index(urls, sites, patterns, url)
     made = ("host", "path", "rule", "verdict", "pattern")
     held = fresh_name(urls, "_url")
     rows = urls.withColumn(held, F.col(url).cast("string")).drop(*made)
-    site, seen, hits = (fresh_name(rows, n) for n in ("_site", "_seen", "_hits"))
+    site_hit, pattern_hit, row = (fresh_name(rows, n) for n in ("_site_hit", "_pattern_hit", "_row"))
     host, path = url_parts(F.col(held))
     rows = rows.withColumn("host", host).withColumn("path", path)
+    if len(sites) + len(patterns) <= LITERAL_RULES:
+        rows, extra = _judged_in_place(rows, rule_index(urls, sites, patterns, url), held, (site_hit, pattern_hit)), []
+    else:
+        rows = stored(rows.withColumn(row, F.monotonically_increasing_id()), "urls")
+        rows, extra = _judged_by_join(rows, _rules(sites, patterns), held, (row, site_hit, pattern_hit)), [row]
+    return (
+        rows.withColumn("rule", F.col(site_hit)["rule"])
+        .withColumn("pattern", F.when(F.col("rule").isNull(), F.col(pattern_hit)["rule"]))
+        .withColumn("verdict", F.coalesce(F.col(site_hit)["verdict"], F.col(pattern_hit)["verdict"], F.lit("allow")))
+        .drop(held, site_hit, pattern_hit, *extra)
+    )
+
+
+def _judged_in_place(rows: DataFrame, index: dict[str, list[dict]], held: str, names: tuple[str, str]) -> DataFrame:
+    """The same by a literal: no shuffle, so neither a common host nor a common token gathers rows."""
+    site, seen, hits = (fresh_name(rows, n) for n in ("_site", "_seen", "_hits"))
     filed = F.from_json(F.lit(json.dumps(index)), f"map<string,{_RULE}>")
     fetched = F.flatten(
         F.filter(
@@ -124,9 +192,4 @@ def judge(urls: DataFrame, sites: list[tuple[str, str]], patterns: list[tuple[st
     patterns_hit = F.filter(hits, lambda r: r["kind"] == "pattern")
     longest = F.array_max(F.transform(sites_hit, lambda r: F.struct(F.length(r["rule"]).alias("n"), r["rule"].alias("rule"), r["verdict"].alias("verdict"))))
     first = F.array_max(F.transform(patterns_hit, lambda r: F.struct(r["verdict"].alias("verdict"), r["rule"].alias("rule"))))
-    return (
-        rows.withColumn("rule", longest["rule"])
-        .withColumn("pattern", F.when(F.col("rule").isNull(), first["rule"]))
-        .withColumn("verdict", F.coalesce(longest["verdict"], first["verdict"], F.lit("allow")))
-        .drop(held if held != url else "", site, seen, hits)
-    )
+    return rows.withColumn(names[0], longest).withColumn(names[1], first).drop(site, seen, hits)

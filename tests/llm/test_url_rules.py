@@ -3,6 +3,7 @@
 import random
 
 import pandas as pd
+import pytest
 
 from gaugeline.llm import queries, url_rules
 
@@ -55,7 +56,13 @@ def test_query_on_a_table(spark):
         assert (r.host, r.path, r.rule, r.verdict) == plain(p.url, queries.SITES, url_rules.PATTERNS)
 
 
-def test_odd_urls_and_columns(spark):
+@pytest.mark.parametrize("way", ["literal", "broadcast", "shuffle"])
+def test_odd_urls_and_columns(spark, monkeypatch, way):
+    if way != "literal":
+        monkeypatch.setattr(url_rules, "LITERAL_RULES", -1)
+    if way == "shuffle":
+        monkeypatch.setattr(url_rules, "RULE_BYTES", -1)
+        monkeypatch.setattr(url_rules, "SALT_ROWS", 50)
     rng = random.Random(5)
     pieces = ["http://", "://", "/", "?", "#", ".", "org", "com", "example", "en", "es", "fr", "de", "1", "ORG", "spam-farm", "x"]
     urls = URLS + ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 9))) for _ in range(800)]
@@ -74,3 +81,17 @@ def test_rules_are_filed_under_their_rarest_certain_token(spark):
     df = spark.createDataFrame([("http://a.example.org/en/",)] * 3 + [("http://b.org/en/",)] * 2 + [("http://spam-farm.b.org/",)], "url string")
     index = url_rules.rule_index(df, [("block", "example.org/en/1"), ("allow", "org/")], [("block", "*spam-farm.*"), ("block", "*x*")], "url")
     assert {k: [r["rule"] for r in v] for k, v in index.items()} == {"example": ["example.org/en/1"], "org": ["org/"], "farm": ["*spam-farm.*"], "": ["*x*"]}
+
+
+def test_a_hundred_thousand_rules(spark):
+    """Far more rules than a plan holds, the common token `example` on most urls."""
+    rng = random.Random(3)
+    sites = [("block" if i % 2 else "allow", f"h{i}.example.net/{'a' * (i % 3)}") for i in range(100_000)] + [("allow", "example.net/")]
+    urls = [f"http://x.h{rng.randrange(130_000)}.example.net/{'a' * rng.randint(0, 3)}" for _ in range(2000)] + ["http://other.org/"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    by_host = {r.partition("/")[0]: (v, r) for v, r in sites}
+    for r in url_rules.judge(df, sites, []).collect():
+        host, path = parts(urls[r.page_id])
+        fits = [by_host[h] for h in (host.partition(".")[2], "example.net") if h in by_host and host.endswith(h) and path.startswith("/" + by_host[h][1].partition("/")[2])]
+        verdict, rule = max(fits, key=lambda f: len(f[1])) if fits else ("allow", None)
+        assert (r.rule, r.verdict) == (rule, verdict)
