@@ -1,9 +1,11 @@
 """Secret scans over an incremental ledger of blobs.
 
 Every version of every text is addressed by the SHA-256 of its content. The ledger, a Parquet table,
-holds for each blob which rule versions have been run on it and the spans they found. A scan reads
-the ledger, runs only rule versions that a blob has not seen, once per distinct blob however many
-paths share it, appends to the ledger and joins the findings back to all paths.
+holds for each blob which rule versions have been run on it and the spans they found; beside it stand the
+blobs' texts, each once, and all paths and versions that ever held a blob. A scan reads the ledger, runs only
+rule versions that a blob has not seen, once per distinct blob however many paths share it, appends to the
+ledger and joins the findings back to all paths. `rescan` runs new rules over every blob ever seen,
+and `history` reports every path, both without the texts being passed again.
 
 A rule is (kind, version, regular expression, group, least): of the leftmost non-overlapping matches,
 those whose group has at least `least` characters are findings. Spans count code points, the end is
@@ -12,12 +14,13 @@ exclusive. Everything is SQL expressions. Null texts count as empty; an empty ta
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import whole_text
+from gaugeline.llm.common import stored, whole_text
 
 
 class Rule(NamedTuple):
@@ -83,33 +86,78 @@ def _exists(spark, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """`versions` without `text`, with blob and found: array of (start, nr, kind, end), by start, then rule order.
-
-    `ledger` is a folder that all executors reach; it is made at the first scan and grows by one
-    append per scan. Columns blob and found in `versions` are replaced.
-    """
-    spark = versions.sparkSession
+def _unseen(blobs: DataFrame, ledger: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """blob, unseen (rules that the blob has not been scanned with), fresh (not in the ledger) of those with any."""
     wanted = F.array(*[F.lit(r.id) for r in rules])
-    paths = versions.drop("blob", "found").withColumn("blob", F.sha2(whole_text(text).cast("binary"), 256))
-    blobs = paths.select("blob", whole_text(text).alias("text")).dropDuplicates(["blob"])
-    if _exists(spark, ledger):
-        seen = spark.read.schema(_LEDGER).parquet(ledger).groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("seen"))
-        blobs = blobs.join(seen, "blob", "left").withColumn("unseen", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))))
-        blobs = blobs.where(F.size("unseen") > 0)
-    else:
-        blobs = blobs.withColumn("unseen", wanted)
-    scan_blobs(blobs, rules).select(
-        "blob", "rules", F.col("spans").cast("array<struct<rule:string,start:bigint,end:bigint>>")
-    ).write.mode("append").option("compression", "zstd").parquet(ledger)
+    if not _exists(blobs.sparkSession, ledger):
+        return blobs.select("blob", wanted.alias("unseen"), F.lit(True).alias("fresh"))
+    seen = blobs.sparkSession.read.schema(_LEDGER).parquet(ledger).groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("seen"))
+    rows = blobs.join(seen, "blob", "left").withColumn("unseen", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))))
+    return rows.where(F.size("unseen") > 0).select("blob", "unseen", F.col("seen").isNull().alias("fresh"))
+
+
+def _append(scanned: DataFrame, ledger: str) -> None:
+    rows = scanned.select("blob", "rules", F.col("spans").cast("array<struct<rule:string,start:bigint,end:bigint>>"))
+    rows.write.mode("append").option("compression", "zstd").parquet(ledger)
+
+
+def _scan_old(spark: SparkSession, unseen: DataFrame, ledger: str, rules: tuple[Rule, ...]) -> None:
+    """Run rules over blobs whose texts an earlier scan has kept."""
+    texts = spark.read.schema("blob string, text string").option("recursiveFileLookup", "true").parquet(f"{ledger}-blobs")
+    _append(scan_blobs(texts.join(unseen.select("blob", "unseen"), "blob").dropDuplicates(["blob"]), rules), ledger)
+
+
+def _with_findings(paths: DataFrame, ledger: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """`paths` (blob, ...) with found."""
     number = {r.id: i for i, r in enumerate(rules)}
     nr = F.coalesce(*[F.when(F.col("s.rule") == k, v) for k, v in number.items()])
     kind = F.element_at(F.array(*[F.lit(r.kind) for r in rules]), F.col("nr") + 1)
-    spans = spark.read.schema(_LEDGER).parquet(ledger).where(F.size("spans") > 0).select("blob", F.explode("spans").alias("s"))
+    spans = paths.sparkSession.read.schema(_LEDGER).parquet(ledger).where(F.size("spans") > 0).select("blob", F.explode("spans").alias("s"))
     spans = spans.withColumn("nr", nr).where(F.col("nr").isNotNull()).select("blob", F.struct(F.col("s.start"), "nr", kind.alias("kind"), F.col("s.end")).alias("s"))
     found = spans.groupBy("blob").agg(F.sort_array(F.collect_set("s")).alias("found"))
-    out = paths.drop(text).join(found, "blob", "left")
-    return out.withColumn("found", F.coalesce("found", F.array().cast(_SPAN)))
+    return paths.join(found, "blob", "left").select(*[c for c in paths.columns if c != "blob"], "blob", F.coalesce("found", F.array().cast(_SPAN)).alias("found"))
+
+
+def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """`versions` without `text`, with blob and found: array of (start, nr, kind, end), by start, then rule order.
+
+    `ledger` is a folder that all executors reach; it is made at the first scan and grows by one append per
+    scan, as do `<ledger>-blobs` and `<ledger>-paths` beside it. A scan that ends half way is made good
+    by the next: what the ledger lacks counts as unseen. Columns blob and found in `versions` are replaced.
+    """
+    spark = versions.sparkSession
+    data = versions.drop("blob", "found").withColumn("blob", F.sha2(whole_text(text).cast("binary"), 256))
+    paths = data.drop(text)
+    unseen = stored(_unseen(paths.select("blob").distinct(), ledger, rules), "unseen-blobs")
+    fresh = unseen.where("fresh").select("blob")
+    if not fresh.isEmpty() or not _exists(spark, ledger):
+        # The texts are kept first and scanned from there.
+        batch = f"{ledger}-blobs/batch-{uuid.uuid4().hex}"
+        texts = data.select("blob", whole_text(text).alias("text")).join(fresh, "blob").dropDuplicates(["blob"])
+        texts.write.option("compression", "zstd").parquet(batch)
+        texts = spark.read.schema("blob string, text string").parquet(batch)
+        _append(scan_blobs(texts.withColumn("unseen", F.array(*[F.lit(r.id) for r in rules])), rules), ledger)
+    old = unseen.where("NOT fresh")
+    if not old.isEmpty():
+        _scan_old(spark, old, ledger, rules)
+    held = paths.distinct()
+    if _exists(spark, f"{ledger}-paths"):
+        held = held.subtract(spark.read.schema(paths.schema).parquet(f"{ledger}-paths"))
+    held.write.mode("append").option("compression", "zstd").parquet(f"{ledger}-paths")
+    return _with_findings(paths, ledger, rules)
+
+
+def history(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Every distinct path and version that any scan was given, with blob and what `rules` have found in it."""
+    return _with_findings(spark.read.parquet(f"{ledger}-paths"), ledger, rules)
+
+
+def rescan(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """`history` after `rules` have been run on every blob ever seen that they are new to."""
+    unseen = stored(_unseen(spark.read.schema(_LEDGER).parquet(ledger).select("blob").distinct(), ledger, rules), "unseen-blobs")
+    if not unseen.isEmpty():
+        _scan_old(spark, unseen, ledger, rules)
+    return history(spark, ledger, rules)
 
 
 def spans_text(found: Column) -> Column:

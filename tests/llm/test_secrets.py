@@ -84,6 +84,24 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     assert spark.read.parquet(path).count() == 6
 
 
+def test_new_rules_reach_every_path_ever_seen(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "ledger")
+    rows = [("a", 1, f"x {HEX}"), ("b", 1, "token=abcdefghijklmnop"), (None, 1, None)]
+    for row in rows:  # a scan each, and one of all again
+        secrets.scan(spark.createDataFrame([row], "path string, version int, text string"), path, secrets.BASE[2:])
+    ledger = spark.read.parquet(path).count()
+    scanned = []
+    monkeypatch.setattr(secrets, "scan_blobs", lambda blobs, rules, f=secrets.scan_blobs: (scanned.append(blobs.count()), f(blobs, rules))[1])
+    secrets.scan(spark.createDataFrame(rows + rows, "path string, version int, text string"), path, secrets.BASE[2:])
+    assert scanned == [] and spark.read.parquet(path).count() == ledger == 3
+    assert [len(r.found) for r in secrets.history(spark, path, secrets.BASE[2:]).orderBy("path").collect()] == [0, 1, 0]
+    # The new rule runs on the three blobs without their texts being passed.
+    got = {(r.path, r.version): [x.kind for x in r.found] for r in secrets.rescan(spark, path, secrets.BASE).collect()}
+    assert got == {("a", 1): ["hex"], ("b", 1): ["assign"], (None, 1): []} and scanned == [3]
+    secrets.rescan(spark, path, secrets.BASE)
+    assert scanned == [3]
+
+
 def test_no_python_in_the_plan(spark):
     plan = queries.op3_secrets(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
