@@ -3,8 +3,9 @@ r"""Personal data replaced by surrogates.
 Detected: e-mail and IPv4 addresses, telephone numbers (with `+` or an area code in brackets), payment
 card numbers, numbers of the form 123-45-6789, and names after a title (Mr., Mrs., Frau, ...).
 Each distinct entity of the corpus gets one surrogate, drawn from a keyed digest: the same entity has the
-same surrogate everywhere (coreference; `Mr. Smith` and `Mr. John Smith` share the family name), the
-type and format stay (lengths, separators, letter case, digits, a valid check digit), names keep their
+same surrogate everywhere (coreference; `Mr. Smith` and `Mr. John Smith` share the family name). An entity is its
+canonical form: the digits of a telephone number (a bracketed area code without country stands for +1) or card,
+the lower-case address. It is drawn once and printed in the form of each mention; the type and format stay (lengths, separators, letter case, digits, a valid check digit), names keep their
 gender and script. Collision checks over the whole corpus keep different entities different: a draw
 that equals any detected entity, a surrogate in use, or a draw of another entity is made again. Where
 draws of the entity's own form run out, later ones widen it, so that every entity gets a surrogate: longer
@@ -37,6 +38,8 @@ NAME_ENDS = {("latin", "m"): ("o", "er", "us", "ald"), ("latin", "f"): ("a", "ia
              ("cyrillic", "m"): ("ий", "ан", "ор", "ислав"), ("cyrillic", "f"): ("а", "ия", "ина", "ислава"),
              ("cyrillic", "sm"): ("ов", "ин", "ев", "ский"), ("cyrillic", "sf"): ("ова", "ина", "ева", "ская")}
 
+# Entities that one task draws for at a time.
+DRAWS_A_TASK = 5_000
 # Draws in the entity's own form; as many follow in the whole format, then each adds a character.
 OWN_DRAWS = 8
 
@@ -103,6 +106,34 @@ def _luhn_ok(digits: Column) -> Column:
     return F.aggregate(weighed, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10 == 0
 
 
+def _canonical(kind: Column, mention: Column) -> Column:
+    """The entity that a mention stands for."""
+    digits = F.translate(mention, "+ .-()", "")
+    phone = F.when(F.startswith(mention, F.lit("+")), digits).otherwise(F.concat(F.lit("1"), digits))
+    return F.when(kind == "phone", phone).when(kind == "card", digits).when(kind == "email", F.lower(mention)).otherwise(mention)
+
+
+def _printed(kind: Column, mention: Column, value: Column, surrogate: Column) -> Column:
+    """The surrogate of an entity (value) in the form of a mention: its separators, its capitals."""
+    # The last digits are the mention's, if it leaves out the country.
+    left_out = F.length(value) - F.length(F.regexp_replace(mention, "[^0-9]", ""))
+
+    def digit(i: Column) -> Column:
+        return F.substring(surrogate, left_out + F.length(F.regexp_replace(F.substring(mention, F.lit(1), i + 1), "[^0-9]", "")), F.lit(1))
+
+    numbers = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike("[0-9]"), digit(i)).otherwise(c)), "")
+    # Later draws may have added digits.
+    numbers = F.concat(numbers, F.substring(surrogate, F.length(value) + 1, F.length(surrogate)))
+    local = F.split(F.substring_index(mention, "@", 1), "")
+    pairs = F.arrays_zip(F.split(surrogate, "").alias("made"), local.alias("said"))
+    address = F.array_join(F.transform(pairs, lambda x: F.when(x["said"].rlike(r"\p{Lu}"), F.upper(x["made"])).otherwise(x["made"])), "")
+    return (
+        F.when(kind.isin("phone", "card"), numbers)
+        .when((kind == "email") & mention.rlike(r"\p{Lu}"), address)
+        .otherwise(surrogate)
+    )
+
+
 def _surrogate(kind: Column, value: Column, draw: int, key: str) -> Column:
     """Draw `draw` for an entity: a fixed function of key, kind, value and draw."""
     seed = F.sha2(F.concat_ws("\x01", F.lit(key), kind, value, F.lit(str(draw))), 256)
@@ -140,22 +171,22 @@ def _drawn(kind: Column, value: Column, draw: int, key: str, seed: Column) -> Co
     # Addresses under a reserved ending; the same domain gives the same domain.
     domain = F.sha2(F.concat_ws("\x01", F.lit(key), F.lower(F.substring_index(value, "@", -1))), 256)
     email = F.concat(redrawn(F.substring_index(value, "@", 1)), letters, F.lit("@mail"), F.substring(domain, 1, 10), F.lit(".example"))
-    country = F.regexp_extract(value, r"^(\+[0-9]{1,3})(?=[ .(-])", 1)
-    national = F.substring(value, F.length(country) + 1, F.length(value))
-    # In the North American form the exchange 555 is kept for fiction.
-    drawn = redrawn(national)
-    phone = F.concat(country, drawn if wide else F.regexp_replace(drawn, r"^( ?\([0-9]{3}\) ?)[0-9]{3}", "$1555"), digits)
+    # A number of one-digit countries: the exchange 555 is kept for fiction. Of others two digits stay.
+    drawn, one_digit = redrawn(value), (F.length(value) == 11) & value.rlike("^[17]")
+    fiction = F.concat(F.substring(value, 1, 1), F.substring(drawn, 2, 3), F.lit("555"), F.substring(drawn, 8, 4))
+    kept = F.when(one_digit, 1).otherwise(2)
+    free = F.concat(F.substring(value, F.lit(1), kept), F.substring(drawn, kept + 1, F.length(value)))
+    phone = F.concat(free if wide else F.when(one_digit, fiction).otherwise(free), digits)
     groups = [number(15 + 2 * k, 256) for k in range(longer)]
     ip = F.concat_ws(".", (number(25, 15) + 240).cast("string") if wide else F.lit("10"), number(0, 256), number(5, 256), number(10, 256), *groups)
     ssn = F.concat(redrawn(value) if wide else F.concat(F.lit("9"), F.substring(redrawn(value), 2, 10)), digits)
-    bare = F.translate(value, " -", "")
     # The last digit is the one that makes the sum right, if it is right in the original.
     open_card = F.concat(F.substring(value, 1, 1), F.expr("''"), F.substring(redrawn(value), F.lit(2), F.length(value) - 2), digits)
     checked = F.filter(
         F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(open_card, d.cast("string"))),
-        lambda c: _luhn_ok(F.translate(c, " -", "")),
+        _luhn_ok,
     )
-    card = F.when(_luhn_ok(bare), F.get(checked, F.lit(0))).otherwise(F.concat(F.substring(value, 1, 1), F.substring(redrawn(value), F.lit(2), F.length(value)), digits))
+    card = F.when(_luhn_ok(value), F.get(checked, F.lit(0))).otherwise(F.concat(F.substring(value, 1, 1), F.substring(redrawn(value), F.lit(2), F.length(value)), digits))
     name = F.lit(None).cast("string")
     for (script, sex), ends in NAME_ENDS.items():
         # Later draws add parts, so that names never run out.
@@ -170,6 +201,8 @@ def _drawn(kind: Column, value: Column, draw: int, key: str, seed: Column) -> Co
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """kind, value, surrogate from distinct entities (kind, value): one surrogate each, all different, none an entity."""
     entities = stored(entities, "pii-entities")
+    # A small file is one task, but a draw is long: dealt out by number.
+    entities = stored(entities.repartition(1 + entities.count() // DRAWS_A_TASK), "pii-entities")
     originals = entities.select(F.col("value").alias("surrogate")).distinct()
     pending, done = entities, None
     for draw in count():
@@ -197,11 +230,13 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         F.split(F.col(text), ENTITY, -1).alias("pieces"),
         F.regexp_extract_all(F.col(text), F.lit(ENTITY), F.lit(0)).alias("entities"),
     )
-    kinds = F.transform(F.col("entities"), lambda v, i: F.struct(_kind(F.col("pieces"), F.col("entities"), i).alias("kind"), v.alias("value")))
-    found = stored(cut.select("row", F.posexplode(kinds).alias("nr", "e")).select("row", "nr", "e.kind", "e.value"), "pii-found")
+    kinds = F.transform(F.col("entities"), lambda v, i: F.struct(_kind(F.col("pieces"), F.col("entities"), i).alias("kind"), v.alias("mention")))
+    found = cut.select("row", F.posexplode(kinds).alias("nr", "e")).select("row", "nr", "e.*")
+    found = stored(found.withColumn("value", _canonical(F.col("kind"), F.col("mention"))), "pii-found")
     # An entity that stands in a third of all texts makes a large group on the left side only, which the
     # adaptive join splits.
     drawn = found.join(surrogates(found.select("kind", "value").distinct(), key), ["kind", "value"])
+    drawn = drawn.withColumn("surrogate", _printed(F.col("kind"), F.col("mention"), F.col("value"), F.col("surrogate")))
     lists = drawn.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("nr", "surrogate"))).alias(parts)).withColumnRenamed("row", row)
     woven = F.array_join(
         F.transform(

@@ -147,7 +147,7 @@ def test_a_filled_space_is_widened(spark):
 
 def test_later_draws_have_more_places(spark):
     """Each kind's space grows from the last draw of its own form on, and goes on growing."""
-    values = {"email": "a@b.de", "phone": "(212) 555-0101", "ip": "1.2.3.4", "ssn": "123-45-6789", "card": "4111111111111111"}
+    values = {"email": "a@b.de", "phone": "12125550101", "ip": "1.2.3.4", "ssn": "123-45-6789", "card": "4111111111111111"}
     df = spark.createDataFrame(list(values.items()), "kind string, value string")
     draws = (0, pii.OWN_DRAWS, 2 * pii.OWN_DRAWS, 2 * pii.OWN_DRAWS + 20)
     rows = df.select("kind", *(pii._surrogate(F.col("kind"), F.col("value"), d, "k").alias(str(d)) for d in draws)).collect()
@@ -174,3 +174,25 @@ def test_domains(spark):
     for text, ends in zip(out, (r"\.", r"\.\.x", "!", "/x", "-", "")):
         assert re.fullmatch(made + ends, text)
     assert re.fullmatch(r"r@10\.\d+\.\d+\.\d+", out[6]) and out[7:] == texts[7:]
+
+
+def test_one_entity_in_several_forms(spark):
+    texts = ["call +1 (212) 555-0101 or +1-212-555-0101", "or (212) 555-0101 or +12125550101", "Bob.Lee@X.com, bob.lee@x.com and BOB.LEE@X.COM", "4111 1111 1111 1111, 4111-1111-1111-1111 or 4111111111111111",
+             "+44 20 7946 0958 is +442079460958"]
+    a, b, c, d, e = replaced(spark, texts)
+    one, two = re.fullmatch(r"call (\+1 \(\d{3}\) 555-\d{4}) or (\+1-\d{3}-555-\d{4})", a).groups()
+    three, four = re.fullmatch(r"or (\(\d{3}\) 555-\d{4}) or (\+1\d{10})", b).groups()
+    digits = [re.sub(r"\D", "", x) for x in (one, two, three, four)]
+    assert len(set(x[-10:] for x in digits)) == 1 and digits[0] == digits[1] == digits[3] != "12125550101"
+    first, second, third = re.fullmatch(r"(\S+), (\S+) and (\S+)", c).groups()
+    assert first.lower() == second == third.lower() and re.fullmatch(r"[A-Z][a-z]{2}\.[A-Z][a-z]{2}@mail[0-9a-f]{10}\.example", first)
+    assert re.fullmatch(r"[A-Z]{3}\.[A-Z]{3}@mail[0-9a-f]{10}\.example", third)
+    cards = re.fullmatch(r"(\d{4} \d{4} \d{4} \d{4}), (\d{4}-\d{4}-\d{4}-\d{4}) or (\d{16})", d).groups()
+    assert len({re.sub(r"\D", "", x) for x in cards}) == 1 and luhn(cards[2]) and cards[2] != "4111111111111111"
+    assert re.fullmatch(r"\+44 \d\d \d{4} \d{4} is \+44\d{10}", e) and len({re.sub(r"\D", "", x) for x in e.split(" is ")}) == 1
+
+
+def test_many_entities_are_drawn_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(pii, "DRAWS_A_TASK", 10)
+    out = replaced(spark, [f"at 9.8.7.{i} now" for i in range(100)])
+    assert len(set(out)) == 100 and all(re.fullmatch(r"at 10\.\d+\.\d+\.\d+ now", x) for x in out)
