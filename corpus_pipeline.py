@@ -34,8 +34,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced; n_chars follows the text."""
-    out = pii.replace(docs, PII_KEY)
+    """Personal data replaced; n_chars follows the text. The setting `spark.gaugeline.pii.key` holds the secret key."""
+    out = pii.replace(docs, spark.conf.get("spark.gaugeline.pii.key", PII_KEY))
     return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else out
 
 
