@@ -48,6 +48,8 @@ BLOCK_ROWS = 512
 TEXT_ROWS = 128
 # Shingles of a comparison that are held at a time.
 _HELD_SHINGLES = 1 << 21
+# Nodes whose tables are worth a task and a file: a small corpus isn't spread over as many as the session has partitions.
+NODES_A_TASK = 2000
 # Shingles times permutations that are held at a time.
 _CELLS = 1 << 18
 
@@ -289,10 +291,10 @@ def _by_block_pair(batches: Iterator[pa.RecordBatch], row_of) -> Iterator[tuple[
         yield at, sides[0], None if at[1] == at[2] else sides[1]
 
 
-def links_within(rest: DataFrame, nodes: DataFrame, texts: DataFrame, least: int = LEAST) -> DataFrame:
+def links_within(rest: DataFrame, nodes: DataFrame, texts: DataFrame, tasks: int, least: int = LEAST) -> DataFrame:
     """Links (a, b) between nodes of different components in the same bucket.
 
-    rest (key, node, component), nodes (node, n, sketch), texts (node, data).
+    rest (key, node, component), nodes (node, n, sketch), texts (node, data); at most `tasks` tasks sift sketches.
     """
     sizes = rest.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"))
     rows = rest.join(nodes.select("node", "n", "sketch"), "node").join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
@@ -314,7 +316,7 @@ def links_within(rest: DataFrame, nodes: DataFrame, texts: DataFrame, least: int
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     grouped = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    active = stored(grouped.mapInArrow(sifted, "key long, lo long, hi long, second boolean, node long, component long"), "minhash-active")
+    active = stored(grouped.mapInArrow(sifted, "key long, lo long, hi long, second boolean, node long, component long").coalesce(tasks), "minhash-active")
     grouped = active.join(texts, "node").select(*_PAIR, "node", "component", "data")
     return grouped.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(compared, "a long, b long")
 
@@ -337,30 +339,31 @@ def _sets(found: DataFrame, least: int, ids: DataFrame | None = None) -> DataFra
     )
     # Numbered as written: the numbers stay when a task is run again.
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "minhash-nodes")
+    tasks = 1 + nodes.count() // NODES_A_TASK
     keys = nodes.select("node", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
-    members = stored(keys.join(buckets, "key"), "minhash-members")
+    members = stored(keys.join(buckets, "key").coalesce(tasks), "minhash-members")
     # Every node against the first node it shares a bucket with.
     first = members.groupBy("node").agg(F.min("lo").alias("a"))
     wanted = nodes.select("node", "row").join(first.select("node"), "node", "left_semi")
-    texts = stored(found.select("row", "data").join(wanted, "row").select("node", "data"), "minhash-texts")
+    texts = stored(found.select("row", "data").join(wanted, "row").select("node", "data").coalesce(tasks), "minhash-texts")
     links = confirmed(first.where("a <> node").select("a", F.col("node").alias("b")), texts, least)
     if ids is not None:
         held = ids.join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).select("doc_id", "node")
         smallest = held.groupBy("doc_id").agg(F.min("node").alias("a"))
         links = links.union(held.join(smallest, "doc_id").where("a <> node").select("a", F.col("node").alias("b")).distinct())
-    links = stored(links, "minhash-links")
+    links = stored(links.coalesce(tasks), "minhash-links")
     labels = components(links)
     # Against the first and the last node of each bucket, where the components differ.
-    rest = stored(_between(members, labels), "minhash-rest")
+    rest = stored(_between(members, labels).coalesce(tasks), "minhash-rest")
     ends = rest.select("node", "component", F.explode(F.array("lo", "hi")).alias("a")).where("a <> node").distinct()
     ends = ends.join(labels.select(F.col("node").alias("a"), F.col("component").alias("other")), "a", "left")
     ends = ends.where(F.coalesce("other", "a") != F.col("component")).select("a", F.col("node").alias("b"))
-    links = stored(links.union(confirmed(ends, texts, least)), "minhash-links")
+    links = stored(links.union(confirmed(ends, texts, least)).coalesce(tasks), "minhash-links")
     labels = components(links)
     # Nodes of different components that are left in one bucket.
-    rest = stored(_between(rest.select("key", "node"), labels).select("key", "node", "component"), "minhash-rest")
-    links = stored(links.union(links_within(rest, nodes, texts, least)), "minhash-links")
+    rest = stored(_between(rest.select("key", "node"), labels).select("key", "node", "component").coalesce(tasks), "minhash-rest")
+    links = stored(links.union(links_within(rest, nodes, texts, tasks, least)).coalesce(tasks), "minhash-links")
     labels = components(links)
     return nodes.select("h1", "h2", "first", "node").join(labels, "node", "left").select("h1", "h2", "first", F.coalesce("component", "node").alias("component"))
 
@@ -394,8 +397,8 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = 80) -> DataFrame:
     """The rows of `docs` that stay: of each group of near-duplicate rows the one with the smallest id, all rows without words."""
     rows, found, row = _stored_sketches(docs, doc_id, text, least, docs.columns)
-    sets = _sets(found, least).select("h1", "h2", "component")
-    placed = stored(found.where("set.n > 0").select("row", "doc_id", "set.h1", "set.h2").join(sets, ["h1", "h2"]).select("component", "doc_id", "row"), "minhash-rows")
+    sets, tasks = _sets(found, least).select("h1", "h2", "component"), 1 + rows.count() // NODES_A_TASK
+    placed = stored(found.where("set.n > 0").select("row", "doc_id", "set.h1", "set.h2").join(sets, ["h1", "h2"]).select("component", "doc_id", "row").coalesce(tasks), "minhash-rows")
     kept = placed.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row"))
-    gone = stored(placed.select("row").join(kept, "row", "left_anti"), "minhash-gone")
+    gone = stored(placed.select("row").join(kept, "row", "left_anti").coalesce(tasks), "minhash-gone")
     return rows.join(gone.withColumnRenamed("row", row), row, "left_anti").select(*docs.columns)

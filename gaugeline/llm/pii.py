@@ -202,7 +202,8 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """kind, value, surrogate from distinct entities (kind, value): one surrogate each, all different, none an entity."""
     entities = stored(entities, "pii-entities")
     # A small file is one task, but a draw is long: dealt out by number.
-    entities = stored(entities.repartition(1 + entities.count() // DRAWS_A_TASK), "pii-entities")
+    tasks = 1 + entities.count() // DRAWS_A_TASK
+    entities = stored(entities.repartition(tasks), "pii-entities")
     originals = entities.select(F.col("value").alias("surrogate")).distinct()
     pending, done = entities, None
     for draw in count():
@@ -212,7 +213,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
             good = good.join(done.select("surrogate"), "surrogate", "left_anti")
         # Of several entities with the same draw one keeps it, whichever comes first by a fixed order.
         first = Window.partitionBy("surrogate").orderBy(F.xxhash64("kind", "value"), "kind", "value")
-        good = stored(good.withColumn("_nr", F.row_number().over(first)).where("_nr = 1").select("kind", "value", "surrogate"), "pii-good")
+        good = stored(good.withColumn("_nr", F.row_number().over(first)).where("_nr = 1").select("kind", "value", "surrogate").coalesce(tasks), "pii-good")
         done = good if done is None else done.unionByName(good)
         pending = drawn.join(good.select("kind", "value"), ["kind", "value"], "left_anti").select("kind", "value")
         if pending.isEmpty():
