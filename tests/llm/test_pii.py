@@ -196,3 +196,51 @@ def test_many_entities_are_drawn_by_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(pii, "DRAWS_A_TASK", 10)
     out = replaced(spark, [f"at 9.8.7.{i} now" for i in range(100)])
     assert len(set(out)) == 100 and all(re.fullmatch(r"at 10\.\d+\.\d+\.\d+ now", x) for x in out)
+
+
+def test_forms_of_names(spark):
+    texts = [
+        "Mr. J. Smith, Mr. O'Brien, Dr. Smith and MR. SMITH called.",
+        "Mrs.\nAnne-Marie  Smith-Jones; Prof. Dr. Ludwig van der Berg.",
+        "Smith wrote to Mr. Smith. The Smith family, Smithson and smith stay, SMITH too.",
+        "Κύριος Παπαδόπουλος και κυρία Παπαδοπούλου",
+        f"Mr. A{'b' * 40} Smith",
+        "Ms Word, MS Office and DR Congo",
+    ]
+    a, b, c, d, e, f = replaced(spark, texts)
+    j, smith, brien, again, loud = re.fullmatch(r"Mr\. ([A-Z])\. (\w+), Mr\. O'(\w+), Dr\. (\w+) and MR\. ([A-Z]+) called\.", a).groups()
+    assert j != "J" and smith == again and loud == smith.upper() and smith not in ("Smith", brien) and brien != "Brien"
+    anne, marie, one, two, ludwig, berg = re.fullmatch(r"Mrs\.\n(\w+)-(\w+)  (\w+)-(\w+); Prof\. Dr\. (\w+) van der (\w+)\.", b).groups()
+    assert one == smith and two != "Jones" and anne.endswith(pii.NAME_ENDS["latin", "f"]) and marie.endswith(pii.NAME_ENDS["latin", "f"])
+    assert ludwig.endswith(pii.NAME_ENDS["latin", "n"]) and berg.endswith(pii.NAME_ENDS["latin", "s"])
+    assert c == f"{smith} wrote to Mr. {smith}. The {smith} family, Smithson and smith stay, SMITH too."
+    he, she = re.fullmatch(r"Κύριος (\w+) και κυρία (\w+)", d).groups()
+    assert he.endswith(pii.NAME_ENDS["greek", "sm"]) and she.endswith(pii.NAME_ENDS["greek", "sf"]) and re.fullmatch("[Α-ώ]+", he + she)
+    assert re.fullmatch(rf"Mr\. \w+ {smith}", e) and "bbb" not in e
+    assert re.fullmatch(r"Ms (?!Word)\w+, MS Office and DR Congo", f)
+
+
+def test_national_numbers_and_ipv6(spark):
+    texts = ["212-555-0101, 212.555.0101, 1-212-555-0101 and (212) 555-0101", "020 7946 0958 or 030/1234567", "2001:db8::1 is 2001:0DB8:0:0:0:0:0:1, not fe80::2.",
+             "2024-01-02, 10:11:12, std::dead::beef, 1.212.555, 555-0101, 3000 400 500"]
+    a, b, c, d = replaced(spark, texts)
+    first, second, third, fourth = re.fullmatch(r"(\d{3}-555-\d{4}), (\d{3}\.555\.\d{4}), 1-(\d{3}-555-\d{4}) and (\(\d{3}\) 555-\d{4})", a).groups()
+    assert len({re.sub(r"\D", "", x) for x in (first, second, third, fourth)}) == 1 and first != "212-555-0101"
+    assert re.fullmatch(r"02\d \d{4} \d{4} or 03\d/\d{7}", b) and "7946 0958" not in b and "1234567" not in b
+    one, two, three = re.fullmatch(r"(\S+) is (\S+), not (\S+)\.", c).groups()
+    assert one == two != three and all(re.fullmatch(r"2001:0db8(:[0-9a-f]{4}){6}", x) for x in (one, three))
+    assert d == texts[3]
+
+
+def test_domains_stay_apart(spark, monkeypatch):
+    """Domains drawn from a very small space: different ones stay different, equal ones equal."""
+    plain = pii._surrogate
+
+    def narrow(kind, value, draw, key):
+        few = F.concat(F.lit("mail"), F.pmod(F.xxhash64(plain(kind, value, draw, key)), F.lit(25 + 40 * draw)).cast("string"), F.lit(".example"))
+        return F.when(kind == "domain", few).otherwise(plain(kind, value, draw, key))
+
+    monkeypatch.setattr(pii, "_surrogate", narrow)
+    out = replaced(spark, [f"{c}.b@host{i}.de" for c in "xy" for i in range(20)])
+    hosts = [x.split("@")[1] for x in out]
+    assert hosts[:20] == hosts[20:] and len(set(hosts)) == 20 and len(set(out)) == 40
