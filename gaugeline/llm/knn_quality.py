@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import ship, whole_text
+from gaugeline.llm.common import ship, stored, whole_text
 
 TRIGRAMS = 4096
 STYLES = 8
@@ -120,14 +120,18 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
-    """Model of a bounded sample of the labelled rows that aren't held out."""
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int | None = None) -> Model:
+    """Model of a bounded sample of the labelled rows that aren't held out: at most `sample` (SAMPLE) texts a class.
+
+    Two scans of `docs`: one for the digests of the labelled texts, which are stored, and one for the texts taken.
+    """
+    most = SAMPLE if sample is None else sample
     ship(docs.sparkSession)
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")).where(
         F.col("id").isNotNull() & ~held_out(F.col("id")) & F.col("label").isin(0, 1)
     ).distinct()
     order = [F.xxhash64("id"), "id", "label"]
-    chosen = known.where("label = 0").orderBy(*order).limit(SAMPLE).unionByName(known.where("label = 1").orderBy(*order).limit(SAMPLE))
+    chosen = known.where("label = 0").orderBy(*order).limit(most).unionByName(known.where("label = 1").orderBy(*order).limit(most))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,12 +145,12 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     texts = docs.select(F.col(doc_id).alias("id"), whole_text(text).cast("binary").alias("data")).join(F.broadcast(chosen), "id")
     texts = texts.select("id", "label", "data", F.xxhash64("data").alias("digest"))
     # An id may have any number of rows: one text of each id comes first, then others up to the sample's size.
-    distinct = texts.select("id", "label", "digest").distinct()
+    distinct = stored(texts.select("id", "label", "digest").distinct(), "knn-labelled")
     firsts = distinct.groupBy("id", "label").agg(F.min("digest").alias("first"))
     ranked = distinct.join(F.broadcast(firsts), ["id", "label"]).withColumn("further", F.col("digest") != F.col("first"))
     order = ["further", F.xxhash64("id", "digest"), "id", "digest"]
-    taken = ranked.where("label = 0").orderBy(*order).limit(SAMPLE).unionByName(ranked.where("label = 1").orderBy(*order).limit(SAMPLE))
-    # At most 2 * SAMPLE rows are broadcast, and the counts of as many texts collected; copies end in the tasks.
+    taken = ranked.where("label = 0").orderBy(*order).limit(most).unionByName(ranked.where("label = 1").orderBy(*order).limit(most))
+    # At most 2 * `most` rows are broadcast, and the counts of as many texts collected; copies end in the tasks.
     texts = texts.join(F.broadcast(taken.select("id", "label", "digest")), ["id", "label", "digest"]).dropDuplicates(["id", "label", "digest"])
     rows = texts.select("id", "label", "data").mapInArrow(counted, "id long, label int, at binary, n binary").collect()
     rows = sorted(rows, key=lambda r: (r.id, r.label, bytes(r.at), bytes(r.n)))
