@@ -2,16 +2,19 @@
 
 One frequency table, counted over the whole corpus, serves all blocks. A block holds whole documents
 in ascending doc_id order, is coded by `LANES` interleaved coders into one stream of 32-bit words, and
-can be read alone. Checkpoints (stream position and coder states) allow to start inside a block;
-checksums cover the stream and the ids.
+can be read alone. A document of more than `BLOCK` ids is cut over blocks of its own, so that no block holds
+2 * BLOCK ids or more and several tasks decode such a document. Checkpoints (stream position and coder states)
+allow to start inside a block, which `read_range` does; checksums cover the stream and the ids.
 
 File format: a folder with Parquet tables `table` (token, freq) and `blocks`, one row a block:
-part, block (their order is the order of the ids), n_tokens, doc_ids, doc_lens, checkpoints (uint64,
+part, block (their order is the order of the ids), n_tokens, piece and pieces (0 and 1, or which of a cut
+document's blocks it is), doc_ids, doc_lens, checkpoints (uint64,
 little-endian: word position and `LANES` states for every `CHECKPOINT` ids), words (uint32,
 little-endian), words_crc32, ids_crc32.
 
 Null and empty texts consist of the end id alone. Documents with a null id come first; rows that
-share an id are ordered by their token stream. An empty table gives a folder without blocks.
+share an id are in the order of a hash of their token stream, and may lie in several parts, so that a hot id is no
+task of its own. An empty table gives a folder without blocks. More than 2^SCALE different ids are an error.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +42,7 @@ from gaugeline.llm.common import ship, stored, whole_text
 SCALE = 20
 LOW = 1 << 31
 LANES = 1024
-BLOCK = 1 << 20  # ids after which a block closes at the next document
+BLOCK = 1 << 20  # ids after which a block closes at the next document, and the most a cut document's block holds
 CHECKPOINT = 1 << 18  # a multiple of LANES
 
 # Pieces whose ids a worker keeps, and as many older ones. Only speed depends on it.
@@ -167,7 +171,7 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def tokenized(df: DataFrame, spec: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, packed: the ids of each text with `end_id` behind them."""
+    """doc_id, packed, nr: the ids of each text with `end_id` behind them, and a number of the row."""
     ship(df.sparkSession)
     held = df.sparkSession.sparkContext.broadcast(spec)
 
@@ -178,7 +182,7 @@ def tokenized(df: DataFrame, spec: str, end_id: int, doc_id: str = "doc_id", tex
         for batch in batches:
             yield pa.array([pack(np.concatenate([ids, tail])) for ids in bpe.encode(batch.to_pylist())], pa.binary())
 
-    return df.select(F.col(doc_id).cast("bigint").alias("doc_id"), packed_ids(whole_text(text)).alias("packed"))
+    return df.select(F.col(doc_id).cast("bigint").alias("doc_id"), packed_ids(whole_text(text)).alias("packed"), F.monotonically_increasing_id().alias("nr"))
 
 
 def frequencies(tokens: DataFrame) -> dict[int, int]:
@@ -271,7 +275,7 @@ def encode_block(model: Model, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def decode_block(model: Model, n: int, checkpoints: np.ndarray, words: np.ndarray, start: int = 0) -> np.ndarray:
-    """Ids `start` ... n of a block; `start` a multiple of CHECKPOINT."""
+    """Ids `start` ... n of a block, whole or its first n; `start` a multiple of CHECKPOINT."""
     ids = np.empty(n - start, np.uint32)
     if n == start:
         return ids
@@ -294,7 +298,7 @@ def decode_block(model: Model, n: int, checkpoints: np.ndarray, words: np.ndarra
 
 
 _BLOCK_SCHEMA = (
-    "part int, block int, n_tokens long, doc_ids array<long>, doc_lens array<long>, checkpoints binary, "
+    "part int, block int, n_tokens long, piece int, pieces int, doc_ids array<long>, doc_lens array<long>, checkpoints binary, "
     "words binary, words_crc32 long, ids_crc32 long"
 )
 
@@ -318,73 +322,127 @@ def write_tokens(df: DataFrame, path: str, spec: str, end_id: int, doc_id: str =
         own, part, names = Model(held.value), TaskContext.get().partitionId(), [x.split()[0] for x in _BLOCK_SCHEMA.split(", ")]
         block, docs, lens, parts, size = 0, [], [], [], 0
 
-        def closed() -> pa.RecordBatch:
+        def closed(docs: list, lens: list, parts: list, piece: int = 0, pieces: int = 1) -> pa.RecordBatch:
             ids = np.concatenate(parts)
             checkpoints, words = encode_block(own, ids)
-            row = (part, block, len(ids), docs, lens, checkpoints.tobytes(), words.tobytes(), zlib.crc32(words.tobytes()), zlib.crc32(ids.astype("<u4").tobytes()))
-            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+            row = (part, block, len(ids), piece, pieces, docs, lens, checkpoints.tobytes(), words.tobytes(), zlib.crc32(words.tobytes()), zlib.crc32(ids.astype("<u4").tobytes()))
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64(), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
         for batch in batches:
             for doc, packed in zip(batch.column(0), batch.column(1)):
                 ids = unpack(packed.as_buffer())
-                docs.append(doc.as_py())
-                lens.append(len(ids))
-                parts.append(ids)
-                size += len(ids)
-                if size >= BLOCK:
-                    yield closed()
+                long = len(ids) > BLOCK
+                if not long:
+                    docs.append(doc.as_py())
+                    lens.append(len(ids))
+                    parts.append(ids)
+                    size += len(ids)
+                if docs and (long or size >= BLOCK):
+                    yield closed(docs, lens, parts)
                     block, docs, lens, parts, size = block + 1, [], [], [], 0
+                if long:
+                    pieces = -(-len(ids) // BLOCK)
+                    for piece in range(pieces):
+                        cut = ids[piece * BLOCK : (piece + 1) * BLOCK]
+                        yield closed([doc.as_py()], [len(cut)], [cut], piece, pieces)
+                        block += 1
         if docs:
-            yield closed()
+            yield closed(docs, lens, parts)
 
-    ordered = tokens.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "packed")
+    # Rows of one id, even equal ones, can lie in several ranges.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("packed"), "nr"]
+    ordered = tokens.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "packed")
     # Blocks are about as small as they can be: no codec on top.
     ordered.mapInArrow(coded, _BLOCK_SCHEMA).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids: the documents of the folder `path`, decoded in parallel by block.
-
-    start: how many ids stand before the document's. A stream or ids that fail their checksum end
-    the read with an error.
-    """
+def _read_blocks(spark: SparkSession, path: str) -> tuple[DataFrame, Broadcast]:
+    """The table of blocks and the frequencies."""
     ship(spark)
     schema = spark.createDataFrame([], _BLOCK_SCHEMA).schema
-    blocks = spark.read.schema(schema).parquet(f"{path}/blocks")
     freq = {r.token: r.freq for r in spark.read.schema("token long, freq long").parquet(f"{path}/table").collect()}
     table = np.zeros(max(freq, default=-1) + 1, np.int64)
     table[list(freq)] = list(freq.values())
-    held = spark.sparkContext.broadcast(table)
+    return spark.read.schema(schema).parquet(f"{path}/blocks"), spark.sparkContext.broadcast(table)
+
+
+def _block_starts(blocks: DataFrame) -> DataFrame:
+    """part, block, block_start: prefix sums over blocks within a part, and over parts (one row for each written partition)."""
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = blocks.select("part", "block", "n_tokens")
+    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
+    within = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", "block", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("in_part")).join(parts, "part")
+    starts = starts.select("part", "block", (F.col("part_start") + F.col("in_part")).alias("block_start"))
+    return F.broadcast(starts) if blocks.select("part").count() <= BROADCAST_BLOCKS else starts
+
+
+def _checked(part: int, block: int, words: bytes, words_crc: int) -> np.ndarray:
+    if zlib.crc32(words) != words_crc:
+        raise ValueError(f"block {part}/{block}: the stream fails its checksum")
+    return np.frombuffer(words, "<u4")
+
+
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids: the documents of the folder `path`, decoded in parallel by block.
+
+    start: how many ids stand before the document's. The blocks of a cut document are dealt over tasks and its
+    pieces put together again. A stream or ids that fail their checksum end the read with an error.
+    """
+    blocks, held = _read_blocks(spark, path)
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(held.value)
         for batch in batches:
             for row in range(batch.num_rows):
-                part, block, n, docs, lens, checkpoints, words, words_crc, ids_crc = (c[row].as_py() for c in batch.columns)
-                if zlib.crc32(words) != words_crc:
-                    raise ValueError(f"block {part}/{block}: the stream fails its checksum")
-                ids = decode_block(model, n, np.frombuffer(checkpoints, "<u8"), np.frombuffer(words, "<u4")).astype("<u4")
+                part, block, n, piece, _, docs, lens, checkpoints, words, words_crc, ids_crc = (c[row].as_py() for c in batch.columns)
+                ids = decode_block(model, n, np.frombuffer(checkpoints, "<u8"), _checked(part, block, words, words_crc)).astype("<u4")
                 if zlib.crc32(ids.tobytes()) != ids_crc:
                     raise ValueError(f"block {part}/{block}: the ids fail their checksum")
                 ends = np.cumsum(lens)
                 pieces = [ids[e - k : e].tobytes() for e, k in zip(ends, lens)]
                 k = len(docs)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part] * k, pa.int32()), pa.array([block] * k, pa.int32()), pa.array(ends - lens, pa.int64()), pa.array(docs, pa.int64()), pa.array(pieces, pa.binary())],
-                    names=["part", "block", "offset", "doc_id", "ids"],
+                    [pa.array([part] * k, pa.int32()), pa.array([block] * k, pa.int32()), pa.array([piece] * k, pa.int32()), pa.array(ends - lens, pa.int64()), pa.array(docs, pa.int64()), pa.array(pieces, pa.binary())],
+                    names=["part", "block", "piece", "offset", "doc_id", "ids"],
                 )
 
-    rows = blocks.mapInArrow(decoded, "part int, block int, offset long, doc_id long, ids binary")
-    # Prefix sums over blocks within a part, and over parts (one row for each written partition).
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = blocks.select("part", "block", "n_tokens")
-    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
-    within = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", "block", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("block_start")).join(parts, "part")
-    rows = rows.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("bigint"))
-    if blocks.select("part").count() <= BROADCAST_BLOCKS:
-        starts = F.broadcast(starts)
-    return rows.join(starts, ["part", "block"]).select(
-        "doc_id", (F.col("part_start") + F.col("block_start") + F.col("offset")).alias("start"), "n_tokens", "ids"
-    )
+    schema = "part int, block int, piece int, offset long, doc_id long, ids binary"
+    whole = blocks.where("pieces = 1").mapInArrow(decoded, schema).drop("piece")
+    cut = blocks.where("pieces > 1").repartition("part", "block").mapInArrow(decoded, schema)
+    # Grouped by the document's first block. Concatenation of binaries is binary.
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("piece", "ids"))), lambda x: x["ids"])
+    joined = F.aggregate(in_order, F.lit(b""), lambda s, x: F.concat(s, x))
+    cut = cut.groupBy("part", (F.col("block") - F.col("piece")).alias("block"), "doc_id").agg(joined.alias("ids"))
+    cut = cut.select("part", "block", F.lit(0).cast("bigint").alias("offset"), "doc_id", "ids")
+    rows = whole.unionByName(cut).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("bigint"))
+    return rows.join(_block_starts(blocks), ["part", "block"]).select("doc_id", (F.col("block_start") + F.col("offset")).alias("start"), "n_tokens", "ids")
+
+
+def read_range(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    """start, n_tokens, ids: the ids `first` ... `last` (exclusive) of the stream of all documents, a row for each block they lie in.
+
+    Only these blocks are read, each from the checkpoint before the range on. The stream's checksum is checked; that of the
+    ids only where the whole block is read. Positions beyond either end give no rows.
+    """
+    blocks, held = _read_blocks(spark, path)
+    starts = _block_starts(blocks).where((F.col("block_start") < last))
+    wanted = blocks.join(starts, ["part", "block"]).where((F.col("block_start") + F.col("n_tokens") > first) & F.lit(first < last))
+    wanted = wanted.select("part", "block", "n_tokens", "checkpoints", "words", "words_crc32", "ids_crc32", "block_start")
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(held.value)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                part, block, n, checkpoints, words, words_crc, ids_crc, block_start = (c[row].as_py() for c in batch.columns)
+                low, high = max(first - block_start, 0), min(last - block_start, n)
+                mark = low // CHECKPOINT * CHECKPOINT
+                ids = decode_block(model, high, np.frombuffer(checkpoints, "<u8"), _checked(part, block, words, words_crc), mark).astype("<u4")
+                if high - mark == n and zlib.crc32(ids.tobytes()) != ids_crc:
+                    raise ValueError(f"block {part}/{block}: the ids fail their checksum")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block_start + low], pa.int64()), pa.array([high - low], pa.int64()), pa.array([ids[low - mark :].tobytes()], pa.binary())], names=["start", "n_tokens", "ids"]
+                )
+
+    return wanted.mapInArrow(decoded, "start long, n_tokens long, ids binary")

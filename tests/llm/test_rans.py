@@ -104,3 +104,63 @@ def test_a_damaged_stream_is_noticed(spark, tmp_path):
     spark.read.parquet(f"{path}/table").write.parquet(f"{path}2/table")
     with pytest.raises(Exception, match="checksum"):
         rans.read_tokens(spark, f"{path}2").collect()
+
+
+def test_long_documents_are_cut_and_ranges_read(spark, tmp_path, monkeypatch):
+    """Documents of several blocks, of exactly one, and short ones; then any range of the whole stream."""
+    monkeypatch.setattr(rans, "BLOCK", 500)
+    texts = ["short one", "ab " * 1600, "x", "cd " * 499, "ef " * 500, None, "gh ij " * 900]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1, "ab " * 1600), (1, "kl " * 700)]
+    path = str(tmp_path / "files")
+    rans.write_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), path, bpe.read_spec(PATH), 2)
+    blocks = spark.read.parquet(f"{path}/blocks").toPandas()
+    assert blocks.n_tokens.max() < 1000 and (blocks.pieces > 1).sum() >= 4 + 4 + 4 + 2 and (blocks.piece < blocks.pieces).all()
+    out = sorted(rans.read_tokens(spark, path).collect(), key=lambda r: r.start)
+    own = rans.WordBpe(bpe.read_spec(PATH))
+    want = sorted((i, [*own.encode([t or ""])[0].tolist(), 2]) for i, t in rows)
+    got = [(r.doc_id, np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in out]
+    assert sorted(got) == want and [i for i, _ in got] == sorted(i for i, _ in rows)
+    stream = [t for _, ids in got for t in ids]
+    assert [r.start for r in out] == np.cumsum([0, *(len(ids) for _, ids in got)])[:-1].tolist()
+    for first, last in ((0, len(stream)), (3, 4), (499, 2600), (len(stream) - 1, len(stream) + 9), (-5, 2), (9, 9), (len(stream), len(stream) + 1)):
+        found = sorted(rans.read_range(spark, path, first, last).collect(), key=lambda r: r.start)
+        assert [t for r in found for t in np.frombuffer(bytes(r.ids), "<u4").tolist()] == stream[max(first, 0) : last]
+        assert all(r.n_tokens * 4 == len(r.ids) for r in found) and (not found or found[0].start == max(first, 0))
+
+
+def test_a_range_starts_at_a_checkpoint(spark, tmp_path):
+    """With one block of several checkpoints the ids before the last one before the range are not decoded."""
+    path = str(tmp_path / "files")
+    rans.write_tokens(spark.createDataFrame([(i, "a b c " * 60_000) for i in range(4)], "doc_id long, text string").coalesce(1), path, bpe.read_spec(PATH), 2)
+    out = {r.start: np.frombuffer(bytes(r.ids), "<u4") for r in rans.read_tokens(spark, path).collect()}
+    stream = np.concatenate([out[s] for s in sorted(out)])
+    assert len(stream) > 2 * rans.CHECKPOINT
+    first = rans.CHECKPOINT + 77
+    found = sorted(rans.read_range(spark, path, first, first + 200_000).collect(), key=lambda r: r.start)
+    assert (np.concatenate([np.frombuffer(bytes(r.ids), "<u4") for r in found]) == stream[first : first + 200_000]).all()
+    # One block holds the range; without its first states the range is read all the same.
+    assert len(found) == 1
+    states = 8 * (rans.LANES + 1)
+    bad = spark.read.parquet(f"{path}/blocks").withColumn("checkpoints", F.concat(F.lit(bytes(states)), F.substring("checkpoints", states + 1, 1 << 30)))
+    bad.write.parquet(f"{path}2/blocks")
+    spark.read.parquet(f"{path}/table").write.parquet(f"{path}2/table")
+    again = rans.read_range(spark, f"{path}2", first, first + 200_000).collect()
+    assert bytes(again[0].ids) == bytes(found[0].ids)
+
+
+def test_a_hot_id_is_spread(spark, tmp_path, monkeypatch):
+    """Equal rows of one id lie in several parts, and positions still follow one another."""
+    monkeypatch.setattr(rans, "BLOCK", 500)
+    df = spark.createDataFrame([(7, "same words again")] * 3000 + [(i, f"text {i}") for i in range(20)], "doc_id long, text string").repartition(4)
+    path = str(tmp_path / "files")
+    # A table this small would be put into one part.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rans.write_tokens(df, path, bpe.read_spec(PATH), 2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = spark.read.parquet(f"{path}/blocks").where("array_contains(doc_ids, 7L)").select("part").distinct().count()
+    assert parts > 2
+    out = sorted(rans.read_tokens(spark, path).collect(), key=lambda r: r.start)
+    assert len(out) == 3020 and [r.doc_id for r in out] == sorted(r.doc_id for r in out)
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(out, out[1:]))
