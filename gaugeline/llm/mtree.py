@@ -4,13 +4,18 @@ Vectors are rounded to whole numbers, floor(256 x). With M the largest norm, x'
 q' = (q, 0), the distance |q' - x'| falls as the inner product rises: |q|^2 + M^2 - 2 q.x is its square. So
 a metric tree over the x' answers the question.
 
-The tree has three levels. The root holds `PIVOTS` routing vectors with covering radii (a bounded sample
-of the rows). Below each, rows are dealt to nodes of about `NODE_ROWS`; a node is a table row group of
-pages with at most `PAGE` entries, each page with its routing vector, covering radius and distance to
-the node's vector, each entry with its distance to the page's. A query first searches the branch with
-the least bound, which gives it a k-th best score, and then those branches that might beat it. Inside a
-node it takes the pages in order of their bounds, leaves out pages and entries that the stored
-distances rule out by the triangle inequality, and stops when no bound can beat its k-th score.
+The root holds `PIVOTS` routing vectors with covering radii (a bounded sample of the rows); each row goes to
+the nearest. Nodes of more than `NODE_ROWS` rows are split again in the same way, by routing vectors of their own,
+a level at a time over all nodes. What routing vectors can't split (equal vectors: a child keeps three quarters
+of its node) is dealt to leaves by a hash. A leaf's rows are cut into pages of at most `PAGE` entries; a page is a
+stored row with its routing vector, covering radius and distance to the leaf's vector, and for each entry the
+distance to the page's. The pages are written once and read by all searches.
+
+A query first goes to the leaf with the least bound, which gives it a k-th best score, and then to those branches
+and, of these, those leaves that might beat it. Inside a leaf it takes the pages in order of their bounds, leaves out
+pages and entries that the stored distances rule out by the triangle inequality, and stops when no bound can beat its
+k-th score. A leaf that many queries visit is read by as many tasks as `QUERY_BLOCK` queries each make; a leaf
+without a visit is not read.
 
 Vectors that are null or hold a null or a non-finite component take no part, nor do rows without an id, nor
 vectors with a component that is no 64-bit whole number after rounding (2^55 or more in size). Scores are
@@ -36,7 +41,9 @@ LARGEST = 2.0**63
 PIVOTS = 32
 NODE_ROWS = 8192
 PAGE = 64
-QUERY_BLOCK = 16384  # queries that one task tests against a node
+QUERY_BLOCK = 16384  # queries that one task tests against a leaf or a branch's list of leaves
+DEAL_ROWS = 65536  # rows that one task deals to a node's children
+ROUTED = 16384  # rows of a batch of visits, at most, or a query's own
 NONE = np.iinfo(np.int64).min  # the score of a place without a candidate
 LEAST, MOST = NONE + 1, np.iinfo(np.int64).max  # stand for scores that don't fit
 
@@ -48,6 +55,11 @@ def whole_numbers(vector: Column) -> Column:
     return F.when(vector.isNotNull() & F.coalesce(fits, F.lit(False)), scaled)
 
 
+def _vectors(column: pa.Array, width: int) -> np.ndarray:
+    """Rows of a column of vectors in 64-bit whole numbers, little-endian."""
+    return np.frombuffer(b"".join(column.to_pylist()), "<i8").reshape(len(column), width)
+
+
 def _matrix(rows: list, width: int) -> np.ndarray:
     out = np.zeros((len(rows), width), np.int64)
     for i, r in enumerate(rows):
@@ -94,23 +106,57 @@ def _once(order: np.ndarray, every: np.ndarray, names: np.ndarray) -> np.ndarray
     return np.take_along_axis(order, np.argsort(again, axis=1, kind="stable"), axis=1)
 
 
+def _slack(most: float) -> float:
+    """Rounding in square roots of differences; scores are whole, so a slack costs no exactness."""
+    return 1e-6 * np.sqrt(most + 1.0) + 1e-3
+
+
 class Node:
-    """A node: pages of entries around routing vectors."""
+    """A leaf: pages of entries around routing vectors, made from rows or read from stored pages."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray, most: float):
         self.most = most
         order = np.lexsort((ids,))
         self.ids, self.rows = ids[order], rows[order]
-        self.repeated = bool((np.diff(self.ids) == 0).any())
         self.pages = self._split(np.arange(len(ids)))
         heads = np.array([p[0] for p in self.pages])
         self.heads = self.rows[heads]
         self.dists = [_apart(self.rows[p], self.rows[h : h + 1], most)[:, 0] for p, h in zip(self.pages, heads)]
         self.radii = np.array([d.max() for d in self.dists])
-        self.top = self.rows[:1]
+        # The leaf's vector: the row nearest to the middle of them all.
+        middle = np.round(self.rows.mean(axis=0)).astype(np.int64)[None, :] if abs(self.rows).max(initial=0) < 1 << 52 else self.rows[:1]
+        self.top = self.rows[[_apart(self.rows, middle, most)[:, 0].argmin()]]
         self.to_top = _apart(self.heads, self.top, most)[:, 0]
-        # Rounding in square roots of differences; scores are whole, so a slack costs no exactness.
-        self.slack = 1e-6 * np.sqrt(most + 1.0) + 1e-3
+        self.radius = float(_apart(self.rows, self.top, most).max())
+        self._ready()
+
+    def _ready(self) -> None:
+        self.repeated = len(np.unique(self.ids)) < len(self.ids)
+        self.slack = _slack(self.most)
+
+    def stored(self) -> list[dict]:
+        """The pages as rows; the first holds the leaf's vector and radius."""
+        out = []
+        for p, head, dists, radius, to_top in zip(self.pages, self.heads, self.dists, self.radii, self.to_top):
+            held = {"ids": self.ids[p].astype("<i8").tobytes(), "vectors": self.rows[p].astype("<i8").tobytes(), "dists": dists.astype("<f8").tobytes()}
+            out.append(held | {"head": head.astype("<i8").tobytes(), "radius": float(radius), "to_top": float(to_top), "top": self.top.astype("<i8").tobytes()})
+        return out
+
+    @classmethod
+    def read(cls, pages: list[dict], width: int, most: float) -> Node:
+        node = cls.__new__(cls)
+        node.most = most
+        ids = [np.frombuffer(p["ids"], "<i8") for p in pages]
+        ends = np.cumsum([len(i) for i in ids])
+        node.ids = np.concatenate(ids)
+        node.rows = np.frombuffer(b"".join(p["vectors"] for p in pages), "<i8").reshape(len(node.ids), width)
+        node.pages = [np.arange(e - len(i), e) for e, i in zip(ends, ids)]
+        node.dists = [np.frombuffer(p["dists"], "<f8") for p in pages]
+        node.heads = np.frombuffer(b"".join(p["head"] for p in pages), "<i8").reshape(len(pages), width)
+        node.top = np.frombuffer(pages[0]["top"], "<i8").reshape(1, width)
+        node.radii, node.to_top = (np.array([p[c] for p in pages]) for c in ("radius", "to_top"))
+        node._ready()
+        return node
 
     def _split(self, at: np.ndarray) -> list[np.ndarray]:
         """Halves by the nearer of two routing entries until the pages are small; equal entries by count."""
@@ -184,46 +230,176 @@ class Node:
         return ids, scores
 
 
-def _visit(nodes: DataFrame, visits: DataFrame, width: int, most: float, k: int) -> DataFrame:
-    """query_id, vec_id, score: what each visit (branch, part, block, query_id, q, floor) finds in its node.
+_PAGE = "ids binary, vectors binary, dists binary, head binary, radius double, to_top double, top binary"
+_NO_LONG, _NO_BINARY = "CAST(NULL AS BIGINT)", "CAST(NULL AS BINARY)"
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """(key, rows) for neighbouring rows that agree in the first `keys` columns."""
+    for batch in batches:
+        change = np.zeros(batch.num_rows, bool)
+        change[:1] = True
+        for c in batch.columns[:keys]:
+            codes = c.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            change[1:] |= codes[1:] != codes[:-1]
+        ends = [*np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(ends, ends[1:]):
+            yield tuple(c[a].as_py() for c in batch.columns[:keys]), batch.slice(a, b - a)
+
+
+def _met(held: DataFrame, asked: DataFrame, key: str, work, schema: str) -> DataFrame:
+    """`work` over groups by `key` and share: the rows of `held` first, those of `asked` behind them in a stream."""
+    rows = held.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.lit(1)))
+    rows = rows.select(key, "share", "kind", *[c for c in rows.columns if c not in (key, "share", "kind")])
+    return rows.repartition(key, "share").sortWithinPartitions(key, "share", "kind", "id").mapInArrow(work, schema)
+
 
-    The rows of a node (nodes: branch, part, block, vec_id, v) come first in their group and make the tree; the
-    queries follow in a stream. Groups hold about NODE_ROWS rows and QUERY_BLOCK queries.
+def _shared(held: DataFrame, asked: DataFrame, key: str, of: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """Both with `share`: the rows of a key asked for are cut into shares of about `size`, each of which meets the key's held rows.
+
+    Keys that nothing asks for are left out of `held`. `asked` is read twice.
     """
-    rows = nodes.select("branch", "part", "block", F.lit(0).alias("kind"), F.col("vec_id").alias("id"), "v", F.lit(0).cast("bigint").alias("floor")).unionByName(
-        visits.select("branch", "part", "block", F.lit(1).alias("kind"), F.col("query_id").alias("id"), F.col("q").alias("v"), "floor")
-    )
+    shares = asked.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("shares"))
+    held = held.join(shares, key).withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+    return held, asked.join(shares, key).withColumn("share", F.pmod(F.xxhash64(of), F.col("shares")).cast("int")).drop("shares")
+
+
+def _children(rows: DataFrame, width: int, most: float) -> DataFrame:
+    """vec_id, v, before, node: each row of the nodes (rows: node, vec_id, v, n) with the child it goes to; before: the node's size."""
+    # A routing vector for each of PIVOTS slots of a hash that holds rows, at least one a node.
+    hashed = rows.withColumn("hash", F.xxhash64("vec_id", "v", "node")).withColumn("slot", F.pmod("hash", F.lit(PIVOTS)))
+    least = hashed.groupBy("node", "slot").agg(F.min("hash").alias("hash"))
+    pivots = hashed.join(least, ["node", "slot", "hash"]).dropDuplicates(["node", "slot"]).select("node", F.col("slot").alias("id"), "v", "n")
+    held, asked = _shared(pivots, rows.select("node", F.col("vec_id").alias("id"), "v", "n"), "node", "id", DEAL_ROWS)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, slots, heads = None, [], []
+        for (node, share, kind), run in _runs(batches, 3):
+            if (node, share) != at:
+                at, slots, heads = (node, share), [], []
+            v = _vectors(run.column("v"), width)
+            if kind == 0:
+                slots += run.column("id").to_pylist()
+                heads.append(v)
+                continue
+            near = _apart(v, np.concatenate(heads), most).argmin(axis=1)
+            child = pa.array([f"{node}.{slots[i]}" for i in near.tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays([run.column("id"), run.column("v"), run.column("n"), child], names=["vec_id", "v", "before", "node"])
+
+    return _met(held, asked, "node", dealt, "vec_id long, v binary, before long, node string")
+
+
+def _leaves(level: DataFrame, width: int, most: float) -> DataFrame:
+    """leaf, vec_id, v: the rows of `level` (node, vec_id, v, before) dealt down to leaves of about NODE_ROWS rows."""
+    done = []
+    while True:
+        # One row for each node, an 8192nd of the rows or so at the last level.
+        sizes = stored(level.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.max("before").alias("before")), "mtree-sizes")
+        split = (F.col("n") > NODE_ROWS) & (F.col("n") * 4 <= F.col("before") * 3)
+        sized = level.drop("before").join(sizes.withColumn("split", split).drop("before"), "node")
+        part = F.pmod(F.xxhash64("vec_id", "v"), F.ceil(F.col("n") / NODE_ROWS))
+        done.append(sized.where("NOT split").select(F.concat("node", F.lit(".p"), part.cast("string")).alias("leaf"), "vec_id", "v"))
+        if sizes.where(split).isEmpty():
+            break
+        level = stored(_children(sized.where("split"), width, most), "mtree-level")
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _pages(leaves: DataFrame, width: int, most: float) -> DataFrame:
+    """leaf, radius_of_leaf (in its first page), and the columns of a page."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, ids, rows = None, [], []
+
+        def closed() -> pa.RecordBatch:
+            node = Node(np.concatenate(ids), np.concatenate(rows), most)
+            pages = node.stored()
+            columns = [pa.array([at] * len(pages), pa.string()), pa.array([node.radius] + [None] * (len(pages) - 1), pa.float64())]
+            names = [x.split()[0] for x in _PAGE.split(", ")]
+            columns += [pa.array([p[c] for p in pages], pa.float64() if c in ("radius", "to_top") else pa.binary()) for c in names]
+            return pa.RecordBatch.from_arrays(columns, names=["leaf", "leaf_radius", *names])
+
+        for (leaf,), run in _runs(batches, 1):
+            if leaf != at:
+                if ids:
+                    yield closed()
+                at, ids, rows = leaf, [], []
+            ids.append(run.column("vec_id").to_numpy())
+            rows.append(_vectors(run.column("v"), width))
+        if ids:
+            yield closed()
+
+    return leaves.repartition("leaf").sortWithinPartitions("leaf").mapInArrow(cut, f"leaf string, leaf_radius double, {_PAGE}")
+
+
+def _visit(pages: DataFrame, visits: DataFrame, width: int, most: float, k: int) -> DataFrame:
+    """query_id, vec_id, score: what each visit (leaf, query_id, q, floor) finds in its leaf."""
+    names = [x.split()[0] for x in _PAGE.split(", ")]
+    held = pages.select("leaf", F.struct(*names).alias("page"), F.expr(f"{_NO_LONG} AS id"), F.expr(f"{_NO_BINARY} AS v"), F.expr(f"{_NO_LONG} AS floor"))
+    asked = visits.select("leaf", F.lit(None).cast(held.schema["page"].dataType).alias("page"), F.col("query_id").alias("id"), F.col("q").alias("v"), "floor")
+
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, rows, node = None, [], [], None
-        for batch in batches:
-            asked: list[tuple] = []
-            out: list[tuple] = []
-
-            def answer() -> None:
-                if asked and node is not None:
-                    qids = np.array([a[0] for a in asked], np.int64)
-                    names, scores = node.search(qids, _matrix([a[1] for a in asked], width), np.array([a[2] for a in asked], np.int64), k)
-                    w, c = np.nonzero(scores > NONE)
-                    out.extend(zip(qids[w].tolist(), names[w, c].tolist(), scores[w, c].tolist()))
-                asked.clear()
-
-            for branch, part, block, kind, i, v, floor in zip(*(c.to_pylist() for c in batch.columns)):
-                if (branch, part, block) != at:
-                    answer()
-                    at, ids, rows, node = (branch, part, block), [], [], None
-                if kind == 0:
-                    ids.append(i)
-                    rows.append(v)
+        at, pages, node = None, [], None
+        for (leaf, share, kind), run in _runs(batches, 3):
+            if (leaf, share) != at:
+                at, pages, node = (leaf, share), [], None
+            if kind == 0:
+                pages += run.column("page").to_pylist()
+                continue
+            if node is None:
+                node, pages = Node.read(pages, width, most), []
+            qids, floor = run.column("id").to_numpy(), run.column("floor").fill_null(int(NONE)).to_numpy()
+            ids, scores = node.search(qids, _vectors(run.column("v"), width), floor, k)
+            w, c = np.nonzero(scores > NONE)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (qids[w], ids[w, c], scores[w, c])], names=["query_id", "vec_id", "score"])
+
+    return _met(*_shared(held, asked, "leaf", "id", QUERY_BLOCK), "leaf", found, "query_id long, vec_id long, score long")
+
+
+def _routed(tops: DataFrame, queries: DataFrame, width: int, most: float, nearest: bool) -> DataFrame:
+    """query_id, q, leaf, floor: for each query and branch (queries: branch, query_id, q, floor, skip) the leaf with the least
+    bound, or all leaves but `skip` whose bound doesn't rule out a score of `floor`.
+
+    tops: branch, leaf, top, leaf_radius. A branch's list of leaves is some NODE_ROWS * PIVOTS times shorter than the table.
+    """
+    held = tops.select("branch", "leaf", F.expr(f"{_NO_LONG} AS id"), F.col("top").alias("v"), F.col("leaf_radius").alias("radius"), F.expr(f"{_NO_LONG} AS floor"))
+    asked = queries.select("branch", F.col("skip").alias("leaf"), F.col("query_id").alias("id"), F.col("q").alias("v"), F.lit(None).cast("double").alias("radius"), "floor")
+
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, leaves, tops, radii = None, [], [], []
+        for (branch, share, kind), run in _runs(batches, 3):
+            if (branch, share) != at:
+                at, leaves, tops, radii = (branch, share), [], [], []
+            if kind == 0:
+                leaves += run.column("leaf").to_pylist()
+                tops.append(_vectors(run.column("v"), width))
+                radii += run.column("radius").to_pylist()
+                continue
+            heads, names, numbers = np.concatenate(tops), np.array(leaves, object), {x: i for i, x in enumerate(leaves)}
+            step = max(1, ROUTED // len(leaves))
+            for part in (run.slice(i, step) for i in range(0, run.num_rows, step)):
+                q = _vectors(part.column("v"), width)
+                apart = _from_queries(q, heads, most)
+                bound = np.maximum(apart - np.array(radii)[None, :] - _slack(most), 0)
+                if nearest:
+                    who, to = np.arange(len(q)), np.lexsort((apart, bound), axis=1)[:, 0]
                 else:
-                    if node is None and ids:
-                        node = Node(np.array(ids, np.int64), _matrix(rows, width), most)
-                    asked.append((i, v, NONE if floor is None else floor))
-            answer()
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["query_id", "vec_id", "score"])
+                    floor = np.array([-np.inf if x is None else float(x) for x in part.column("floor").to_pylist()])
+                    square = (q.astype(np.float64) ** 2).sum(axis=1) + most
+                    open_ = bound <= np.sqrt(np.maximum(square - 2 * floor, 0))[:, None]
+                    for i, x in enumerate(part.column("leaf").to_pylist()):
+                        if x in numbers:
+                            open_[i, numbers[x]] = False
+                    who, to = np.nonzero(open_)
+                taken = pa.array(who, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(taken), part.column("v").take(taken), pa.array(names[to].tolist(), pa.string()), part.column("floor").take(taken)], names=["query_id", "q", "leaf", "floor"]
+                )
 
-    grouped = rows.repartition("branch", "part", "block").sortWithinPartitions("branch", "part", "block", "kind")
-    return grouped.mapInArrow(found, "query_id long, vec_id long, score long")
+    return _met(*_shared(held, asked, "branch", "id", QUERY_BLOCK), "branch", routed, "query_id long, q binary, leaf string, floor long")
 
 
 def top_k(vectors: DataFrame, k: int, every: int, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -233,58 +409,61 @@ def top_k(vectors: DataFrame, k: int, every: int, vec_id: str = "vec_id", vector
     rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), whole_numbers(F.col(vector)).alias("v"))
     rows = stored(rows.where("vec_id IS NOT NULL AND v IS NOT NULL").distinct(), "mtree-rows")
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    facts = rows.agg(F.max(norm).alias("most"), F.max(F.size("v")).alias("width")).first()
+    facts = rows.agg(F.max(norm).alias("most"), F.max(F.size("v")).alias("width"), F.count(F.lit(1)).alias("n")).first()
     most, width = facts.most or 0.0, facts.width or 0
     # Routing vectors of the root: a bounded sample in the order of a hash.
     pivots = [r.v for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id", F.xxhash64("v")).limit(PIVOTS).collect()] or [[]]
     held = spark.sparkContext.broadcast(_matrix(pivots, width))
 
-    @F.arrow_udf("struct<branch:int,apart:double>")
+    @F.arrow_udf("struct<branch:int,apart:double,v:binary>")
     def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            apart = _apart(_matrix(batch.to_pylist(), width), held.value, most)
+            own = _matrix(batch.to_pylist(), width)
+            apart = _apart(own, held.value, most)
             at = apart.argmin(axis=1)
-            yield pa.StructArray.from_arrays([pa.array(at, pa.int32()), pa.array(apart[np.arange(len(at)), at], pa.float64())], names=["branch", "apart"])
-
-    dealt = stored(rows.withColumn("at", nearest("v")).select("vec_id", "v", "at.branch", "at.apart"), "mtree-dealt")
-    sizes = {r.branch: (r.n, r.radius) for r in dealt.groupBy("branch").agg(F.count(F.lit(1)).alias("n"), F.max("apart").alias("radius")).collect()}
-    parts = {b: -(-n // NODE_ROWS) for b, (n, _) in sizes.items()}
+            packed = pa.array([r.astype("<i8").tobytes() for r in own], pa.binary())
+            yield pa.StructArray.from_arrays([pa.array(at, pa.int32()), pa.array(apart[np.arange(len(at)), at], pa.float64()), packed], names=["branch", "apart", "v"])
+
+    dealt = stored(rows.withColumn("at", nearest("v")).select("vec_id", "at.v", "at.branch", "at.apart"), "mtree-dealt")
+    # At most PIVOTS rows.
+    radii_of = {r.branch: r.radius for r in dealt.groupBy("branch").agg(F.max("apart").alias("radius")).collect()}
+    radii = np.array([radii_of.get(b, -np.inf) for b in range(len(pivots))])
+    slack = _slack(most)
+    level = dealt.select("vec_id", "v", F.lit(facts.n).cast("bigint").alias("before"), F.col("branch").cast("string").alias("node"))
+    pages = stored(_pages(_leaves(level, width, most), width, most), "mtree-pages")
+    tops = pages.where("leaf_radius IS NOT NULL").select(F.substring_index("leaf", ".", 1).alias("branch"), "leaf", "top", "leaf_radius")
     queries = dealt.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    split = F.create_map(*[F.lit(x) for pair in (parts or {0: 1}).items() for x in pair])
-    # A node's rows go to each block of queries that may visit it.
-    nodes = dealt.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.element_at(split, F.col("branch"))).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    )
-    radii = np.array([sizes.get(b, (0, -np.inf))[1] for b in range(len(pivots))])
-    slack = 1e-6 * np.sqrt(most + 1.0) + 1e-3
-
-    @F.arrow_udf("array<struct<branch:int,bound:double>>")
+
+    @F.arrow_udf("array<struct<branch:string,bound:double>>")
     def bounds(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         """The branches that hold rows, nearest bound first; of equal bounds the one with the nearer vector."""
         for batch in batches:
-            apart = _from_queries(_matrix(batch.to_pylist(), width), held.value, most)
+            apart = _from_queries(_vectors(batch, width), held.value, most)
             least = np.maximum(apart - radii[None, :] - slack, 0)
             order = np.lexsort((apart, least), axis=1)
-            yield pa.array([[{"branch": int(b), "bound": float(x[b])} for b in o if radii[b] >= 0] for x, o in zip(least, order)], pa.list_(pa.struct([("branch", pa.int32()), ("bound", pa.float64())])))
-
-    def visits(rows: DataFrame) -> DataFrame:
-        part = F.explode(F.sequence(F.lit(0), F.element_at(split, F.col("branch")) - 1))
-        return rows.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("part", part)
-
-    routed = stored(queries.withColumn("to", bounds("q")), "mtree-routed")
-    none = F.lit(None).cast("bigint")
-    first = routed.select("query_id", "q", F.get("to", F.lit(0))["branch"].alias("branch"), none.alias("floor")).where("branch IS NOT NULL")
-    best = stored(_visit(nodes, visits(first), width, most, k), "mtree-first")
+            yield pa.array([[{"branch": str(b), "bound": float(x[b])} for b in o if radii[b] >= 0] for x, o in zip(least, order)], pa.list_(pa.struct([("branch", pa.string()), ("bound", pa.float64())])))
+
+    @F.arrow_udf("array<string>")
+    def can_beat(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        """The branches whose bound doesn't rule out a score of `floor`. The bounds are less by the slack, which covers these roots too."""
+        for q, floor, to in batches:
+            square = (_vectors(q, width).astype(np.float64) ** 2).sum(axis=1) + most
+            least = np.array([-np.inf if x is None else float(x) for x in floor.to_pylist()])
+            reach = np.sqrt(np.maximum(square - 2 * least, 0))
+            yield pa.array([[x["branch"] for x in branches if x["bound"] <= r] for branches, r in zip(to.to_pylist(), reach)], pa.list_(pa.string()))
+
+    to_branches = stored(queries.withColumn("to", bounds("q")), "mtree-routed")
+    first = to_branches.select("query_id", "q", F.get("to", F.lit(0))["branch"].alias("branch"), F.expr(f"{_NO_LONG} AS floor"), F.lit(None).cast("string").alias("skip"))
+    first = stored(_routed(tops, first.where("branch IS NOT NULL"), width, most, nearest=True), "mtree-visits")
+    best = stored(_visit(pages, first, width, most, k), "mtree-first")
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     # An id's rows with the same score, or those found for two rows of a query, are one place.
     kth = best.distinct().withColumn("nr", F.row_number().over(ranked)).where(F.col("nr") == k).select("query_id", F.col("score").alias("floor"))
-    rest = routed.select("query_id", "q", F.explode(F.slice("to", 2, len(pivots))).alias("to")).select("query_id", "q", "to.*").join(kth, "query_id", "left")
-    square = F.aggregate("q", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")) + most
-    # The bounds are less by the slack, which covers the rounding of these roots too.
-    reach = F.sqrt(F.greatest(square - 2 * F.col("floor").cast("double"), F.lit(0.0)))
-    rest = rest.where(F.col("floor").isNull() | (F.col("bound") <= reach))
-    others = _visit(nodes, visits(rest.select("query_id", "q", "branch", "floor")), width, most, k)
+    rest = to_branches.join(first.select("query_id", "q", F.col("leaf").alias("skip")), ["query_id", "q"], "left").join(kth, "query_id", "left")
+    rest = rest.withColumn("to", can_beat("q", "floor", "to"))
+    rest = rest.select("query_id", "q", "floor", "skip", F.explode("to").alias("branch"))
+    rest = _routed(tops, stored(rest, "mtree-branches"), width, most, nearest=False)
+    others = _visit(pages, stored(rest, "mtree-visits"), width, most, k)
     out = best.unionByName(others).distinct().withColumn("rank", F.row_number().over(ranked).cast("int"))
     fits = (F.col("score") > int(LEAST)) & (F.col("score") < int(MOST))
     score = F.when(fits, F.col("score")).otherwise(F.raise_error(F.concat(F.lit("a score doesn't fit a long, query "), F.col("query_id").cast("string"))).cast("bigint"))

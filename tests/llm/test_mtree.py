@@ -114,3 +114,42 @@ def test_large_components(spark, monkeypatch):
     assert result(mtree.top_k(spark.createDataFrame(rows, schema), 5, 50)) == whole(rows, 5, 50)
     with pytest.raises(Exception, match="doesn't fit a long"):
         mtree.top_k(spark.createDataFrame(rows + [(6, big)], schema), 5, 50).collect()
+
+
+def test_clustered_queries_visit_few_leaves(spark, monkeypatch):
+    """Leaves are regions: with clustered rows most are ruled out; hot leaves are read in shares, the result is exact."""
+    monkeypatch.setattr(mtree, "NODE_ROWS", 60)
+    monkeypatch.setattr(mtree, "PIVOTS", 8)
+    monkeypatch.setattr(mtree, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(mtree, "DEAL_ROWS", 50)
+    kept = {}
+    plain_stored = mtree.stored
+    monkeypatch.setattr(mtree, "stored", lambda df, label: kept.setdefault(label, []).append(plain_stored(df, label)) or kept[label][-1])
+    rng = np.random.default_rng(4)
+    centres = rng.normal(0, 1, (30, 12))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    rows = [(i, np.round(centres[i % 30] + rng.normal(0, 0.02, 12), 4).tolist()) for i in range(1, 1500)]
+    rows += [(2000 + i, rows[0][1]) for i in range(150)]  # equal vectors, more than a leaf holds
+    got = result(mtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 5, 50))
+    assert got == plain(rows, 5, 50)
+    leaves = kept["mtree-pages"][0].select("leaf").distinct().count()
+    queries = sum(i % 50 == 0 for i, _ in rows)
+    visits = sum(v.count() for v in kept["mtree-visits"])
+    assert leaves > 30 and queries <= visits < 0.4 * queries * leaves
+    assert len(kept["mtree-level"]) >= 1
+
+
+def test_stored_pages_are_the_node():
+    rng = np.random.default_rng(3)
+    rows, ids = rng.integers(-500, 500, (700, 6)), np.arange(700)
+    most = float((rows**2).sum(axis=1).max())
+    node = mtree.Node(ids, rows, most)
+    read = mtree.Node.read(node.stored(), 6, most)
+    assert sorted(read.ids.tolist()) == ids.tolist() and max(len(p) for p in read.pages) <= mtree.PAGE
+    for page, head, radius, to_top, dists in zip(read.pages, read.heads, read.radii, read.to_top, read.dists):
+        apart = mtree._apart(read.rows[page], head[None, :], most)[:, 0]
+        assert np.allclose(apart, dists) and dists.max() == radius and np.isclose(mtree._apart(head[None, :], read.top, most)[0, 0], to_top)
+    assert mtree._apart(read.rows, read.top, most).max() <= node.radius + 1e-6
+    q = rng.integers(-500, 500, (20, 6))
+    for one, two in zip(node.search(-np.arange(1, 21), q, np.full(20, mtree.NONE), 5), read.search(-np.arange(1, 21), q, np.full(20, mtree.NONE), 5)):
+        assert (one == two).all()
