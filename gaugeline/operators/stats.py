@@ -20,13 +20,24 @@ _LIMBS = {
     "mid": f"shiftright({{t}}, {_LIMB}) & {_MASK}L",
     "lo": f"{{t}} & {_MASK}L",
 }
-_TOTAL = f"cast(cast(hi AS DECIMAL(38,0)) * {1 << 2 * _LIMB} + cast(mid AS DECIMAL(38,0)) * {1 << _LIMB} + lo AS DECIMAL(38,0))"
+
+
+def _total(hi: str, mid: str, lo: str) -> str:
+    return f"cast(cast({hi} AS DECIMAL(38,0)) * {1 << 2 * _LIMB} + cast({mid} AS DECIMAL(38,0)) * {1 << _LIMB} + {lo} AS DECIMAL(38,0))"
+
+
+_TOTAL = _total("hi", "mid", "lo")
 
 
 def _limb_sums(t: str) -> list[Column]:
     return [F.expr(f"sum({part.format(t=t)}) AS {name}") for name, part in _LIMBS.items()]
 
 
+def exact_sum(t: str) -> Column:
+    """The sum of any BIGINT column as DECIMAL(38,0), good for 2^40 rows; a plain sum overflows by few large numbers."""
+    return F.expr(_total(*(f"sum({part.format(t=t)})" for part in _LIMBS.values())))
+
+
 def aggregate_state(rows: DataFrame, keys: Sequence[str] = ("station",)) -> DataFrame:
     """keys + mn, mx, s, n from rows with a whole-number column `t`, |t| < 2^60."""
     parts = rows.groupBy(*keys).agg(

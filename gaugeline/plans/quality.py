@@ -9,8 +9,9 @@ from gaugeline.functions.numbers import to_units, units_from_digits, units_trunc
 from gaugeline.functions.text import byte_text, elapsed_text, fixed
 from gaugeline.operators.names import estimate_file_size, name_limits, station_names
 from gaugeline.operators.parse import parse_lines, reject_counts
-from gaugeline.operators.stats import frame_rejects, summarize_lines
+from gaugeline.operators.stats import exact_sum, frame_rejects, summarize_lines
 from gaugeline.plans.tables import EVENT_LINES, event_lines, table
+from gaugeline.session import shared_dir
 from gaugeline.sources.files import csv_fields
 
 
@@ -27,7 +28,11 @@ def station_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_path_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """path, n_rows, n_mismatch (against the decimal path), sum_tenths over all event values and long numbers."""
+    """path, n_rows, n_mismatch (against the decimal path), sum_tenths over all event values and long numbers.
+
+    The long numbers' sum grows with the square of the events: sum_tenths is a BIGINT where all three fit, else a
+    DECIMAL(38,0). The three rows are computed at call time to know which.
+    """
     paths = {"decimal": to_units, "digits": units_from_digits, "truncated_double": units_truncated}
     events = table(spark, sf_dir, "events")
     # As given, whole and long, and too large for any path.
@@ -42,12 +47,16 @@ def parse_path_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.lit(name).alias("path"),
                 F.count(name).alias("n_rows"),
                 F.count_if(~F.col(name).eqNullSafe(F.col("decimal"))).alias("n_mismatch"),
-                F.sum(name).alias("sum_tenths"),
+                exact_sum(name).alias("sum_tenths"),
             ).alias(name)
             for name in paths
         ]
     )
-    return one.select(F.inline(F.array(*paths)))
+    shared_dir(spark)
+    rows = one.select(F.inline(F.array(*paths))).checkpoint()
+    whole = F.col("sum_tenths").try_cast("bigint")
+    beyond = rows.where(F.col("sum_tenths").isNotNull() & whole.isNull())
+    return rows.withColumn("sum_tenths", whole) if beyond.isEmpty() else rows
 
 
 def trimmed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
