@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions.text import REPORT_NUMBERS, parse_report
-from gaugeline.operators.order import run_starts
+from gaugeline.operators.order import run_starts, stored, tasks_for
 
 
 def diff_by_station(expected: DataFrame, actual: DataFrame) -> DataFrame:
@@ -58,6 +58,9 @@ def diff_summary(diff: DataFrame) -> DataFrame:
 # Positions that one row is expanded to at a time.
 _STEP = 1 << 16
 
+# Positions of both reports per task of the last grouping, of which those that differ arrive there.
+_TASK_POSITIONS = 1 << 19
+
 
 def diff_by_position(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """pos, expected, actual where the lines at the same position of the sorted reports differ.
@@ -74,6 +77,8 @@ def diff_by_position(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
     lines = side(expected, 0).unionByName(side(actual, 1)).groupBy("station", "report")
     counted = lines.agg(F.count_if(F.col("side") == 0).alias("e"), F.count_if(F.col("side") == 1).alias("a"))
+    counted = stored(counted, "runs")
+    length = counted.agg(F.sum(F.col("e") + F.col("a"))).first()[0] or 0
     runs = run_starts(counted, ["station", "report"], ["e", "a"])
     runs = runs.withColumn("lo", F.greatest("start_e", "start_a")).withColumn("hi", F.expr("least(start_e + e, start_a + a)"))
 
@@ -86,6 +91,9 @@ def diff_by_position(expected: DataFrame, actual: DataFrame) -> DataFrame:
     rows = runs.select("report", F.explode(F.array(*outside(0), *outside(1))).alias("p")).select("report", "p.*").where("at < `to`")
     rows = rows.select("report", "side", "to", F.explode(F.expr(f"sequence(at, `to` - 1, {_STEP}L)")).alias("at"))
     rows = rows.select("report", "side", F.explode(F.expr(f"sequence(at, least(`to`, at + {_STEP}L) - 1)")).alias("at"))
-    # One row per position and side: a grouping pairs them without a join.
+    # One row per position and side: a grouping pairs them without a join. They are dealt first, as a grouping
+    # ahead of the shuffle would sort them for nothing.
+    rows = rows.select("report", "side", (F.col("at") + 1).alias("pos"))
+    rows = rows.repartition(tasks_for(length, _TASK_POSITIONS), "pos")
     sides = [F.max(F.when(F.col("side") == nr, F.col("report"))).alias(name) for nr, name in enumerate(("expected", "actual"))]
-    return rows.groupBy((F.col("at") + 1).alias("pos")).agg(*sides)
+    return rows.groupBy("pos").agg(*sides)

@@ -10,18 +10,30 @@ from gaugeline.session import fresh_path, shared_dir
 # `monotonically_increasing_id` holds the partition above bit 33 and the row number below.
 _ROW_BITS = 33
 
+# Rows of one task where the number of tasks follows the table instead of spark.sql.shuffle.partitions.
+TASK_ROWS = 1 << 17
 
-def sorted_table(df: DataFrame, *order: str) -> DataFrame:
+
+def tasks_for(rows: int, each: int | None = None) -> int:
+    return max(1, -(-rows // (each or TASK_ROWS)))
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """`df` written to the shared folder and read again."""
+    shared_dir(df.sparkSession)
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sorted_table(df: DataFrame, *order: str, tasks: int | None = None) -> DataFrame:
     """`df` sorted over all partitions and written, with _part (the partition, in order) and _row (the row in it).
 
     Written, because counts per partition and the rows must come from the same sort even if an
-    executor is lost in between.
+    executor is lost in between. `tasks` is the number of partitions, else the session's.
     """
-    shared_dir(df.sparkSession)
-    path = fresh_path(df.sparkSession, "sorted")
-    ordered = df.orderBy(*order).select(*df.columns, F.monotonically_increasing_id().alias("_id"))
-    ordered.write.parquet(path)
-    placed = df.sparkSession.read.schema(ordered.schema).parquet(path)
+    ordered = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order) if tasks else df.orderBy(*order)
+    placed = stored(ordered.select(*df.columns, F.monotonically_increasing_id().alias("_id")), "sorted")
     row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return placed.select(*df.columns, F.shiftright("_id", _ROW_BITS).alias("_part"), row.alias("_row"))
 
@@ -31,14 +43,17 @@ def run_starts(df: DataFrame, order: list[str], counts: list[str]) -> DataFrame:
 
     A row stands for a run of c equal ones, so that positions cost as much as there are distinct values. The sums
     before a partition are one row per sort partition; inside, each partition adds up its own rows.
+    `df` is read three times (its number of rows, the sort's sample, the rows), so it should be a `stored` one.
     """
-    placed = sorted_table(df, *order)
+    tasks = tasks_for(df.count())
+    placed = sorted_table(df, *order, tasks=tasks)
     sums = placed.groupBy("_part").agg(*(F.sum(c).alias(f"_sum_{c}") for c in counts))
-    # One row per sort partition: bounded by spark.sql.shuffle.partitions, not by the data.
+    # One row per sort partition, TASK_ROWS times fewer than rows.
     above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("_part", *(F.coalesce(F.sum(f"_sum_{c}").over(above), F.lit(0)).alias(f"_base_{c}") for c in counts))
     before = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-    within = placed.select("_part", *df.columns, *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_in_{c}") for c in counts))
+    dealt = placed.repartition(tasks, "_part")
+    within = dealt.select("_part", *df.columns, *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_in_{c}") for c in counts))
     starts = [(F.col(f"_base_{c}") + F.col(f"_in_{c}")).cast("bigint").alias(f"start_{c}") for c in counts]
     return within.join(F.broadcast(bases), "_part").select(*df.columns, *starts)
 
