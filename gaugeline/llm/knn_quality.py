@@ -73,18 +73,24 @@ def style(data: bytes, of_byte: np.ndarray) -> list[float]:
     ]
 
 
-def weighed(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    out = rows.copy()
-    out[:, :TRIGRAMS] = np.log1p(rows[:, :TRIGRAMS]) * idf[:TRIGRAMS]
-    out[:, :TRIGRAMS] /= np.maximum(np.linalg.norm(out[:, :TRIGRAMS], axis=1, keepdims=True), 1e-12)
-    out[:, TRIGRAMS:] *= STYLE_WEIGHT
+def weighed(rows: np.ndarray, idf: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """Rows of counts as weights, in `out` (which may be `rows`); a block at a time, so that little is held beside it."""
+    out = np.empty_like(rows) if out is None else out
+    for at in range(0, len(rows), BLOCK):
+        part = np.log1p(rows[at : at + BLOCK, :TRIGRAMS]) * idf[:TRIGRAMS]
+        part /= np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-12)
+        out[at : at + BLOCK, :TRIGRAMS] = part
+        out[at : at + BLOCK, TRIGRAMS:] = rows[at : at + BLOCK, TRIGRAMS:] * STYLE_WEIGHT
     return out
 
 
+def _unit(latent: np.ndarray) -> np.ndarray:
+    return latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+
+
 def vectors(model: Model, rows: np.ndarray) -> np.ndarray:
     """Latent unit vectors of rows of counts."""
-    latent = weighed(rows, model.idf) @ model.axes
-    return latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+    return _unit(weighed(rows, model.idf) @ model.axes)
 
 
 def votes(model: Model, latent: np.ndarray) -> np.ndarray:
@@ -99,21 +105,26 @@ def votes(model: Model, latent: np.ndarray) -> np.ndarray:
     return np.round((weight * model.labels[at]).sum(axis=1) / weight.sum(axis=1), 5)
 
 
-def train(rows: np.ndarray, labels: np.ndarray) -> Model:
-    """Model from counts and labels: idf, then the leading right singular vectors by subspace iteration."""
+def train(rows: np.ndarray, labels: np.ndarray, in_place: bool = False) -> Model:
+    """Model from counts and labels: idf, then the leading right singular vectors by subspace iteration.
+
+    in_place: the weights replace the counts in `rows`, so that the sample is held once.
+    """
     n = len(rows)
-    idf = (np.log((1 + n) / (1 + (rows > 0).sum(axis=0))) + 1).astype(np.float32)
+    found = np.zeros(FEATURES, np.int64)
+    for at in range(0, n, BLOCK):
+        found += (rows[at : at + BLOCK] > 0).sum(axis=0)
+    idf = (np.log((1 + n) / (1 + found)) + 1).astype(np.float32)
     if not n:
         return Model(idf, np.zeros((FEATURES, 0), np.float32), np.zeros((0, 0), np.float32), labels)
-    table = weighed(rows, idf)
+    table = weighed(rows, idf, rows if in_place else None)
     k = min(DIMENSIONS, n)
     basis = np.random.default_rng(0).standard_normal((FEATURES, min(k + 16, n, FEATURES))).astype(np.float32)
     for _ in range(5):
         basis = np.linalg.qr(table.T @ (table @ basis))[0]
     _, _, right = np.linalg.svd(table @ basis, full_matrices=False)
     axes = (basis @ right[:k].T).astype(np.float32)
-    model = Model(idf, axes, np.zeros((0, k), np.float32), labels)
-    return model._replace(vectors=vectors(model, rows).astype(np.float32))
+    return Model(idf, axes, _unit(table @ axes).astype(np.float32), labels)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -157,7 +168,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     matrix = np.zeros((len(rows), FEATURES), np.float32)
     for i, r in enumerate(rows):
         matrix[i, np.frombuffer(bytes(r.at), "<u2")] = np.frombuffer(bytes(r.n), "<f4")
-    return train(matrix, np.array([r.label for r in rows], np.float64))
+    marks = np.array([r.label for r in rows], np.float64)
+    del rows
+    return train(matrix, marks, in_place=True)
 
 
 def scored(docs: DataFrame, model: Model, out: str = "score", text: str = "text") -> DataFrame:

@@ -1,5 +1,6 @@
 """The classifier on held-out labels, the sample's bound, and odd tables."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -71,3 +72,38 @@ def test_repeated_ids(spark, monkeypatch):
     assert (model.labels == 0).sum() == 20  # each id's first text, and further texts of the id 2
     scores = {r.doc_id: r.score for r in knn_quality.scored(df, model).collect()}
     assert all(scores[i] > 0.9 for i, _ in good) and all(scores[i] < 0.1 for i, _ in bad)
+
+
+def test_training_holds_its_sample_once():
+    """The driver trains: its tables of the sample are one, not four, and the model is that of the plain formulas."""
+    rng = np.random.default_rng(7)
+    rows = (rng.poisson(0.2, (1000, knn_quality.FEATURES)) * rng.integers(0, 2, (1000, 1))).astype(np.float32)
+    rows[:, knn_quality.TRIGRAMS :] = rng.random((1000, knn_quality.STYLES))
+    labels = (np.arange(1000) % 2).astype(float)
+    idf = (np.log(1001 / (1 + (rows > 0).sum(axis=0))) + 1).astype(np.float32)
+    table = rows.copy()
+    table[:, : knn_quality.TRIGRAMS] = np.log1p(rows[:, : knn_quality.TRIGRAMS]) * idf[: knn_quality.TRIGRAMS]
+    table[:, : knn_quality.TRIGRAMS] /= np.maximum(np.linalg.norm(table[:, : knn_quality.TRIGRAMS], axis=1, keepdims=True), 1e-12)
+    table[:, knn_quality.TRIGRAMS :] *= knn_quality.STYLE_WEIGHT
+    assert np.array_equal(knn_quality.weighed(rows, idf), table)
+    counts = rows.copy()
+    model = knn_quality.train(rows, labels)
+    assert np.array_equal(rows, counts) and np.array_equal(model.idf, idf)
+    assert np.allclose(model.vectors, knn_quality.vectors(model, rows), atol=1e-6)
+    tracemalloc.start()
+    again = knn_quality.train(counts, labels, in_place=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(counts, table) and all(np.array_equal(a, b) for a, b in zip(model, again))
+    assert peak < 1.2 * rows.nbytes  # 4.1 times before, beside the rows
+
+
+def test_fit_trains_in_place(spark, monkeypatch):
+    given, train = [], knn_quality.train
+    monkeypatch.setattr(knn_quality, "train", lambda rows, labels, **how: given.append((rows, rows.copy(), how)) or train(rows, labels, **how))
+    texts = [(i, f"good text number {i}" if i % 2 else f"BAD | {i} | BAD") for i in range(30)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    model = knn_quality.fit(spark.createDataFrame(texts, "doc_id long, text string"), labels)
+    (rows, before, how) = given[0]
+    assert how == {"in_place": True} and not np.array_equal(rows, before)
+    assert all(np.array_equal(a, b) for a, b in zip(model, train(before, model.labels)))
